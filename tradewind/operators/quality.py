@@ -227,10 +227,11 @@ def expect_or_fail(df: DataFrame, name: str, cond: str | Column) -> DataFrame:
     return df.where(checked)
 
 
-def kpi_alert(df: DataFrame, col: str, op: str, threshold: float) -> DataFrame:
-    """One line per row of ``df``: (metric, value, threshold, triggered)."""
+def kpi_alert(df: DataFrame, col: str, op: str, threshold: float, by: Sequence[str] = ()) -> DataFrame:
+    """One line per row of ``df``: (*by, metric, value, threshold, triggered)."""
     value = F.col(col).cast("double")
     return df.select(
+        *by,
         F.lit(col).alias("metric"),
         value.alias("value"),
         F.lit(float(threshold)).alias("threshold"),

@@ -4,22 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType()}
+_TYPES |= {"double": T.DoubleType(), "boolean": T.BooleanType()}
+
+
+def _schema(**cols: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in cols.items()])
+
+
 # Raw: what the files hold. Times are text until they are parsed.
-CUSTOMERS = T.StructType.fromDDL(
-    "customer_id bigint, first_name string, last_name string, email string, "
-    "signup_date string, city string, segment string"
+CUSTOMERS = _schema(
+    customer_id="bigint",
+    first_name="string",
+    last_name="string",
+    email="string",
+    signup_date="string",
+    city="string",
+    segment="string",
 )
-PRODUCTS = T.StructType.fromDDL(
-    "product_id string, product_name string, category string, unit_price double, active_flag boolean"
+PRODUCTS = _schema(
+    product_id="string", product_name="string", category="string", unit_price="double", active_flag="boolean"
 )
-ORDERS = T.StructType.fromDDL(
-    "order_id string, customer_id bigint, order_ts string, store_region string, status string, discount_code string"
+ORDERS = _schema(
+    order_id="string",
+    customer_id="bigint",
+    order_ts="string",
+    store_region="string",
+    status="string",
+    discount_code="string",
 )
-ORDER_ITEMS = T.StructType.fromDDL(
-    "order_id string, product_id string, quantity int, unit_price double, line_total double"
+ORDER_ITEMS = _schema(
+    order_id="string", product_id="string", quantity="int", unit_price="double", line_total="double"
 )
-CLICKSTREAM = T.StructType.fromDDL(
-    "session_id string, customer_id bigint, event_type string, page_url string, event_ts string, device_type string"
+CLICKSTREAM = _schema(
+    session_id="string",
+    customer_id="bigint",
+    event_type="string",
+    page_url="string",
+    event_ts="string",
+    device_type="string",
 )
 
 # Silver: the same columns in their working types.

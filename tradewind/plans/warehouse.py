@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import marts
+from ..operators.quality import only_passed
 from ..sinks import insert_new, reload_staging, save_table
 
 
@@ -28,8 +29,9 @@ def load_star(
         staged[table] = spark.read.table(name)
 
     fact = marts.build_fact(staged["items"], staged["orders"])
-    # The calendar runs over the days the fact has: two values read on the driver.
-    lo, hi = fact.agg(F.min(F.to_date("order_ts")), F.max(F.to_date("order_ts"))).first()
+    # The calendar runs over the days of the passed orders: two values read on the driver.
+    day = F.to_date("order_ts")
+    lo, hi = only_passed(staged["orders"]).agg(F.min(day), F.max(day)).first()
     targets = {
         "dim_customer": (marts.dim_customer(staged["customers"]), ["customer_id"]),
         "dim_product": (marts.dim_product(staged["products"]), ["product_id"]),

@@ -1 +1,208 @@
-"""Placeholder."""
+"""File streams, incremental runs, and the curation job over two deliveries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..plans import curation
+from ..session import workspace
+from ..sources import fs
+from ..streaming import Source, evolve_schema, ingest_stream, read_ingested, run_incremental, stream_to_table
+from ..streaming.ingest import open_stream
+from .files import deliver_orders, write_raw
+from .registry import query
+from .tables import clicks_raw
+
+PER_TYPE = "SELECT event_type, count(*) AS rows, sum(value)::DOUBLE AS total_value FROM clicks_raw GROUP BY 1"
+
+CLICKS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("customer_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("event_ts", T.StringType()),
+        T.StructField("value", T.DecimalType(10, 2)),
+    ]
+)
+
+
+def deliver_clicks(spark: SparkSession, d: str, path: str, part: str = "true", *without: str) -> None:
+    """Add the clicks selected by ``part`` to the JSON files at ``path``."""
+    clicks = clicks_raw(spark, d).where(part).drop("event_date", *without)
+    clicks.withColumn("event_ts", F.col("event_ts").cast("string")).write.mode("append").json(path)
+
+
+def per_type(clicks: DataFrame) -> DataFrame:
+    return clicks.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("value").cast("decimal(18,2)").alias("total_value")
+    )
+
+
+@query("st1_ingest_stream", PER_TYPE, "clicks_raw")
+def st1(spark, d):
+    root = workspace(spark, "ingest")
+    deliver_clicks(spark, d, f"{root}/raw")
+    return per_type(ingest_stream(spark, f"{root}/raw", CLICKS, f"{root}/bronze", f"{root}/checkpoint"))
+
+
+@query("st2_two_runs", PER_TYPE, "clicks_raw")
+def st2(spark, d):
+    """Each run takes the files delivered since the one before, then stops."""
+    root = workspace(spark, "ingest")
+    for half in (0, 1):
+        deliver_clicks(spark, d, f"{root}/raw", f"event_id % 2 = {half}")
+        out = ingest_stream(spark, f"{root}/raw", CLICKS, f"{root}/bronze", f"{root}/checkpoint")
+    return per_type(out)
+
+
+@query("st3_rerun_adds_nothing", PER_TYPE, "clicks_raw")
+def st3(spark, d):
+    root = workspace(spark, "ingest")
+    deliver_clicks(spark, d, f"{root}/raw")
+    for _ in range(2):
+        out = ingest_stream(spark, f"{root}/raw", CLICKS, f"{root}/bronze", f"{root}/checkpoint")
+    return per_type(out)
+
+
+@query(
+    "st4_schema_evolution",
+    """
+SELECT event_type, count(*) AS rows, count(*) FILTER (event_id % 2 = 1) AS with_value,
+  sum(CASE WHEN event_id % 2 = 1 THEN value END)::DOUBLE AS total_value FROM clicks_raw GROUP BY 1""",
+    "clicks_raw",
+)
+def st4(spark, d):
+    """The first delivery has no ``value``; the second one brings it as a new column."""
+    root = workspace(spark, "evolve")
+    for half, without in ((0, ["value"]), (1, [])):
+        deliver_clicks(spark, d, f"{root}/raw", f"event_id % 2 = {half}", *without)
+        schema = evolve_schema(spark, f"{root}/raw", f"{root}/schema.json")
+        out = ingest_stream(spark, f"{root}/raw", schema, f"{root}/bronze", f"{root}/checkpoint")
+    value = F.col("value").cast("decimal(10,2)")
+    return out.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("value").alias("with_value"),
+        F.sum(value).cast("decimal(18,2)").alias("total_value"),
+    )
+
+
+@query(
+    "k5_stream_append",
+    "SELECT event_type, count(*) AS rows FROM clicks_raw WHERE event_type <> 'error' GROUP BY 1",
+    "clicks_raw",
+)
+def k5(spark, d):
+    root = workspace(spark, "stream")
+    deliver_clicks(spark, d, f"{root}/raw")
+    stream = open_stream(spark, f"{root}/raw", CLICKS).where("event_type <> 'error'")
+    stream_to_table(stream, f"{root}/bronze", f"{root}/checkpoint")
+    out = read_ingested(spark, f"{root}/bronze", CLICKS)
+    return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "s6_incremental_scan",
+    "SELECT 1 + event_id % 2 AS run, count(*) AS rows FROM clicks_raw GROUP BY 1",
+    "clicks_raw",
+)
+def s6(spark, d):
+    """Two deliveries, two runs: each sees its own rows only."""
+    root = workspace(spark, "incremental")
+    source = Source("clicks", f"{root}/raw", CLICKS)
+
+    def keep(frames, run):
+        counted = frames["clicks"].agg(F.count(F.lit(1)).alias("rows")).withColumn("run", F.lit(run))
+        counted.write.mode("overwrite").partitionBy("run").parquet(f"{root}/seen")
+
+    for half in (0, 1):
+        deliver_clicks(spark, d, source.path, f"event_id % 2 = {half}")
+        run_incremental(spark, [source], root, keep)
+    return spark.read.schema("rows bigint, run int").parquet(f"{root}/seen")
+
+
+@query(
+    "q13_skip_run",
+    "SELECT 1::BIGINT AS run, count(*) AS rows FROM clicks_raw",
+    "clicks_raw",
+)
+def q13(spark, d):
+    """The second run finds nothing new and writes nothing."""
+    root = workspace(spark, "skip")
+    source = Source("clicks", f"{root}/raw", CLICKS)
+    deliver_clicks(spark, d, source.path)
+
+    def keep(frames, run):
+        counted = frames["clicks"].agg(F.count(F.lit(1)).alias("rows")).withColumn("run", F.lit(run))
+        counted.write.mode("append").parquet(f"{root}/seen")
+
+    for _ in range(2):
+        run_incremental(spark, [source], root, keep)
+    return spark.read.schema("rows bigint, run int").parquet(f"{root}/seen")
+
+
+@query(
+    "job_curation",
+    """
+SELECT 'curated orders' AS "table", count(*) AS rows, sum(order_total)::DOUBLE AS amount FROM orders_passed UNION ALL
+SELECT 'quarantined orders', count(*), sum(order_total)::DOUBLE FROM orders_curated
+  WHERE order_id NOT IN (SELECT order_id FROM orders_passed) UNION ALL
+SELECT 'curated order_items', count(*), sum(line_total)::DOUBLE FROM items_curated
+  WHERE product_id IN (SELECT product_id FROM products_clean) UNION ALL
+SELECT 'quarantined order_items', count(*), sum(line_total)::DOUBLE FROM items_curated
+  WHERE product_id NOT IN (SELECT product_id FROM products_clean) UNION ALL
+SELECT 'curated customers', count(*), NULL FROM customers_clean UNION ALL
+SELECT 'curated products', count(*), NULL FROM products_clean UNION ALL
+SELECT 'daily revenue', count(DISTINCT order_date), sum(order_total)::DOUBLE FROM orders_passed""",
+    "orders_passed orders_curated items_curated products_clean customers_clean",
+)
+def job_curation(spark, d):
+    """Two deliveries of orders with their items, curated in two runs."""
+    root = workspace(spark, "curation")
+    layout = curation.Layout(f"{root}/raw", f"{root}/lake")
+    write_raw(spark, d, layout.raw, "cast(order_id AS bigint) % 3 <> 0")
+    curation.run(spark, layout)
+    deliver_orders(spark, d, layout.raw, "cast(order_id AS bigint) % 3 = 0")
+    curation.run(spark, layout)
+
+    def line(label: str, path: str, amount: str | None = None) -> DataFrame:
+        total = F.round(F.sum(amount), 2).cast("double") if amount else F.lit(None).cast("double")
+        stored = spark.read.parquet(path)
+        return stored.agg(F.count(F.lit(1)).alias("rows"), total.alias("amount")).withColumn("table", F.lit(label))
+
+    out = line("curated orders", layout.curated("orders"), "order_total")
+    for label, path, amount in (
+        ("quarantined orders", layout.quarantine("orders"), "order_total"),
+        ("curated order_items", layout.curated("order_items"), "line_total"),
+        ("quarantined order_items", layout.quarantine("order_items"), "line_total"),
+        ("curated customers", layout.curated("customers"), None),
+        ("curated products", layout.curated("products"), None),
+        ("daily revenue", layout.daily_revenue, "total_revenue"),
+    ):
+        if fs.exists(spark, path):
+            out = out.unionByName(line(label, path, amount))
+    return out
+
+
+@query(
+    "job_curation_scores",
+    """
+SELECT context, sum(passed)::BIGINT AS passed, sum(total)::BIGINT AS total FROM (
+  SELECT 'orders_dq_check' AS context, (SELECT count(*) FROM orders_passed) AS passed, count(*) AS total
+  FROM orders_curated
+  UNION ALL SELECT 'order_items_dq_check',
+    count(*) FILTER (product_id IN (SELECT product_id FROM products_clean)), count(*) FROM items_curated)
+GROUP BY context""",
+    "orders_passed orders_curated items_curated products_clean",
+)
+def job_curation_scores(spark, d):
+    """The scores each run leaves behind, summed over two runs."""
+    root = workspace(spark, "curation")
+    layout = curation.Layout(f"{root}/raw", f"{root}/lake")
+    write_raw(spark, d, layout.raw, "cast(order_id AS bigint) % 2 = 0")
+    curation.run(spark, layout)
+    deliver_orders(spark, d, layout.raw, "cast(order_id AS bigint) % 2 = 1")
+    curation.run(spark, layout)
+    scores = spark.read.parquet(layout.metrics)
+    return scores.groupBy("context").agg(F.sum("passed").alias("passed"), F.sum("total").alias("total"))

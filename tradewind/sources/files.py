@@ -113,7 +113,9 @@ def land_by_filename_date(df: DataFrame, out_root: str, partition: str = "date")
     return landed, dated.where(F.col(partition).isNull()).drop(partition)
 
 
-def load_errors(spark: SparkSession, path: str, schema: Schema, fmt: str = "csv", n: int | None = 5) -> DataFrame:
+def load_errors(
+    spark: SparkSession, path: str, schema: Schema, fmt: str = "csv", n: int | None = 5, header: bool = True
+) -> DataFrame:
     """(file_name, modified, raw_record, reason): records that do not fit ``schema``,
     newest file first; ``n=None`` for all of them.
 
@@ -125,7 +127,7 @@ def load_errors(spark: SparkSession, path: str, schema: Schema, fmt: str = "csv"
     # The permissive reader tells which records are bad and keeps their text.
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_raw"}
     if fmt == "csv":
-        options["header"] = "true"
+        options["header"] = str(header)
     rows = spark.read.format(fmt).schema(with_raw).options(**options).load(path)
     bad = rows.where("_raw IS NOT NULL").select(
         F.col("_metadata.file_name").alias("file_name"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import SparkSession
 
 
@@ -32,3 +34,15 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     if fs.exists(p):
         fs.delete(p, False)
     fs.rename(aside, p)
+
+
+def rename_into(spark: SparkSession, pattern: str, target: str, name: Callable[[str, int], str]) -> int:
+    """Move the files matching ``pattern`` into the folder ``target`` under the name
+    ``name(path, i)`` gives the ``i``-th; how many there were."""
+    p, fs = _path(spark, pattern)
+    folder, _ = _path(spark, target)
+    fs.mkdirs(folder)
+    found = sorted(str(s.getPath().toString()) for s in fs.globStatus(p))
+    for i, path in enumerate(found):
+        fs.rename(_path(spark, path)[0], _path(spark, f"{target}/{name(path, i)}")[0])
+    return len(found)
