@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import normalize_email, order_day
 from ..operators import marts, quality
 from ..operators.rows import dedup, fill_defaults, latest_by, require_keys, safe_select
-from ..sinks import overwrite_partitions
+from ..sinks import overwrite_partitions, refresh_view
 from ..sources import read_reference
 from ..streaming import Source, run_incremental
 from ..streaming.incremental import RUN
@@ -26,10 +26,22 @@ ITEMS_CHECK = "order_items_dq_check"
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the job reads and writes."""
+    """Where the job reads and writes.
+
+    Curated orders and daily revenue lie in one directory per ``grain``: ``day``,
+    or ``month`` or ``year`` where a day is too little for a file of its own.
+    """
 
     raw: str
     root: str
+    grain: str = "day"
+
+    @property
+    def period(self) -> str:
+        return "order_date" if self.grain == "day" else f"order_{self.grain}"
+
+    def with_period(self, df: DataFrame) -> DataFrame:
+        return df if self.grain == "day" else df.withColumn(self.period, F.trunc("order_date", self.grain))
 
     def raw_table(self, name: str) -> str:
         return f"{self.raw}/{name}"
@@ -114,14 +126,12 @@ def curate(spark: SparkSession, layout: Layout, frames: Mapping[str, DataFrame],
     # a score. Rows lost with an executor come out the same again: bronze is fixed.
     items = curate_items(frames["order_items"]).persist()
     orders = quality.evaluate_rows(curate_orders(frames["orders"], items), order_rules()).persist()
-    passed, failed = quality.split_quarantine(orders, ORDERS_REASON)
-    overwrite_partitions(tagged(passed), layout.curated("orders"), "order_date", RUN)
-    overwrite_partitions(tagged(failed), layout.quarantine("orders"), "order_date", RUN)
+    passed, failed = (layout.with_period(df) for df in quality.split_quarantine(orders, ORDERS_REASON))
+    overwrite_partitions(tagged(passed), layout.curated("orders"), layout.period, RUN)
+    overwrite_partitions(tagged(failed), layout.quarantine("orders"), layout.period, RUN)
     refresh_daily_revenue(spark, layout, passed)
 
-    products = curate_products(
-        read_reference(spark, layout.raw_table("products"), S.PRODUCTS)
-    )
+    products = curate_products(read_reference(spark, layout.raw_table("products"), S.PRODUCTS))
     item_outcomes = quality.evaluate_rows(items, item_rules(products)).persist()
     passed_items, failed_items = quality.split_quarantine(item_outcomes, ITEMS_REASON)
     overwrite_partitions(tagged(passed_items), layout.curated("order_items"), RUN)
@@ -137,12 +147,14 @@ def curate(spark: SparkSession, layout: Layout, frames: Mapping[str, DataFrame],
 
 
 def refresh_daily_revenue(spark: SparkSession, layout: Layout, passed: DataFrame) -> None:
-    """Recompute the days ``passed`` has orders of, from all curated orders, and
-    leave the other days as they are."""
-    days = passed.select("order_date").distinct()
-    curated = spark.read.parquet(layout.curated("orders")) if not passed.isEmpty() else None
-    if curated is None:
+    """Recompute the periods ``passed`` has orders of, from all curated orders, and
+    leave the others as they are."""
+    if passed.isEmpty():
         return
-    revenue = marts.daily_revenue(curated.join(days, "order_date", "left_semi"))
-    typed = revenue.select("order_date", F.col("total_revenue").cast("decimal(12,2)").alias("total_revenue"))
-    overwrite_partitions(typed, layout.daily_revenue, "order_date")
+    curated = spark.read.parquet(layout.curated("orders"))
+
+    def aggregate(orders: DataFrame) -> DataFrame:
+        exact = marts.daily_revenue(orders).withColumn("total_revenue", F.col("total_revenue").cast("decimal(12,2)"))
+        return layout.with_period(exact)
+
+    refresh_view(layout.daily_revenue, curated, passed, aggregate, layout.period, layout.period)

@@ -160,7 +160,7 @@ SELECT 'daily revenue', count(DISTINCT order_date), sum(order_total)::DOUBLE FRO
 def job_curation(spark, d):
     """Two deliveries of orders with their items, curated in two runs."""
     root = workspace(spark, "curation")
-    layout = curation.Layout(f"{root}/raw", f"{root}/lake")
+    layout = curation.Layout(f"{root}/raw", f"{root}/lake", grain="year")
     write_raw(spark, d, layout.raw, "cast(order_id AS bigint) % 3 <> 0")
     curation.run(spark, layout)
     deliver_orders(spark, d, layout.raw, "cast(order_id AS bigint) % 3 = 0")
@@ -199,7 +199,7 @@ GROUP BY context""",
 def job_curation_scores(spark, d):
     """The scores each run leaves behind, summed over two runs."""
     root = workspace(spark, "curation")
-    layout = curation.Layout(f"{root}/raw", f"{root}/lake")
+    layout = curation.Layout(f"{root}/raw", f"{root}/lake", grain="year")
     write_raw(spark, d, layout.raw, "cast(order_id AS bigint) % 2 = 0")
     curation.run(spark, layout)
     deliver_orders(spark, d, layout.raw, "cast(order_id AS bigint) % 2 = 1")
