@@ -4,7 +4,8 @@ import pytest
 from conftest import final_plan, rows
 from pyspark.sql import functions as F
 
-from tradewind.operators import governance, quality
+from tradewind.operators import governance, marts, quality
+from tradewind.operators.rows import dedup
 from tradewind.plans.lakehouse import expected_customers, expected_items
 
 
@@ -86,11 +87,17 @@ def test_hot_key_join_is_split(spark):
         items = spark.range(300_000, numPartitions=8).selectExpr(
             "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS product_id", "cast(id AS string) AS pad"
         )
-        products = spark.range(100_000).selectExpr("id AS product_id")
+        # Both dimensions come hashed by the key: from an aggregate and from a window.
+        products = spark.range(100_000).repartition(4).selectExpr("id AS product_id", "cast(id % 5 AS string) AS category")
         out = quality.evaluate_rows(items, [quality.referential("product_id", products, "product_id")])
-        out.write.format("noop").mode("overwrite").save()
         assert "skew=true" in final_plan(out)
         assert out.where(F.col(quality.RESULT) == "Passed").count() == 100_000 + 66_666
+        joined = marts.items_with_category(items, dedup(products, ["product_id"]))
+        assert "skew=true" in final_plan(joined)
+        assert joined.where("category IS NOT NULL").count() == 100_000 + 66_666
+        unique = quality.evaluate_rows(items, [quality.is_unique("product_id")])
+        assert "skew=true" in final_plan(unique)
+        assert unique.where(F.col(quality.RESULT) == "Failed").count() == 100_001
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

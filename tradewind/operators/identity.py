@@ -18,16 +18,19 @@ def with_identity(
     The rows are range-partitioned on ``order`` and sorted inside each partition;
     a row's number is its place there plus the rows in the partitions before it.
     Both parts come from one written copy: a range partitioning that is computed
-    twice, or again after a lost executor, may cut elsewhere. ``order`` should be
-    a key; equal rows stay in one partition.
+    twice, or again after a lost executor, may cut elsewhere. Rows equal under
+    ``order`` are told apart by a hash of all columns, so that a value many rows
+    share does not fill one partition.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = workspace(spark, "identity")
     # The low 33 bits of monotonically_increasing_id are the place in the partition.
     placed = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        df.withColumn("_tie", F.xxhash64(*df.columns))
+        .repartitionByRange(n, *order, "_tie")
+        .sortWithinPartitions(*order, "_tie")
+        .drop("_tie")
         .select("*", F.monotonically_increasing_id().alias("_at"))
         .withColumns(
             {

@@ -1,8 +1,10 @@
 """Joins and aggregates behind the revenue marts and the dashboard.
 
 No join carries a hint. Spark broadcasts a side whose known size is below
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise, and
-AQE splits a partition that one key has blown up.
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise. Where a
+key of the larger side may be hot (a product, a customer), ``split_join`` lets AQE
+split it. Joins on the order stay plain: after deduplication an order has at most
+one line per product, and the aggregates above use the join's partitioning.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clamp_non_negative, date_key, fill, money, normalize_email, order_day
+from .joins import split_join
 from .quality import only_passed
 from .rows import between_dates, dedup, fill_defaults, latest_by, require_keys
 
@@ -75,7 +78,7 @@ def gold_source(orders: DataFrame, items: DataFrame, products: DataFrame) -> Dat
     o = orders.select("order_id", order_day("order_ts").alias("order_date"), "store_region")
     i = items.select("order_id", "product_id", "quantity", "line_total")
     p = products.select("product_id", "category")
-    return i.join(p, "product_id").join(o, "order_id")
+    return split_join(i, p, "product_id").join(o, "order_id")
 
 
 def build_fact(items: DataFrame, orders: DataFrame, require_item_pass: bool = False) -> DataFrame:
@@ -107,13 +110,13 @@ def star(fact: DataFrame, *dims: tuple[DataFrame, str]) -> DataFrame:
     that the fact also has, the fact's are kept."""
     for dim, key in dims:
         taken = [c for c in dim.columns if c != key and c in fact.columns]
-        fact = fact.join(dim.drop(*taken), key)
+        fact = split_join(fact, dim.drop(*taken), key)
     return fact
 
 
 def items_with_category(items: DataFrame, products: DataFrame) -> DataFrame:
     """All items, with the category of those whose product is known."""
-    return items.join(products.select("product_id", "category"), "product_id", "left")
+    return split_join(items, products.select("product_id", "category"), "product_id", "left")
 
 
 # --- dimensions and warehouse types -----------------------------------------
@@ -233,9 +236,9 @@ def segment_revenue(fact: DataFrame, customers: DataFrame, dates: DataFrame, lo:
     lines = fact.where(F.col("date_key").between(day_lo, day_hi)).select(
         "date_key", "customer_id", "order_id", "line_total"
     )
+    in_window = split_join(lines, window, "date_key")
     return (
-        lines.join(window, "date_key")
-        .join(customers.select("customer_id", "segment"), "customer_id")
+        split_join(in_window, customers.select("customer_id", "segment"), "customer_id")
         .groupBy("segment")
         .agg(F.sum("line_total").alias("total_revenue"), F.countDistinct("order_id").alias("order_count"))
         .orderBy(F.desc("total_revenue"), "segment")

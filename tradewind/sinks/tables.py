@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import split_join
 from .files import overwrite_partitions
 
 
@@ -79,13 +80,25 @@ def describe_table(spark: SparkSession, name: str, comment: str, properties: Map
 
 
 def refresh_view(
-    path: str, base: DataFrame, changed: DataFrame, aggregate: Callable[[DataFrame], DataFrame], key: str, view_key: str
+    path: str, base: DataFrame, changed: DataFrame, aggregate: Callable[[DataFrame], DataFrame], key: str, view_key: str,
+    max_listed: int = 10_000,
 ) -> None:
     """Bring the aggregate stored at ``path`` up to date with ``base``.
 
     Only groups of a ``key`` value that occurs in ``changed`` are computed again,
     from all of ``base``'s rows of that value: distinct counts cannot be added up.
     The result is partitioned by ``view_key``; untouched partitions stay.
+
+    Up to ``max_listed`` values become a filter, which skips the other partitions
+    and row groups of ``base`` at the scan; more are joined.
     """
     affected = changed.select(key).distinct()
-    overwrite_partitions(aggregate(base.join(affected, key, "left_semi")), path, view_key)
+    listed = [r[0] for r in affected.limit(max_listed + 1).collect()]
+    if len(listed) <= max_listed:
+        touched = F.col(key).isin([v for v in listed if v is not None])
+        touched = base.where(touched | F.col(key).isNull() if None in listed else touched)
+    else:
+        touched = split_join(base, affected, key, "left_semi")
+        if not affected.where(F.col(key).isNull()).isEmpty():
+            touched = touched.unionByName(base.where(F.col(key).isNull()))
+    overwrite_partitions(aggregate(touched), path, view_key)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import Schema
-from .fs import exists
+from .fs import existing
 
 MANIFEST_SCHEMA = "entries array<struct<url: string, mandatory: boolean, meta: struct<content_length: bigint>>>"
 
@@ -36,7 +36,7 @@ def read_manifest(
     not data, are collected.
     """
     entries = manifest_entries(spark, manifest).collect()
-    there = [e.url for e in entries if exists(spark, e.url)]
+    there = existing(spark, [e.url for e in entries])
     missing = sorted(e.url for e in entries if e.mandatory and e.url not in set(there))
     if missing:
         raise ManifestError(f"mandatory files missing: {', '.join(missing)}")
@@ -54,7 +54,7 @@ def manifest_check(spark: SparkSession, manifest: str) -> DataFrame:
     """(url, mandatory, expected_bytes, found_bytes, status) per entry; status is
     ok, missing or length_mismatch."""
     entries = manifest_entries(spark, manifest)
-    there = [e.url for e in entries.select("url").collect() if exists(spark, e.url)]
+    there = existing(spark, [e.url for e in entries.select("url").collect()])
     if there:
         files = spark.read.format("binaryFile").load(there).select(
             F.regexp_replace("path", "^file:/+", "/").alias("_path"), F.col("length").alias("found_bytes")

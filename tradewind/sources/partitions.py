@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import Schema
-from .fs import exists
+from .fs import existing
 
 
 def _day(value: str | dt.date) -> dt.date:
@@ -47,7 +47,7 @@ def projected_scan(
 
     ``schema`` includes the partition column.
     """
-    there = [p for p in projected_paths(root, col, start, end) if exists(spark, p)]
+    there = existing(spark, projected_paths(root, col, start, end))
     if not there:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", root).parquet(*there)
