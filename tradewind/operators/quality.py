@@ -81,16 +81,6 @@ def referential_fail(df: DataFrame, ref: DataFrame, col: str, ref_col: str | Non
     return split_join(df, keys, col, "left_anti").select(*df.columns)
 
 
-def _null_safe_flag(df: DataFrame, keys: DataFrame, col: str, flag: str) -> DataFrame:
-    """``df`` with ``flag`` true where ``col`` occurs in the unique ``keys``.
-
-    An equi-join never matches null, so whether ``keys`` has one is asked for apart.
-    """
-    some = split_join(df, keys.dropna().withColumn(flag, F.lit(True)), col, "left")
-    null_too = keys.where(F.col(col).isNull()).agg(F.count(F.lit(1)) > 0).scalar()
-    return some.withColumn(flag, F.when(F.col(col).isNull() & null_too, F.lit(True)).otherwise(F.col(flag)))
-
-
 def _with_flags(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[Column]]:
     """``df`` with one helper column per rule that needs other rows, and each
     rule's row test."""
@@ -100,8 +90,15 @@ def _with_flags(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[C
         if rule.kind == "unique":
             # Counted with map-side combining, so a value on a third of all rows
             # costs one task no more than another; a window would gather them.
-            repeated = df.groupBy(rule.col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-            df = _null_safe_flag(df, repeated.select(rule.col), rule.col, flag)
+            # The null-safe join key differs from the count's, so the join gets
+            # exchanges of its own, which AQE can split.
+            repeated = (
+                df.groupBy(F.col(rule.col).alias(f"{flag}_key"))
+                .agg(F.count(F.lit(1)).alias("_n"))
+                .where("_n > 1")
+                .select(f"{flag}_key", F.lit(True).alias(flag))
+            )
+            df = df.join(repeated, F.col(rule.col).eqNullSafe(F.col(f"{flag}_key")), "left").drop(f"{flag}_key")
             tests.append(F.col(flag).isNull())
         elif rule.kind == "reference":
             known = rule.ref.select(F.col(rule.ref_col).alias(rule.col)).dropna().distinct()

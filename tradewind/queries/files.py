@@ -198,6 +198,20 @@ def s12(spark, d):
     return found.select("event_id", "event_type", "event_date")
 
 
+@query(
+    "s12_unpruned_scan",
+    """
+SELECT event_id, event_type, strftime(event_date, '%Y-%m-%d') AS event_date FROM clicks_raw
+WHERE event_type = 'purchase' ORDER BY event_id""",
+    "clicks_raw",
+)
+def s12_unpruned(spark, d):
+    """The same condition and order without a range: every directory is read."""
+    root = clicks_by_day(spark, d, "unpruned")
+    clicks = sources.read_partitioned(spark, root, "parquet", CLICKS_BY_DAY)
+    return clicks.where("event_type = 'purchase'").select("event_id", "event_type", "event_date").orderBy("event_id")
+
+
 @query("s13_projected_scan", RANGE_SQL.replace("2024-01-12", "2024-02-12"), "clicks_raw")
 def s13(spark, d):
     root = clicks_by_day(spark, d, "projected")

@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     # when that costs the aggregate above the join one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parquet rows take several times their file size in memory. With sizes taken
+    # at face value, Spark would broadcast tables much beyond its threshold.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
