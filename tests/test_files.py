@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind import sinks, sources, workspace
 from tradewind.plans import curation, lakehouse, warehouse
+from tradewind.sources.fs import read_text, write_text
 from tradewind.streaming import Source, evolve_schema, ingest_stream, run_incremental
 from tradewind.streaming.incremental import _load
 
@@ -120,6 +121,26 @@ def test_overwrite_keeps_other_days(spark, frame, root):
     assert rows(spark.read.parquet(root).select("day", "v")) == [("d1", 1), ("d2", 5)]
 
 
+def test_hot_day_is_written_by_several_tasks(spark, root):
+    # Shuffle partitions of a day or so each, as a cluster sized for its data has.
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        days = spark.range(400_000, numPartitions=8).selectExpr(
+            "xxhash64(id) AS v", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'd' || id % 40 END AS day"
+        )
+        sinks.append_partitioned(days, root, "day")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {d: len([f for f in os.listdir(f"{root}/{d}") if f.endswith(".parquet")]) for d in os.listdir(root) if "day=" in d}
+    assert files.pop("day=hot") > 1
+    assert set(files.values()) == {1}
+    assert spark.read.parquet(root).count() == 400_000
+
+
 def test_external_table_finds_partitions(spark, frame, root):
     sinks.append_partitioned(frame([("2026-06-01", 1), ("2026-06-02", 2)], "day string, v int"), root, "day")
     table = sources.register_external(spark, "ext_test", root, "v int, day date", ["day"])
@@ -207,6 +228,15 @@ def test_crashed_run_is_repeated_under_its_number(spark, root):
     assert _load(spark, f"{root}/lake/control/progress.json") == {"next_run": 4, "done_through": 3, "open": None}
 
 
+def test_control_file_survives_a_cut_off_writer(spark, root):
+    write_text(spark, f"{root}/c.json", "one")
+    write_text(spark, f"{root}/c.json", "two")
+    assert read_text(spark, f"{root}/c.json") == "two"
+    os.rename(f"{root}/c.json", f"{root}/c.json.new")
+    assert read_text(spark, f"{root}/c.json") == "two"
+    assert read_text(spark, f"{root}/absent.json") is None
+
+
 # --- the jobs ---------------------------------------------------------------
 
 

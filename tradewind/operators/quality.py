@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .joins import split_join
 
+# The outcome columns readers of curated tables expect.
 PASSED_RULES = "DataQualityRulesPass"
 FAILED_RULES = "DataQualityRulesFail"
 RESULT = "DataQualityEvaluationResult"

@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Fixed values of the retail model that appear below: the store regions north, south,
+# east, west, central, and the discount codes SUMMER10, WELCOME5, FLASH20, VIP15.
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

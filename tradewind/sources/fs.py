@@ -8,11 +8,20 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import SparkSession
 
 
+_NEW = ".new"
+
+
 def _path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _rename(fs, old, new) -> None:
+    # Hadoop reports most failures by its result.
+    if not fs.rename(old, new):
+        raise OSError(f"cannot rename {old.toString()} to {new.toString()}")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p, fs = _path(spark, path)
     return fs.exists(p)
@@ -26,8 +35,13 @@ def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
-    """A small control file, or None if it is not there."""
-    if not exists(spark, path):
+    """A small control file, or None if it is not there.
+
+    If a writer was cut off between removing the old file and renaming the new
+    one, the new one is complete and is read.
+    """
+    path = next((p for p in (path, path + _NEW) if exists(spark, p)), None)
+    if path is None:
         return None
     return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
 
@@ -35,13 +49,13 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small control file: written aside, then renamed over the old one."""
     p, fs = _path(spark, path)
-    aside, _ = _path(spark, path + ".new")
+    aside, _ = _path(spark, path + _NEW)
     out = fs.create(aside, True)
     out.write(bytearray(text, "utf-8"))
     out.close()
     if fs.exists(p):
         fs.delete(p, False)
-    fs.rename(aside, p)
+    _rename(fs, aside, p)
 
 
 def rename_into(spark: SparkSession, pattern: str, target: str, name: Callable[[str, int], str]) -> int:
@@ -52,5 +66,5 @@ def rename_into(spark: SparkSession, pattern: str, target: str, name: Callable[[
     fs.mkdirs(folder)
     found = sorted(str(s.getPath().toString()) for s in fs.globStatus(p))
     for i, path in enumerate(found):
-        fs.rename(_path(spark, path)[0], _path(spark, f"{target}/{name(path, i)}")[0])
+        _rename(fs, _path(spark, path)[0], _path(spark, f"{target}/{name(path, i)}")[0])
     return len(found)
