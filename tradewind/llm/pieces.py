@@ -8,8 +8,8 @@ end, the weight of the best way. Matrices are combined associatively in the max-
 semiring, first those of a block of chunks, then the blocks of a text; that fixes the
 state at every cut, and every chunk is traced back on its own.
 
-Equal weights: the segmentation with fewer pieces wins, then the one whose last pieces
-are longer; at a cut the smaller state.
+Equal scores: the segmentation with fewer pieces wins, then the one whose pieces begin
+earlier in sum, then the one whose last pieces are longer; at a cut the smaller state.
 """
 
 from __future__ import annotations
@@ -29,7 +29,9 @@ BLANK = "▁"
 CHUNK_CHARS = 1 << 14
 BLOCK_CHUNKS = 64
 
-_UNIT = 1 << 20  # a score point against a piece: scores decide, then the number of pieces
+# Scores decide, then the number of pieces, then the sum of the places they begin at.
+_UNIT = 1 << 20
+_PLACES = 44
 _NONE = None
 
 
@@ -50,9 +52,9 @@ class Model:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 score = sp.get_score(i)
                 lowest = min(lowest, score)
-                self.weights[p] = (round(score * _UNIT) - 1, i)
+                self.weights[p] = ((round(score * _UNIT) - 1) << _PLACES, i)
         # Fixed value: an unknown character weighs ten points less than the rarest piece.
-        self.unknown = round((lowest - 10.0) * _UNIT) - 1
+        self.unknown = (round((lowest - 10.0) * _UNIT) - 1) << _PLACES
         self.unknown_id = sp.unk_id()
         self.longest = max(map(len, self.weights), default=1)
         inside = {c for p in self.weights if len(p) > 1 for c in p}
@@ -92,8 +94,9 @@ class Model:
         return raw if min(raw) >= 0 else [self.unknown_id]
 
 
-def segment(text: str, model: Model, entry: int = 0, exit_: int = 0, ahead: str = "") -> list[str]:
-    """The pieces of the heaviest segmentation of text[entry:] + ahead[:exit_]."""
+def segment(text: str, model: Model, entry: int = 0, exit_: int = 0, ahead: str = "", base: int = 0) -> list[str]:
+    """The pieces of the heaviest segmentation of text[entry:] + ahead[:exit_]; ``base`` is
+    where the text begins."""
     body = text + ahead[:exit_]
     n = len(body)
     best: list[int | None] = [_NONE] * (n + 1)
@@ -104,6 +107,7 @@ def segment(text: str, model: Model, entry: int = 0, exit_: int = 0, ahead: str
         now = best[i]
         if now is None:
             continue
+        now -= base + i
         for j in range(i + 1, min(n, i + longest) + 1):
             # Between the chunk's end and the state's end no piece may begin.
             if size < j < n:
@@ -164,13 +168,13 @@ def _split(text: str, model: Model) -> tuple[int, int, list[str]]:
     return places[0], places[-1], [text[a:b] for a, b in zip(places, places[1:])]
 
 
-def trace(text: str, ahead: str, entry: int, exit_: int, model: Model) -> bytes:
+def trace(text: str, ahead: str, base: int, entry: int, exit_: int, model: Model) -> bytes:
     """The ids of a chunk between two states."""
     first, last, units = _split(text, model)
     if not first:
-        return _ids(segment(text, model, entry, exit_, ahead), model)
+        return _ids(segment(text, model, entry, exit_, ahead, base), model)
     known = _met(units, model)
-    head, tail = segment(text[:first], model, entry), segment(text[last:], model, 0, exit_, ahead)
+    head, tail = segment(text[:first], model, entry, 0, "", base), segment(text[last:], model, 0, exit_, ahead, base + last)
     return b"".join([_ids(head, model), *[known[u][0] for u in units], _ids(tail, model)])
 
 
@@ -181,20 +185,20 @@ def _ids(pieces: list[str], model: Model) -> bytes:
 Matrix = list[list[int | None]]
 
 
-def transfer(text: str, ahead: str, model: Model) -> Matrix:
+def transfer(text: str, ahead: str, base: int, model: Model) -> Matrix:
     """A chunk's matrix; ``ahead`` is the text after it, as far as a piece can reach. All
     ways meet where a word begins, so only the ends of the chunk have several."""
     first, last, units = _split(text, model)
     if not first:
-        return _transfer(text, ahead, model)
+        return _transfer(text, ahead, base, model)
     known = _met(units, model)
     middle = sum(known[u][1] for u in units)
-    head = [row[0] for row in _transfer(text[:first], "", model)]
-    tail = _transfer(text[last:], ahead, model)[0]
+    head = [row[0] for row in _transfer(text[:first], "", base, model)]
+    tail = _transfer(text[last:], ahead, base + last, model)[0]
     return [[_NONE if h is None or t is None else h + middle + t for t in tail] for h in head]
 
 
-def _transfer(text: str, ahead: str, model: Model) -> Matrix:
+def _transfer(text: str, ahead: str, base: int, model: Model) -> Matrix:
     states = model.longest
     size = len(text)
     body = text + ahead
@@ -206,9 +210,9 @@ def _transfer(text: str, ahead: str, model: Model) -> Matrix:
         for j in range(i + 1, min(len(body), i + states) + 1):
             found = get(body[i:j])
             if found is not None:
-                yield j, found[0]
+                yield j, found[0] - base - i
             elif j == i + 1:
-                yield j, model.unknown
+                yield j, model.unknown - base - i
 
     # Backward over the chunk: the best way from a character to each state at its end.
     for i in range(size - 1, -1, -1):
@@ -295,19 +299,19 @@ class Cutting:
 
 
 def _chunks(long: DataFrame, path: str, cut: Cutting) -> DataFrame:
-    """(row, chunk, block, text, ahead) of every chunk of the long texts."""
+    """(row, chunk, block, base, text, ahead) of every chunk of the long texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_at(path)
-        schema = pa.schema([("row", pa.int64()), ("chunk", pa.int64()), ("block", pa.int64()), ("text", pa.string()), ("ahead", pa.string())])
+        schema = pa.schema([("row", pa.int64()), ("chunk", pa.int64()), ("block", pa.int64()), ("base", pa.int64()), ("text", pa.string()), ("ahead", pa.string())])
         for b in batches:
             for r, t in zip(b.column("row").to_pylist(), texts(b.column("text"))):
                 body = normalized(t.decode("utf-8", "replace"))
                 for k, at in enumerate(range(0, len(body), cut.chunk_chars)):
                     end = at + cut.chunk_chars
-                    yield pa.RecordBatch.from_pydict({"row": [r], "chunk": [k], "block": [k // cut.block_chunks], "text": [body[at:end]], "ahead": [body[end : end + model.longest - 1]]}, schema=schema)
+                    yield pa.RecordBatch.from_pydict({"row": [r], "chunk": [k], "block": [k // cut.block_chunks], "base": [at], "text": [body[at:end]], "ahead": [body[end : end + model.longest - 1]]}, schema=schema)
 
-    return long.select("row", "text").mapInArrow(run, "row bigint, chunk bigint, block bigint, text string, ahead string")
+    return long.select("row", "text").mapInArrow(run, "row bigint, chunk bigint, block bigint, base bigint, text string, ahead string")
 
 
 def _scan(chunks: DataFrame, path: str) -> DataFrame:
@@ -315,7 +319,7 @@ def _scan(chunks: DataFrame, path: str) -> DataFrame:
 
     def matrices(b: pa.RecordBatch) -> dict:
         model = model_at(path)
-        made = [_pack(transfer(t, a, model)) for t, a in zip(b.column("text").to_pylist(), b.column("ahead").to_pylist())]
+        made = [_pack(transfer(*r, model)) for r in zip(*(b.column(c).to_pylist() for c in ("text", "ahead", "base")))]
         return {"row": b.column("row"), "chunk": b.column("chunk"), "block": b.column("block"), "matrix": made}
 
     each = stored(map_rows(chunks, matrices, "row bigint, chunk bigint, block bigint, matrix array<string>"), "piece-matrices")
@@ -370,7 +374,7 @@ def encode(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col:
 
     def back(b: pa.RecordBatch) -> dict:
         model = model_at(model_path)
-        rows = zip(*(b.column(c).to_pylist() for c in ("text", "ahead", "entry", "exit")))
+        rows = zip(*(b.column(c).to_pylist() for c in ("text", "ahead", "base", "entry", "exit")))
         return {"row": b.column("row"), "chunk": b.column("chunk"), "ids": _lists([trace(*r, model) for r in rows])}
 
     traced = map_rows(chunks.join(cuts, ["row", "chunk"]), back, "row bigint, chunk bigint, ids array<int>")

@@ -12,19 +12,24 @@ positions. Steps, each over every block of documents:
 1. Rank the sample: the 68-byte names of sample positions are dealt into buckets by name
    and sorted there, one bucket at a time. A name that is there once has a rank of its
    own; suffixes without a shared rank within reach cannot repeat and are dropped.
-2. Long ties: for samples with a shared rank, the names of the 332 bytes around them are
-   sorted the same way. A shared one settles all suffixes of it at once: they repeat.
-3. What is left (beginnings and ends of repeats) is sorted by the names of its 200 bytes,
-   again one bucket at a time.
+2. Long ties: samples of one rank are compared by the names of the 332 bytes around them,
+   which hold every string of 200 bytes that has the sample in it. Samples with equal
+   surroundings settle all those strings at once: they repeat. One of them goes on to the
+   next step for all. The others of the rank go on as far as the names of the 134 bytes
+   up to the sample's end, or from its start, are shared: every string of 200 bytes holds
+   one of the two.
+3. The suffixes that go on (those around the beginnings and ends of repeats) are sorted by
+   the names of their 200 bytes, again one bucket at a time.
 
 What travels is, for each block and bucket, the sorted different names (a name a third of
-all documents share is sent once a block) and one bit a name back. A block's bits come
+all documents share is sent once a block) and a few bits a name back. A block's bits come
 back to it by a join on the block number; the blocks are a table bucketed by that number,
 so their texts are written once and never shuffled. A bucket is sized by bytes, so memory
 does not grow with the input.
 
-Names are 64-bit fingerprints; the bucket comes from another one, which adds as many bits
-as the buckets' number has. In step 1 forty bits are enough, as step 3 decides.
+Names that decide are 64-bit fingerprints, and the bucket comes from another one, which
+adds as many bits as the buckets' number has. Names that only pass suffixes on are shorter;
+a false tie among them costs work and changes nothing.
 """
 
 from __future__ import annotations
@@ -109,84 +114,116 @@ class Block:
 
 
 class Ranking:
-    """One sorting: the names a block sends and what their bits say about its places."""
+    """One sorting: the records a block sends and what the answers say of its places.
 
-    def __init__(self, block: Block, places: np.ndarray, size: int, buckets: int, short: bool) -> None:
-        one, two = block.names(places, size)
-        self.name, first, self.inverse, counts = np.unique(one, return_index=True, return_inverse=True, return_counts=True)
-        bucket = ((two[first] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    Places with one ``key`` are one record; ``columns`` are (values, bytes) that make it
+    up, the low bytes of each.
+    """
+
+    def __init__(self, key: np.ndarray, where: np.ndarray, columns: list[tuple[np.ndarray, int]], buckets: int) -> None:
+        _, first, self.inverse, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        bucket = ((where[first] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         self.order = np.argsort(bucket, kind="stable")
         self.bucket = bucket[self.order].astype(np.int64)
         self.local = (counts > 1)[self.order]
-        self.width = 5 if short else 8
+        rows = first[self.order]
+        self.raw = np.concatenate([c[rows].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n] for c, n in columns], axis=1)
 
-    def messages(self) -> Iterator[tuple[int, bytes, bytes]]:
-        """(bucket, names, bits of names that the block itself has twice)."""
-        raw = self.name[self.order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, : self.width]
+    def _slices(self) -> list[tuple[int, int]]:
         cut = np.flatnonzero(np.diff(self.bucket)) + 1
-        for lo, hi in zip([0, *cut], [*cut, len(self.bucket)]):
-            if hi > lo:
-                yield int(self.bucket[lo]), raw[lo:hi].tobytes(), np.packbits(self.local[lo:hi]).tobytes()
+        return [(int(lo), int(hi)) for lo, hi in zip([0, *cut], [*cut, len(self.bucket)]) if hi > lo]
+
+    def messages(self) -> Iterator[tuple[int, bytes, bytes]]:
+        """(bucket, records, bits of records that the block itself has twice)."""
+        for lo, hi in self._slices():
+            yield int(self.bucket[lo]), np.ascontiguousarray(self.raw[lo:hi]).tobytes(), np.packbits(self.local[lo:hi]).tobytes()
 
-    def shared(self, bits: list[dict]) -> np.ndarray:
-        """Whether each place's name is somewhere else too, from the buckets' answers."""
+    def answers(self, bits: list[dict], n: int) -> list[np.ndarray]:
+        """The ``n`` flags of every place, from the buckets' answers."""
         of = {a["bucket"]: a["bits"] for a in bits or ()}
-        flags = np.zeros(len(self.order), bool)
-        cut = np.flatnonzero(np.diff(self.bucket)) + 1
-        for lo, hi in zip([0, *cut], [*cut, len(self.bucket)]):
-            if hi > lo:
-                flags[lo:hi] = np.unpackbits(np.frombuffer(of[int(self.bucket[lo])], np.uint8), count=hi - lo).astype(bool)
-        by_name = np.zeros(len(self.order), bool)
-        by_name[self.order] = flags
-        return by_name[self.inverse]
+        flags = np.zeros((n, len(self.order)), bool)
+        for lo, hi in self._slices():
+            packed = np.frombuffer(of[int(self.bucket[lo])], np.uint8).reshape(n, -1)
+            flags[:, lo:hi] = np.unpackbits(packed, axis=1, count=hi - lo).astype(bool)
+        by_key = np.zeros_like(flags)
+        by_key[:, self.order] = flags
+        return [f[self.inverse] for f in by_key]
 
 
 class Sorting:
     """The three sortings of a block, as far as the answers at hand go."""
 
     def __init__(self, block: Block, buckets: int, answers: list[list[dict]]) -> None:
-        self.block = b = block
-        samples = b.samples()
+        b, reach = block, block.reach
+        size, half = b.name_bytes, reach // 2
         self.repeats: np.ndarray | None = None
-        self.now = Ranking(b, samples, b.name_bytes, buckets, short=True)
+        samples = b.samples()
+        name, where = b.names(samples, size)
+        self.now = Ranking(name, where, [(name, 4)], buckets)
         if len(answers) < 1:
             return
-        tied = samples[self.now.shared(answers[0])]
-        self.now = Ranking(b, tied - b.reach, b.reach + b.length, buckets, short=False)
+        (shared,) = self.now.answers(answers[0], 1)
+        samples, name, where = samples[shared], name[shared], where[shared]
+        around, _ = b.names(samples - reach, reach + b.length)
+        left, _ = b.names(samples - half, half + size)
+        right, _ = b.names(samples, size + reach - half)
+        self.now = Ranking(around, where, [(name, 4), (around, 8), (left, 3), (right, 3)], buckets)
         if len(answers) < 2:
             return
-        sure = tied[self.now.shared(answers[1])]
-        open_ = b.covered(tied - b.reach, tied + 1) & b.suffixes()
-        known = b.covered(sure - b.reach, sure + 1) & open_
-        places = np.flatnonzero(open_ & ~known)
-        self.now = Ranking(b, places, b.length, buckets, short=False)
+        sure, to_left, to_right = self.now.answers(answers[1], 3)
+        there = b.suffixes()
+        known = b.covered(samples[sure] - reach, samples[sure] + 1) & there
+        lefts, rights = samples[to_left], samples[to_right]
+        open_ = b.covered(np.concatenate([lefts - reach, rights - (reach - half)]), np.concatenate([lefts - half + 1, rights + 1]))
+        places = np.flatnonzero(open_ & there)
+        whole, where = b.names(places, b.length)
+        self.now = Ranking(whole, where, [(whole, 8)], buckets)
         if len(answers) < 3:
             return
-        known[places[self.now.shared(answers[2])]] = True
+        known[places[self.now.answers(answers[2], 1)[0]]] = True
         self.repeats = np.flatnonzero(known)
 
 
-def _sort_bucket(rows: pa.Table) -> pa.Table:
-    """Sort one bucket's names; a bit for each name of each block: it is there twice."""
-    blobs = [np.frombuffer(x, np.uint8) for x in rows.column("names").to_pylist()]
-    width = rows.column("width")[0].as_py()
-    raw = np.concatenate(blobs).reshape(-1, width)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :width] = raw
-    names = wide.view("<u8").ravel()
-    order = np.argsort(names, kind="stable")
-    same = names[order[1:]] == names[order[:-1]]
-    twice = np.zeros(len(names), bool)
+def _twice(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Flags: the key is there twice; it is the first of its kind."""
+    order = np.argsort(keys, kind="stable")
+    same = keys[order[1:]] == keys[order[:-1]]
+    twice, first = np.zeros(len(keys), bool), np.ones(len(keys), bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
-    out, at = [], 0
-    locals_ = rows.column("local").to_pylist()
-    # A name that some block has twice and no other block has is shared as well.
-    for blob, local in zip(blobs, locals_):
-        n = len(blob) // width
-        own = np.unpackbits(np.frombuffer(local, np.uint8), count=n).astype(bool)
-        out.append(np.packbits(twice[at : at + n] | own).tobytes())
-        at += n
+    first[order[1:][same]] = False
+    return twice, first
+
+
+def _wide(raw: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, : raw.shape[1]] = raw
+    return out.view("<u8").ravel()
+
+
+def _ties(raw: np.ndarray, local: np.ndarray) -> list[np.ndarray]:
+    """Step 2 in a bucket: sure, and who goes on to the left and to the right."""
+    around = _wide(raw[:, 4:12])
+    twice, first = _twice(around)
+    sure = twice | local
+    out = [sure]
+    for half in (raw[:, 12:15], raw[:, 15:18]):
+        _, group, n = np.unique(_wide(np.concatenate([raw[:, :4], half], axis=1)), return_inverse=True, return_counts=True)
+        unsure = np.bincount(group, ~sure, len(n)) > 0
+        out.append(((n > 1) & unsure)[group] & (~sure | first))
+    return out
+
+
+def _sort_bucket(rows: pa.Table) -> pa.Table:
+    """Sort one bucket's records, and answer every block with bits for its own."""
+    width = rows.column("width")[0].as_py()
+    blobs = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in rows.column("records").to_pylist()]
+    local = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(b)) for x, b in zip(rows.column("local").to_pylist(), blobs)]).astype(bool)
+    raw = np.concatenate(blobs)
+    # A name that a block has twice and no other block has is shared as well.
+    flags = _ties(raw, local) if width == 18 else [_twice(_wide(raw))[0] | local]
+    ends = np.cumsum([len(b) for b in blobs])
+    out = [b"".join(np.packbits(f[end - len(b) : end]).tobytes() for f in flags) for b, end in zip(blobs, ends)]
     return pa.table({"block": rows.column("block"), "bucket": rows.column("bucket"), "bits": pa.array(out, pa.binary())})
 
 
@@ -238,9 +275,9 @@ def _answer(blocks: DataFrame, answers: list[DataFrame], length: int, buckets: i
                 now = Sorting(Block(np.array(r["sizes"], np.int64), r["data"], length), buckets, [r[f"answer{k}"] for k in range(n)]).now
                 sent = list(now.messages())
                 if sent:
-                    yield pa.RecordBatch.from_arrays([pa.array([r["block"]] * len(sent), pa.int64()), pa.array([s[0] for s in sent], pa.int64()), pa.array([now.width] * len(sent), pa.int32()), pa.array([s[1] for s in sent], pa.binary()), pa.array([s[2] for s in sent], pa.binary())], names=["block", "bucket", "width", "names", "local"])
+                    yield pa.RecordBatch.from_arrays([pa.array([r["block"]] * len(sent), pa.int64()), pa.array([s[0] for s in sent], pa.int64()), pa.array([now.raw.shape[1]] * len(sent), pa.int32()), pa.array([s[1] for s in sent], pa.binary()), pa.array([s[2] for s in sent], pa.binary())], names=["block", "bucket", "width", "records", "local"])
 
-    sent = _with_answers(blocks, answers).select("block", "sizes", "data", *[f"answer{k}" for k in range(n)]).mapInArrow(send, "block bigint, bucket bigint, width int, names binary, local binary")
+    sent = _with_answers(blocks, answers).select("block", "sizes", "data", *[f"answer{k}" for k in range(n)]).mapInArrow(send, "block bigint, bucket bigint, width int, records binary, local binary")
     bits = sent.groupBy("bucket").applyInArrow(_sort_bucket, "block bigint, bucket bigint, bits binary")
     return stored(bits, "suffix-bits")
 

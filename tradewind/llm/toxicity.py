@@ -26,20 +26,37 @@ from .decontaminate import words_of
 @dataclass(frozen=True)
 class Settings:
     """``max_sample`` bounds the fitting sample: so many labelled rows, those with the
-    smallest hash of their id. ``max_features`` bounds what one of them sends."""
+    smallest hash of their id. ``max_words`` bounds the
+    different words that one of them sends."""
 
     grades: int = 3
     max_sample: int = 6000
-    max_features: int = 20000
-    min_rows: int = 5  # rows of the sample a word must be in
-    l1: float = 0.002
-    l2: float = 0.0002
-    steps: int = 300
-    toxic_from: float = 0.5
+    max_words: int = 20000
+    max_features: int = 6000  # those that tell toxic rows apart best
+    min_rows: int = 10  # rows of the sample a feature must be in, and the share of them
+    min_share: float = 1 / 300
+    l1: float = 0.0003
+    l2: float = 0.00001
+    steps: int = 400
+    toxic_from: float = 0.4
 
 
-def features(text: bytes | None) -> Counter:
-    return Counter(words_of(text))
+PREFIXES = (4, 5, 6, 7)
+
+
+def stems(word: bytes) -> list[bytes]:
+    """The features of a word: itself, marked by a blank, and its first bytes, so that
+    words never seen that begin like known ones count too."""
+    return [b" " + word, *[word[:k] for k in PREFIXES if len(word) > k]]
+
+
+def counts(words: dict[bytes, int]) -> dict[bytes, int]:
+    """How often each feature occurs, from how often each word does."""
+    out: dict[bytes, int] = {}
+    for w, n in words.items():
+        for f in stems(w):
+            out[f] = out.get(f, 0) + n
+    return out
 
 
 @dataclass
@@ -53,7 +70,7 @@ def sample(labelled: DataFrame, s: Settings) -> list[tuple[int, dict[bytes, int]
     chosen = labelled.where("toxic is not null and text is not null").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "toxic").limit(s.max_sample)
 
     def fn(b: pa.RecordBatch) -> dict:
-        found = [features(t).most_common(s.max_features) for t in texts(b.column("text"))]
+        found = [Counter(words_of(t)).most_common(s.max_words) for t in texts(b.column("text"))]
         return {"toxic": b.column("toxic"), "words": [b" ".join(w for w, _ in f) for f in found], "counts": [np.array([n for _, n in f], np.int32).tobytes() for f in found]}
 
     rows = map_rows(chosen, fn, "toxic int, words binary, counts binary").collect()
@@ -65,9 +82,8 @@ def fit(data: list[tuple[int, dict[bytes, int]]], s: Settings) -> Model:
     labels = np.array([t for t, _ in data], np.int64)
     if not len(labels) or labels.min() == labels.max():
         return Model({}, np.full(s.grades, 30.0))
-    rows_with = Counter(w for _, c in data for w in c)
-    words = sorted(w for w, n in rows_with.items() if n >= s.min_rows)
-    number = {w: k for k, w in enumerate(words)}
+    data = [(t, counts(words)) for t, words in data]
+    number = chosen(data, labels, s)
     row, col, val = [], [], []
     for r, (_, c) in enumerate(data):
         for w, n in c.items():
@@ -75,23 +91,46 @@ def fit(data: list[tuple[int, dict[bytes, int]]], s: Settings) -> Model:
                 row.append(r)
                 col.append(k)
                 val.append(np.log1p(n))
-    x = _Sparse(np.array(row, np.int64), np.array(col, np.int64), np.array(val), len(data), len(words))
+    words = list(number)
+    x = _Sparse(np.array(row, np.int64), np.array(col, np.int64), np.array(val), len(data), len(number))
     grades = graded(data, labels, number, s)
     w, thresholds = cumulative_link(x, grades, s)
     return Model({words[k]: float(w[k]) for k in np.flatnonzero(w)}, thresholds)
 
 
+def chosen(data: list, labels: np.ndarray, s: Settings) -> dict[bytes, int]:
+    """Numbers for the features in enough rows that have the largest
+    likelihood ratio between toxic and other rows; ties go by the feature itself."""
+    rows_with, toxic_with = Counter(), Counter()
+    for t, (_, c) in zip(labels, data):
+        rows_with.update(c.keys())
+        if t:
+            toxic_with.update(c.keys())
+    least = max(s.min_rows, s.min_share * len(labels))
+    names = sorted(f for f, n in rows_with.items() if n >= least)
+    n = np.array([rows_with[f] for f in names], float)
+    k = np.array([toxic_with[f] for f in names], float)
+    p = labels.mean()
+    gain = _g(k, n * p) + _g(n - k, n * (1 - p))
+    best = np.sort(np.argsort(-gain, kind="stable")[: s.max_features])
+    return {names[i]: j for j, i in enumerate(best)}
+
+
+def _g(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    return seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
+
+
 def graded(data: list, labels: np.ndarray, number: dict[bytes, int], s: Settings) -> np.ndarray:
     """Severity grades: 0 for rows not toxic, 1..K for toxic rows by the share of their
-    words that are at least four times as frequent in toxic rows."""
+    features that are at least four times as frequent in toxic rows."""
     toxic, other = np.ones(len(number)), np.ones(len(number))
     for t, (_, c) in zip(labels, data):
         mine = toxic if t else other
-        for w in c:
-            if (k := number.get(w)) is not None:
+        for f in c:
+            if (k := number.get(f)) is not None:
                 mine[k] += 1
     odd = toxic / (labels.sum() + 2) >= 4 * other / (len(labels) - labels.sum() + 2)
-    share = np.array([sum(n for w, n in c.items() if (k := number.get(w)) is not None and odd[k]) / max(1, sum(c.values())) for _, c in data])
+    share = np.array([sum(n for f, n in c.items() if (k := number.get(f)) is not None and odd[k]) / max(1, sum(c.values())) for _, c in data])
     out = np.zeros(len(labels), np.int64)
     bad = np.flatnonzero(labels)
     ranks = np.empty(len(bad), np.int64)
@@ -154,12 +193,25 @@ def cumulative_link(x: _Sparse, grades: np.ndarray, s: Settings) -> tuple[np.nda
     return w, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
 
 
-def score_text(text: bytes | None, model: Model) -> np.ndarray:
-    """P(grade >= k) for k = 1..K."""
-    weights = model.weights
-    counts = Counter(w for w in words_of(text) if w in weights)
-    total = sum(weights[w] * np.log1p(n) for w, n in counts.items())
-    return _sigmoid(total - model.thresholds)
+class Scorer:
+    """Scores texts; remembers which weighted features the words met so far have."""
+
+    def __init__(self, model: Model, remember: int = 400_000) -> None:
+        self.model, self.remember = model, remember
+        self.known: dict[bytes, tuple[bytes, ...]] = {}
+
+    def above(self, text: bytes | None) -> np.ndarray:
+        """P(grade >= k) for k = 1..K."""
+        known, weights = self.known, self.model.weights
+        if len(known) > self.remember:
+            known.clear()
+        words = words_of(text)
+        for w in words:
+            if w not in known:
+                known[w] = tuple(f for f in stems(w) if f in weights)
+        found = Counter(f for w in words if known[w] for f in known[w])
+        total = sum(weights[f] * np.log1p(n) for f, n in found.items())
+        return _sigmoid(total - self.model.thresholds)
 
 
 def severity(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", settings: Settings = Settings()) -> DataFrame:
@@ -180,7 +232,8 @@ def severity(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_c
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def fn(b: pa.RecordBatch) -> dict:
-        at = [score_text(t, shared.value) for t in texts(b.column("text"))]
+        scorer = Scorer(shared.value)
+        at = [scorer.above(t) for t in texts(b.column("text"))]
         wide = [np.concatenate([[1.0], a, [0.0]]) for a in at]
         p = [w[:-1] - w[1:] for w in wide]
         blank = [not t or t.isspace() for t in texts(b.column("text"))]
