@@ -117,15 +117,17 @@ def _sparse(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 def sample(rows: DataFrame, per_language: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """(lang, numbers, counts) of the fitting sample; its size is bounded by the number
     of languages, ``per_language`` and SIZE."""
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    chosen = rows.withColumn("r", F.row_number().over(w)).where(F.col("r") <= per_language).select("r", "doc_id", "text", "lang")
+    # Cut on narrow rows; only the chosen ids' texts are fetched, and there are few.
+    w = Window.partitionBy("lang").orderBy("h", "doc_id")
+    ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).withColumn("r", F.row_number().over(w)).where(F.col("r") <= per_language)
+    chosen = rows.select("doc_id", "text", "lang").join(ids.groupBy("lang", "doc_id").agg(F.min("r").alias("r")), ["lang", "doc_id"])
 
     def fn(b: pa.RecordBatch) -> dict:
         found = [_sparse(t or b"") for t in texts(b.column("text"))]
         return {"lang": b.column("lang"), "r": b.column("r"), "at": [f[0].tobytes() for f in found], "n": [f[1].tobytes() for f in found]}
 
     got = map_rows(chosen, fn, "lang string, r int, at binary, n binary").collect()
-    return [(r["lang"], np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.int32)) for r in sorted(got, key=lambda r: (r["r"], r["lang"]))]
+    return [(r["lang"], np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.int32)) for r in sorted(got, key=lambda r: (r["r"], r["lang"], r["at"]))]
 
 
 @dataclass

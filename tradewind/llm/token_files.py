@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,33 +63,67 @@ def read_frame(data: memoryview | bytes, at: int) -> tuple[int | None, np.ndarra
     return doc_id if flags & 1 else None, ids.astype(np.uint32), at + 17 + n
 
 
+# White space besides blank and line feed.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_RUNS = ("  ", "\n\n", " \n", "\n ")
+
+
 class Encoder:
     """The tokenizer with a bounded memory of the pieces it has encoded.
 
     Between two characters that are not white space, a single blank or line feed is
-    always the start of a new piece for this kind of tokenizer, so texts without other
-    runs of white space are encoded piece by piece, each different piece once. All other
-    texts go to the tokenizer whole.
+    always the start of a new piece for this kind of tokenizer, and so is a comma or full
+    stop after a letter. Texts whose white space is only that are encoded piece by piece,
+    each different piece once. All other texts go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, remember: int = 500_000) -> None:
+    def __init__(self, path: str, remember: int = 800_000, at_once: int = 1 << 20) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.remember = remember
+        self.remember, self.at_once = remember, at_once
         self.known: dict[str, bytes] = {}
-
-    def encode(self, batch: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
+        # The byte alphabet of such models: bytes that print stand for themselves, the
+        # others follow from U+0100 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.alphabet = {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
+
+    def encode(self, batch: list[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; ``at_once``
+        characters of texts are cut into pieces at a time."""
+        first = size = 0
+        for k, t in enumerate(batch):
+            size += len(t)
+            if size >= self.at_once:
+                yield from self._encode(batch[first : k + 1])
+                first, size = k + 1, 0
+        yield from self._encode(batch[first:])
+
+    def _encode(self, batch: list[str]) -> list[bytes]:
         if len(self.known) > self.remember:
             self.known.clear()
-        known = self.known
+        get = self.known.get
         cut = [self._pieces(t) for t in batch]
-        missing = {p for pieces in cut if pieces for p in pieces if p not in known}
+        found = [pieces and list(map(get, pieces)) for pieces in cut]
+        missing = {p for pieces, ids in zip(cut, found) if pieces and None in ids for p, i in zip(pieces, ids) if i is None}
         if missing:
-            todo = list(missing)
-            for p, e in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False)):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-        get = known.__getitem__
-        return [b"".join(map(get, pieces)) if pieces is not None else self._whole(t) for t, pieces in zip(batch, cut)]
+            self._learn(missing)
+            found = [list(map(get, pieces)) if pieces and None in ids else ids for pieces, ids in zip(cut, found)]
+        return [self._whole(t) if ids is None else b"".join(ids) for t, ids in zip(batch, found)]
+
+    def _learn(self, pieces: set[str]) -> None:
+        known = self.known
+        ends = {p for p in pieces if len(p) > 2 and p[-1] in ",." and p[-2].isalpha()}
+        todo = list({p for p in (pieces - ends) | {p[:-1] for p in ends} | {p[-1] for p in ends} if p not in known})
+        # A blank and letters are one piece for the model; anything else is cut further.
+        words = {p for p in todo if p[0] == " " and p[1:].isalpha()}
+        merge = self.tokenizer.model.tokenize
+        for p in words:
+            known[p] = array("I", [t.id for t in merge(p.encode().decode("latin-1").translate(self.alphabet))]).tobytes()
+        rest = [p for p in todo if p not in words]
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            known[p] = array("I", e.ids).tobytes()
+        for p in ends:
+            known[p] = known[p[:-1]] + known[p[-1]]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -97,18 +132,9 @@ class Encoder:
     def _pieces(text: str) -> list[str] | None:
         if not text:
             return []
-        if "<|" in text or "\x00" in text or text[0].isspace() or text[-1].isspace():
+        if "<|" in text or "\x00" in text or text[0] in " \n" or text[-1] in " \n" or any(c in text for c in _RUNS) or any(c in text for c in _OTHER_SPACE):
             return None
-        pieces = text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
-        # An empty piece or one that begins or ends in white space beside its own blank
-        # means a run of white space.
-        for p in pieces:
-            if len(p) < 2:
-                if p != "\n" and (not p or p.isspace()):
-                    return None
-            elif p[1].isspace() or p[-1].isspace() or (p[0] != " " and p[0].isspace()):
-                return None
-        return pieces
+        return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
 
 
 _encoders: dict[str, Encoder] = {}
