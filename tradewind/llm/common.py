@@ -30,8 +30,9 @@ def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object] | None], ddl: str) -> DataFrame:
-    """``fn`` on every Arrow batch; it returns the columns of ``ddl`` by name."""
+def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object] | None], ddl: str, done: Callable[[], None] = lambda: None) -> DataFrame:
+    """``fn`` on every Arrow batch; it returns the columns of ``ddl`` by name. ``done`` is
+    called when a task has no more batches."""
     spark_schema = schema_of(ddl)
     arrow = to_arrow_schema(spark_schema)
 
@@ -39,6 +40,7 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object] | N
         for b in batches:
             if b.num_rows and (out := fn(b)) is not None:
                 yield pa.RecordBatch.from_arrays([_array(out[f.name], f.type) for f in arrow], schema=arrow)
+        done()
 
     return df.mapInArrow(run, spark_schema)
 

@@ -15,6 +15,7 @@ earlier in sum, then the one whose last pieces are longer; at a cut the smaller
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ BLOCK_CHUNKS = 64
 
 # Scores decide, then the number of pieces, then the sum of the places they begin at.
 _UNIT = 1 << 20
-_PLACES = 44
+_PLACES = 24
 _NONE = None
 
 
@@ -53,6 +54,9 @@ class Model:
                 score = sp.get_score(i)
                 lowest = min(lowest, score)
                 self.weights[p] = ((round(score * _UNIT) - 1) << _PLACES, i)
+        # What a piece begins with, so that a search ends where no piece goes on.
+        self.begins: dict[str, int | None] = {p[:k]: None for p in self.weights for k in range(1, len(p))}
+        self.begins.update((p, w) for p, (w, _) in self.weights.items())
         # Fixed value: an unknown character weighs ten points less than the rarest piece.
         self.unknown = (round((lowest - 10.0) * _UNIT) - 1) << _PLACES
         self.unknown_id = sp.unk_id()
@@ -68,18 +72,32 @@ class Model:
             if sp.is_control(i):
                 raw[i] = b""
         self.raw = raw
-        self.known: dict[str, tuple[bytes, int]] = {}  # ids and weight of words met
+        self.known: dict[str, bytes] = {}  # ids of words met
+        self.heavy: dict[str, int] = {}  # their weights, where a matrix needed them
 
     @property
     def cuttable(self) -> bool:
         """No piece goes across the blank in front of a word, or a line feed."""
         return self.breaks_at_blank and self.alone_line
 
-    def word(self, unit: str) -> tuple[bytes, int]:
+    def forget(self) -> None:
+        self.known.clear()
+        self.heavy.clear()
+
+    def word(self, unit: str) -> bytes:
         found = self.known.get(unit)
         if found is None:
-            pieces = segment(unit, self)
-            found = self.known[unit] = _ids(pieces, self), sum(self.weight(p) for p in pieces)
+            found = self.known[unit] = _ids(segment(unit.replace(" ", BLANK), self), self)
+        return found
+
+    def word_weight(self, unit: str) -> int:
+        found = self.heavy.get(unit)
+        if found is None:
+            at, found = 0, 0
+            for p in segment(unit, self):
+                found += self.weight(p) - at
+                at += len(p)
+            self.heavy[unit] = found
         return found
 
     def weight(self, piece: str) -> int:
@@ -98,30 +116,38 @@ def segment(text: str, model: Model, entry: int = 0, exit_: int = 0, ahead: str
     """The pieces of the heaviest segmentation of text[entry:] + ahead[:exit_]; ``base`` is
     where the text begins."""
     body = text + ahead[:exit_]
-    n = len(body)
+    n, size = len(body), len(text)
+    # No piece may begin between the chunk's end and the state's end.
+    last = size if exit_ else n
     best: list[int | None] = [_NONE] * (n + 1)
     came = [0] * (n + 1)
     best[entry] = 0
-    get, longest, unknown, size = model.weights.get, model.longest, model.unknown, len(text)
-    for i in range(entry, size if exit_ else n):
+    begins, unknown = model.begins, model.unknown
+    for i in range(entry, last):
         now = best[i]
         if now is None:
             continue
         now -= base + i
-        for j in range(i + 1, min(n, i + longest) + 1):
-            # Between the chunk's end and the state's end no piece may begin.
-            if size < j < n:
-                continue
-            found = get(body[i:j])
-            if found is None:
-                if j > i + 1:
-                    continue
-                w = now + unknown
-            else:
-                w = now + found[0]
-            if best[j] is None or w > best[j]:
+        j = i + 1
+        found = begins.get(body[i], 0)
+        if not found and (j <= last or j == n):
+            # A character that is no piece stands for itself.
+            w = now + unknown
+            old = best[j]
+            if old is None or w > old:
                 best[j] = w
                 came[j] = i
+        while found != 0:
+            if found is not None and (j <= last or j == n):
+                w = now + found
+                old = best[j]
+                if old is None or w > old:
+                    best[j] = w
+                    came[j] = i
+            j += 1
+            if j > n:
+                break
+            found = begins.get(body[i:j], 0)
     out: list[str] = []
     j = n
     while j > entry:
@@ -141,22 +167,24 @@ _UNITS = re.compile(f"\n|{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+")
 def encode_text(text: str, model: Model) -> bytes:
     """The ids of a text of one chunk, four bytes each; every different word is a text of
     its own and encoded once."""
-    body = normalized(text)
+    if not text:
+        return b""
     if not model.cuttable:
-        return _ids(segment(body, model), model)
-    units = _UNITS.findall(body)
-    known = _met(units, model)
-    return b"".join([known[u][0] for u in units])
+        return _ids(segment(normalized(text), model), model)
+    if "  " in text or BLANK in text or "\x00" in text or text[0] == " ":
+        units = _UNITS.findall(normalized(text))
+    else:  # the same words, quicker to cut; an empty one between two cuts has no ids
+        units = f" {text}".replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
+    return _known(units, model)
 
 
-def _met(units: list[str], model: Model, remember: int = 300_000) -> dict[str, tuple[bytes, int]]:
-    if len(model.known) > remember:
-        model.known.clear()
-    known = model.known
-    for u in units:
-        if u not in known:
-            model.word(u)
-    return known
+def _known(units: list[str], model: Model, remember: int = 400_000) -> bytes:
+    ids = list(map(model.known.get, units))
+    if None in ids:
+        if len(model.known) > remember:
+            model.forget()
+        ids = list(map(model.word, units))
+    return b"".join(ids)
 
 
 def _split(text: str, model: Model) -> tuple[int, int, list[str]]:
@@ -173,13 +201,16 @@ def trace(text: str, ahead: str, base: int, entry: int, exit_: int, model: Model
     first, last, units = _split(text, model)
     if not first:
         return _ids(segment(text, model, entry, exit_, ahead, base), model)
-    known = _met(units, model)
     head, tail = segment(text[:first], model, entry, 0, "", base), segment(text[last:], model, 0, exit_, ahead, base + last)
-    return b"".join([_ids(head, model), *[known[u][0] for u in units], _ids(tail, model)])
+    return b"".join([_ids(head, model), _known(units, model), _ids(tail, model)])
 
 
 def _ids(pieces: list[str], model: Model) -> bytes:
-    return np.array([i for p in pieces for i in model.ids_of(p)], "<u4").tobytes()
+    weights = model.weights
+    try:
+        return array("I", [weights[p][1] for p in pieces]).tobytes()
+    except KeyError:
+        return array("I", [i for p in pieces for i in model.ids_of(p)]).tobytes()
 
 
 Matrix = list[list[int | None]]
@@ -191,8 +222,7 @@ def transfer(text: str, ahead: str, base: int, model: Model) -> Matrix:
     first, last, units = _split(text, model)
     if not first:
         return _transfer(text, ahead, base, model)
-    known = _met(units, model)
-    middle = sum(known[u][1] for u in units)
+    middle = sum(map(model.word_weight, units))
     head = [row[0] for row in _transfer(text[:first], "", base, model)]
     tail = _transfer(text[last:], ahead, base + last, model)[0]
     return [[_NONE if h is None or t is None else h + middle + t for t in tail] for h in head]
@@ -204,15 +234,17 @@ def _transfer(text: str, ahead: str, base: int, model: Model) -> Matrix:
     body = text + ahead
     out: Matrix = []
     tails: dict[int, list[int | None]] = {}
-    get = model.weights.get
+    get, alone = model.begins.get, model.weights
 
     def ends(i: int) -> Iterator[tuple[int, int]]:
+        if body[i] not in alone:
+            yield i + 1, model.unknown - base - i
         for j in range(i + 1, min(len(body), i + states) + 1):
-            found = get(body[i:j])
+            found = get(body[i:j], 0)
+            if found == 0:
+                return
             if found is not None:
-                yield j, found[0] - base - i
-            elif j == i + 1:
-                yield j, model.unknown - base - i
+                yield j, found - base - i
 
     # Backward over the chunk: the best way from a character to each state at its end.
     for i in range(size - 1, -1, -1):
@@ -322,7 +354,7 @@ def _scan(chunks: DataFrame, path: str) -> DataFrame:
         made = [_pack(transfer(*r, model)) for r in zip(*(b.column(c).to_pylist() for c in ("text", "ahead", "base")))]
         return {"row": b.column("row"), "chunk": b.column("chunk"), "block": b.column("block"), "matrix": made}
 
-    each = stored(map_rows(chunks, matrices, "row bigint, chunk bigint, block bigint, matrix array<string>"), "piece-matrices")
+    each = stored(map_rows(chunks, matrices, "row bigint, chunk bigint, block bigint, matrix array<string>", lambda: model_at(path).forget()), "piece-matrices")
 
     def combine(t: pa.Table) -> pa.Table:
         rows = sorted(t.to_pylist(), key=lambda r: r["chunk"])
@@ -365,7 +397,10 @@ def encode(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col:
         found = [encode_text((t or b"").decode("utf-8", "replace"), model) for t in texts(b.column("text"))]
         return {"doc_id": b.column("doc_id"), "ids": _lists(found), "n_chunks": [1 if f else 0 for f in found]}
 
-    whole = map_rows(docs.where(~is_long), short, f"doc_id {kind}, ids array<int>, n_chunks bigint")
+    def forget() -> None:  # a worker lives on after its task
+        model_at(model_path).forget()
+
+    whole = map_rows(docs.where(~is_long), short, f"doc_id {kind}, ids array<int>, n_chunks bigint", forget)
 
     # Numbered once, in a written table: a number computed twice may come out differently.
     long = stored(docs.where(is_long).withColumn("row", F.monotonically_increasing_id()), "piece-texts")
@@ -377,7 +412,7 @@ def encode(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col:
         rows = zip(*(b.column(c).to_pylist() for c in ("text", "ahead", "base", "entry", "exit")))
         return {"row": b.column("row"), "chunk": b.column("chunk"), "ids": _lists([trace(*r, model) for r in rows])}
 
-    traced = map_rows(chunks.join(cuts, ["row", "chunk"]), back, "row bigint, chunk bigint, ids array<int>")
+    traced = map_rows(chunks.join(cuts, ["row", "chunk"]), back, "row bigint, chunk bigint, ids array<int>", forget)
     joined = traced.groupBy("row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids"), F.count(F.lit(1)).alias("n_chunks"))
     return whole.union(long.select("row", "doc_id").join(joined, "row").select("doc_id", "ids", "n_chunks"))
 
