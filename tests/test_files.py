@@ -309,3 +309,21 @@ def test_lakehouse_drops_the_directory_date(spark, root):
     raw_day(f"{root}/raw", "2026-06-01", 0)
     gold = lakehouse.run(spark, f"{root}/raw", "lt_", f"{root}/lake")
     assert [(r.category, r.daily_revenue, r.total_items_sold, r.total_order_count) for r in gold.collect()] == [("Toys", 9.0, 6, 3)]
+
+
+def test_old_files_arrive_late(spark, root):
+    """A later delivery may be dated years back: its rows and its new column count."""
+    import os
+
+    from tradewind.streaming import ingest
+
+    os.makedirs(f"{root}/late")
+    for k, line in enumerate(['{"a": 1}', '{"a": 2, "b": 5}']):
+        with open(f"{root}/late/{k}.json", "w") as f:
+            f.write(line + "\n")
+        if k:
+            os.utime(f"{root}/late/{k}.json", (1e9, 1e9))
+        schema = ingest.evolve_schema(spark, f"{root}/late", f"{root}/late-schema.json")
+        got = ingest.ingest_stream(spark, f"{root}/late", schema, f"{root}/late-out", f"{root}/late-log")
+    assert schema.names == ["a", "b"]
+    assert sorted((r["a"], r["b"]) for r in got.collect()) == [("1", None), ("2", "5")]

@@ -41,6 +41,11 @@ class Rule:
     ref_col: str | None = None
 
 
+def _exact(number: float) -> str:
+    """The number as given, whole ones without a fraction: no two share a text."""
+    return str(int(number)) if float(number).is_integer() else repr(number)
+
+
 def is_complete(col: str) -> Rule:
     return Rule(f'IsComplete "{col}"', col, "row", lambda c: F.col(c).isNotNull())
 
@@ -53,7 +58,7 @@ def is_unique(col: str) -> Rule:
 def column_values(col: str, op: str, bound: float) -> Rule:
     """``col op bound``; null fails."""
     return Rule(
-        f'ColumnValues "{col}" {op} {bound:g}',
+        f'ColumnValues "{col}" {op} {_exact(bound)}',
         col,
         "row",
         lambda c: F.coalesce(_OPS[op](F.col(c), F.lit(bound)), F.lit(False)),
@@ -65,7 +70,7 @@ def referential(
 ) -> Rule:
     """``col`` must occur as ``ref_col`` in ``ref``; null fails."""
     return Rule(
-        f'ReferentialIntegrity "{col}" "{ref_name}.{{{ref_col}}}" {op} {value:.1f}',
+        f'ReferentialIntegrity "{col}" "{ref_name}.{{{ref_col}}}" {op} {float(value)!r}',
         col,
         "reference",
         lambda c: F.col(c).isNotNull(),

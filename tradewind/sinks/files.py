@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +41,10 @@ def publish_snapshot(df: DataFrame, path: str, spark: SparkSession | None = None
     spark = spark or df.sparkSession
     df.write.mode("error").parquet(f"{path}/data")
     written = spark.read.parquet(f"{path}/data")
-    # One entry per file with rows: as many lines as the manifest itself has.
+    # One entry per file with rows: as many lines as the manifest itself has. Spark gives
+    # paths percent-encoded; readers take them plain.
     files = file_inventory(written).orderBy("file_path").select("file_path", "file_size").collect()
-    entries = [{"url": f.file_path, "mandatory": True, "meta": {"content_length": f.file_size}} for f in files]
+    entries = [{"url": unquote(f.file_path), "mandatory": True, "meta": {"content_length": f.file_size}} for f in files]
     manifest = f"{path}/manifest.json"
     write_text(spark, manifest, json.dumps({"entries": entries}, indent=1))
     return manifest

@@ -114,10 +114,10 @@ def land_by_filename_date(df: DataFrame, out_root: str, partition: str = "date")
 
 
 def load_errors(
-    spark: SparkSession, path: str, schema: Schema, fmt: str = "csv", n: int | None = 5, header: bool = True
+    spark: SparkSession, path: str, schema: Schema, fmt: str = "csv", n: int | None = None, header: bool = True
 ) -> DataFrame:
     """(file_name, modified, raw_record, reason): records that do not fit ``schema``,
-    newest file first; ``n=None`` for all of them.
+    all of them, or the ``n`` first with the newest file first.
 
     The reason names the columns whose text does not parse.
     """

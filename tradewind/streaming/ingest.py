@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 
 from pyspark.errors import AnalysisException
@@ -11,8 +10,9 @@ from pyspark.sql import types as T
 
 from ..sources.fs import exists, read_text, write_text
 
-# The newest file may be older than its neighbours' clocks say; look back this far.
-_CLOCK_SLACK = dt.timedelta(minutes=10)
+# Files are told apart by name alone, in the stream's checkpoint: one that arrives with an
+# old date, as after a backfill or a copy that keeps dates, is as new as any other.
+_ANY_AGE = "100000d"
 
 
 def stream_to_table(
@@ -36,12 +36,12 @@ def stream_to_table(
 
 
 def open_stream(
-    spark: SparkSession, src: str, schema: T.StructType | str, fmt: str = "json", max_file_age: str = "365d", **options
+    spark: SparkSession, src: str, schema: T.StructType | str, fmt: str = "json", max_file_age: str = _ANY_AGE, **options
 ) -> DataFrame:
     """The files below ``src`` as a stream.
 
-    ``max_file_age``: a new file is overlooked if it was modified this much before
-    the newest one already read.
+    ``max_file_age``: set it only to have a new file overlooked that was modified this
+    much before the newest one already read; by default none is.
     """
     return (
         spark.readStream.schema(schema)
@@ -73,26 +73,29 @@ def evolve_schema(
 ) -> T.StructType:
     """The schema stored at ``schema_path``, widened by new columns found in ``src``.
 
-    Only files modified since the last call are looked at. A known column keeps its
-    type; a new one goes at the end, as a string unless ``infer_types``. Call it
-    before each start of the stream.
+    Only files that no earlier call has looked at are read, whatever their date; their
+    names are kept in a table beside ``schema_path``. A known column keeps its type; a
+    new one goes at the end, as a string unless ``infer_types``. Call it before each
+    start of the stream.
     """
     stored = read_text(spark, schema_path)
-    state = json.loads(stored) if stored else {"schema": T.StructType().jsonValue(), "looked": None}
-    known = T.StructType.fromJson(state["schema"])
-    started = dt.datetime.now(dt.timezone.utc)
-    reader = spark.read.format(fmt).option("primitivesAsString", not infer_types)
-    if state["looked"]:
-        reader = reader.option("modifiedAfter", state["looked"])
+    known = T.StructType.fromJson(json.loads(stored)["schema"]) if stored else T.StructType()
+    seen_path = f"{schema_path}.files"
     try:
-        found = reader.load(src).schema
+        here = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(src).select("path")
+        if exists(spark, seen_path):
+            here = here.join(spark.read.schema("path string").parquet(seen_path), "path", "left_anti")
+        new = [r.path for r in here.collect()]  # names of the files to come, not their rows
+        found = spark.read.format(fmt).option("primitivesAsString", not infer_types).load(new).schema if new else T.StructType()
     except AnalysisException as e:
-        # No file, or none that is new.
+        # No file, or none with a row.
         if e.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
             raise
-        found = T.StructType()
+        new, found = [], T.StructType()
     names = {f.name.lower() for f in known.fields}
     merged = T.StructType([*known.fields, *[f for f in found.fields if f.name.lower() not in names]])
-    looked = (started - _CLOCK_SLACK).strftime("%Y-%m-%dT%H:%M:%S")
-    write_text(spark, schema_path, json.dumps({"schema": merged.jsonValue(), "looked": looked}))
+    # The schema first: a run that ends between the two looks at the files again.
+    write_text(spark, schema_path, json.dumps({"schema": merged.jsonValue()}))
+    if new:
+        spark.createDataFrame([(p,) for p in new], "path string").coalesce(1).write.mode("append").parquet(seen_path)
     return merged
