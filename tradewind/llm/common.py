@@ -30,6 +30,19 @@ def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
+SLICE_BYTES = 2 << 20
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every row, in batches of about ``SLICE_BYTES``: Python objects take several times
+    the bytes of the texts they are made from."""
+    for b in batches:
+        if b.num_rows:
+            step = max(1, b.num_rows // max(1, b.nbytes // SLICE_BYTES))
+            for first in range(0, b.num_rows, step):
+                yield b.slice(first, step)
+
+
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object] | None], ddl: str, done: Callable[[], None] = lambda: None) -> DataFrame:
     """``fn`` on every Arrow batch; it returns the columns of ``ddl`` by name. ``done`` is
     called when a task has no more batches."""
@@ -37,8 +50,8 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object] | N
     arrow = to_arrow_schema(spark_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows and (out := fn(b)) is not None:
+        for b in _slices(batches):
+            if (out := fn(b)) is not None:
                 yield pa.RecordBatch.from_arrays([_array(out[f.name], f.type) for f in arrow], schema=arrow)
         done()
 
@@ -63,11 +76,10 @@ def append(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object]], ddl
     more = to_arrow_schema(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                out = fn(b)
-                cols = [*b.columns, *(_array(out[f.name], f.type) for f in more)]
-                yield pa.RecordBatch.from_arrays(cols, schema=pa.schema([*b.schema, *more]))
+        for b in _slices(batches):
+            out = fn(b)
+            cols = [*b.columns, *(_array(out[f.name], f.type) for f in more)]
+            yield pa.RecordBatch.from_arrays(cols, schema=pa.schema([*b.schema, *more]))
 
     return df.mapInArrow(run, spark_schema)
 

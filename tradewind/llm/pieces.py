@@ -444,7 +444,7 @@ def decode(df: DataFrame, model_path: str, *, id_col: str = "doc_id", ids_col: s
 
 
 def _arrays(column: pa.ListArray) -> list[np.ndarray | None]:
-    offsets, values = np.asarray(column.offsets), np.asarray(column.values)
+    offsets, values = np.asarray(column.offsets), np.asarray(column.values)  # offsets count from the whole array
     return [values[a:b] if ok else None for a, b, ok in zip(offsets[:-1], offsets[1:], column.is_valid().to_pylist())]
 
 

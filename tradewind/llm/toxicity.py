@@ -230,9 +230,12 @@ def severity(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_c
     cut = marks.where("toxic is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.max_sample)
     model = fit(sample(docs.join(cut, "doc_id"), settings), settings)
     shared = df.sparkSession.sparkContext.broadcast(model)
+    scorers: list[Scorer] = []
 
     def fn(b: pa.RecordBatch) -> dict:
-        scorer = Scorer(shared.value)
+        if not scorers:  # one a task
+            scorers.append(Scorer(shared.value))
+        scorer = scorers[0]
         at = [scorer.above(t) for t in texts(b.column("text"))]
         wide = [np.concatenate([[1.0], a, [0.0]]) for a in at]
         p = [w[:-1] - w[1:] for w in wide]
