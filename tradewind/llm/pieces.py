@@ -73,7 +73,6 @@ class Model:
                 raw[i] = b""
         self.raw = raw
         self.known: dict[str, bytes] = {}  # ids of words met
-        self.heavy: dict[str, int] = {}  # their weights, where a matrix needed them
 
     @property
     def cuttable(self) -> bool:
@@ -82,7 +81,6 @@ class Model:
 
     def forget(self) -> None:
         self.known.clear()
-        self.heavy.clear()
 
     def word(self, unit: str) -> bytes:
         found = self.known.get(unit)
@@ -90,16 +88,6 @@ class Model:
             found = self.known[unit] = _ids(segment(unit.replace(" ", BLANK), self), self)
         return found
 
-    def word_weight(self, unit: str) -> int:
-        found = self.heavy.get(unit)
-        if found is None:
-            at, found = 0, 0
-            for p in segment(unit, self):
-                found += self.weight(p) - at
-                at += len(p)
-            self.heavy[unit] = found
-        return found
-
     def weight(self, piece: str) -> int:
         found = self.weights.get(piece)
         return found[0] if found else self.unknown
@@ -218,14 +206,14 @@ Matrix = list[list[int | None]]
 
 def transfer(text: str, ahead: str, base: int, model: Model) -> Matrix:
     """A chunk's matrix; ``ahead`` is the text after it, as far as a piece can reach. All
-    ways meet where a word begins, so only the ends of the chunk have several."""
-    first, last, units = _split(text, model)
+    ways meet where a word begins, so only the ends of the chunk have several. The words
+    between weigh the same on every way; they are left out, as only differences count."""
+    first, last, _ = _split(text, model)
     if not first:
         return _transfer(text, ahead, base, model)
-    middle = sum(map(model.word_weight, units))
     head = [row[0] for row in _transfer(text[:first], "", base, model)]
     tail = _transfer(text[last:], ahead, base + last, model)[0]
-    return [[_NONE if h is None or t is None else h + middle + t for t in tail] for h in head]
+    return [[_NONE if h is None or t is None else h + t for t in tail] for h in head]
 
 
 def _transfer(text: str, ahead: str, base: int, model: Model) -> Matrix:
