@@ -265,6 +265,15 @@ def test_segmentation_equals_all_ways(model_path):
         assert weight(pieces.segment(w, model)) == max(map(weight, every_way(w, model)))
 
 
+def test_words_together_equal_words_alone(docs, model_path):
+    """Ties, characters without a piece, words of blanks and long ones included."""
+    model = pieces.Model(model_path)
+    words = sorted({u for _, t in docs for u in pieces._units(t or "") if 0 < len(u) <= model.trie.word_chars})
+    words += [" ", "   ", "bbbbbbbb", " ßüüßa日本x", "\n", "\x00", " \U0001f600ก", "ab" * 32, " " * 64]
+    alone = [pieces._ids(pieces.segment(w.replace(" ", pieces.BLANK), model), model) for w in words]
+    assert pieces.segment_words(words, model) == alone
+
+
 def test_op5_round_trips(spark, docs):
     got = run(spark, "op5_sentencepiece")
     assert [(r["doc_id"], r["text_sha256"]) for r in got] == [(i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in docs]

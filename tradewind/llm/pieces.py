@@ -14,10 +14,12 @@ earlier in sum, then the one whose last pieces are longer; at a cut the smaller
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,9 @@ BLOCK_CHUNKS = 64
 _UNIT = 1 << 20
 _PLACES = 24
 _NONE = None
+# The same for words of up to so many characters, whose places add up to less than 1 << 12.
+_WORD_CHARS = 64
+_WORD_PLACES = 12
 
 
 class Model:
@@ -73,6 +78,7 @@ class Model:
                 raw[i] = b""
         self.raw = raw
         self.known: dict[str, bytes] = {}  # ids of words met
+        self.trie = Trie(self)
 
     @property
     def cuttable(self) -> bool:
@@ -100,6 +106,134 @@ class Model:
         return raw if min(raw) >= 0 else [self.unknown_id]
 
 
+class Trie:
+    """A model's pieces as arrays, in which many words are looked up at once: a state is a
+    beginning of a piece, and an open-addressed table leads from state and character to
+    the next state."""
+
+    _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+    _FREE = np.uint64(2**64 - 1)
+
+    def __init__(self, model: Model) -> None:
+        number = {"": 0} | {p: k for k, p in enumerate(model.begins, 1)}
+        self.weight = np.zeros(len(number), np.int64)  # 0: no piece ends here
+        self.id = np.full(len(number), -1, np.int64)
+        # The model's weights without a common factor, which only has to exceed a word's
+        # number of pieces; sums of them then fit in 64 bits. State 0 is an unknown character.
+        scores = [(w >> _PLACES) + 1 for w, _ in model.weights.values()] + [(model.unknown >> _PLACES) + 1]
+        factor = math.gcd(*scores) or 1
+        scale = min(factor, 2 * _WORD_CHARS)
+        at = [*map(number.get, model.weights), 0]
+        self.weight[at] = [(s // factor * scale - 1) << _WORD_PLACES for s in scores]
+        self.id[at[:-1]] = [i for _, i in model.weights.values()]
+        self.word_chars = min(_WORD_CHARS, (1 << 62) // -int(self.weight.min()))
+        keys = np.array([number[p[:-1]] << 21 | ord(p[-1]) for p in model.begins], np.uint64)
+        bits = (8 * len(number)).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.last = np.uint64((1 << bits) - 1)
+        self.keys = np.full(1 << bits, self._FREE)
+        self.next = np.zeros(1 << bits, np.int32)
+        left, at = np.arange(len(keys)), (keys * self._SPREAD) >> self.shift
+        while left.size:
+            free = self.keys[at[left]] == self._FREE
+            _, first = np.unique(at[left][free], return_index=True)
+            put = left[free][first]
+            self.keys[at[put]], self.next[at[put]] = keys[put], put + 1
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + np.uint64(1)) & self.last
+
+    def step(self, state: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The states after one more character; 0 where no piece goes on."""
+        key = state.astype(np.uint64) << np.uint64(21) | char
+        at = (key * self._SPREAD) >> self.shift
+        out = np.zeros(len(key), np.int32)
+        left = np.arange(len(key))
+        while left.size:
+            found = self.keys[at]
+            same = found == key
+            out[left[same]] = self.next[at[same]]
+            on = np.flatnonzero(~same & (found != self._FREE))
+            left, key, at = left[on], key[on], (at[on] + np.uint64(1)) & self.last
+        return out
+
+
+def segment_words(words: list[str], model: Model) -> list[bytes]:
+    """The ids of every word, as ``segment`` finds them, for all words in the same steps."""
+    trie = model.trie
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    chars = np.frombuffer("".join(words).replace(" ", BLANK).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    ends = np.cumsum(size)
+    word = np.repeat(np.arange(len(words)), size)
+    place = np.arange(len(chars)) - (ends - size)[word]
+
+    # Every piece that begins at a character, all characters a step further at a time.
+    begin, state = np.arange(len(chars)), np.zeros(len(chars), np.int32)
+    froms, lengths, states = [], [], []
+    for k in range(1, model.longest + 1):
+        state = trie.step(state, chars[begin + k - 1])
+        ok = trie.weight[state] != 0 if k == 1 else (state > 0) & (trie.weight[state] != 0)
+        if k == 1:  # a character that is no piece stands for itself, as state 0
+            froms.append(begin)
+            states.append(np.where(ok, state, 0))
+        else:
+            froms.append(begin[ok])
+            states.append(state[ok])
+        lengths.append(np.full(len(froms[-1]), k, np.int64))
+        on = (state > 0) & (begin + k < ends[word[begin]])
+        begin, state = begin[on], state[on]
+        if not begin.size:
+            break
+    start, length, piece = map(np.concatenate, (froms, lengths, states))
+
+    # Ways by where they begin in their word and their length: each word at most once a group.
+    group = place[start] * (model.longest + 1) + length
+    order = np.argsort(group.astype(np.int16), kind="stable")
+    start, length, piece, group = start[order], length[order], piece[order], group[order]
+    node, weight = start + word[start], trie.weight[piece] - place[start]
+    first = np.arange(len(words)) + ends - size  # a word's node before its first character
+    best = np.full(len(chars) + len(words), np.iinfo(np.int64).min, np.int64)
+    best[first] = 0
+    back, via = np.zeros(len(best), np.int64), np.zeros(len(best), np.int32)
+    cuts = np.flatnonzero(np.diff(group, prepend=-1, append=-1)).tolist()
+    for a, b in zip(cuts, cuts[1:]):
+        now = best[node[a:b]] + weight[a:b]
+        to = node[a:b] + length[a]
+        better = now > best[to]
+        to = to[better]
+        best[to], back[to], via[to] = now[better], length[a], piece[a:b][better]
+
+    # All words back from their ends, a piece at a time.
+    at, open_, rounds = first + size, np.arange(len(words)), []
+    while (open_ := open_[at[open_] > first[open_]]).size:
+        rounds.append((open_, trie.id[via[at[open_]]]))
+        at[open_] -= back[at[open_]]
+    count = np.zeros(len(words), np.int64)
+    for which, _ in rounds:
+        count[which] += 1
+    until = np.cumsum(count)
+    ids = np.zeros(int(count.sum()), np.int64)
+    for k, (which, found) in enumerate(rounds):
+        ids[until[which] - 1 - k] = found
+    raw = ids.astype("<u4").tobytes()
+    out = [raw[4 * a : 4 * b] for a, b in zip((until - count).tolist(), until.tolist())]
+    for k in np.unique(np.repeat(np.arange(len(words)), count)[ids < 0]).tolist():  # bytes of unknown characters
+        out[k] = _ids(segment(words[k].replace(" ", BLANK), model), model)
+    return out
+
+
+def learn(units: Iterable[str], model: Model, remember: int = 400_000) -> None:
+    """Encode the words not met before; beyond ``remember`` words, older ones are forgotten
+    and would be encoded again."""
+    if len(model.known) > remember:
+        model.forget()
+    known = model.known
+    new = [u for u in set(units) if u not in known and 0 < len(u) <= model.trie.word_chars]
+    new.sort(key=len)
+    for k in range(0, len(new), 1 << 12):
+        some = new[k : k + (1 << 12)]
+        known.update(zip(some, segment_words(some, model)))
+
+
 def segment(text: str, model: Model, entry: int = 0, exit_: int = 0, ahead: str = "", base: int = 0) -> list[str]:
     """The pieces of the heaviest segmentation of text[entry:] + ahead[:exit_]; ``base`` is
     where the text begins."""
@@ -152,25 +286,31 @@ def normalized(text: str) -> str:
 _UNITS = re.compile(f"\n|{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+")
 
 
-def encode_text(text: str, model: Model) -> bytes:
-    """The ids of a text of one chunk, four bytes each; every different word is a text of
+def _units(text: str) -> list[str]:
+    """The words of a text, each with the blanks in front of it, and its line feeds."""
+    if "  " in text or BLANK in text or "\x00" in text or text[:1] == " ":
+        return _UNITS.findall(normalized(text))
+    # The same words, quicker to cut; an empty one between two cuts has no ids.
+    return f" {text}".replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00") if text else []
+
+
+def encode_texts(bodies: list[str], model: Model) -> list[bytes]:
+    """The ids of texts of one chunk, four bytes each; every different word is a text of
     its own and encoded once."""
-    if not text:
-        return b""
     if not model.cuttable:
-        return _ids(segment(normalized(text), model), model)
-    if "  " in text or BLANK in text or "\x00" in text or text[0] == " ":
-        units = _UNITS.findall(normalized(text))
-    else:  # the same words, quicker to cut; an empty one between two cuts has no ids
-        units = f" {text}".replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
-    return _known(units, model)
+        return [_ids(segment(normalized(t), model), model) for t in bodies]
+    cut = [_units(t) for t in bodies]
+    learn(chain.from_iterable(cut), model)
+    return [_known(units, model) for units in cut]
+
+
+def encode_text(text: str, model: Model) -> bytes:
+    return encode_texts([text], model)[0]
 
 
-def _known(units: list[str], model: Model, remember: int = 400_000) -> bytes:
+def _known(units: list[str], model: Model) -> bytes:
     ids = list(map(model.known.get, units))
     if None in ids:
-        if len(model.known) > remember:
-            model.forget()
         ids = list(map(model.word, units))
     return b"".join(ids)
 
@@ -184,13 +324,18 @@ def _split(text: str, model: Model) -> tuple[int, int, list[str]]:
     return places[0], places[-1], [text[a:b] for a, b in zip(places, places[1:])]
 
 
-def trace(text: str, ahead: str, base: int, entry: int, exit_: int, model: Model) -> bytes:
-    """The ids of a chunk between two states."""
-    first, last, units = _split(text, model)
-    if not first:
-        return _ids(segment(text, model, entry, exit_, ahead, base), model)
-    head, tail = segment(text[:first], model, entry, 0, "", base), segment(text[last:], model, 0, exit_, ahead, base + last)
-    return b"".join([_ids(head, model), _known(units, model), _ids(tail, model)])
+def trace(rows: list[tuple[str, str, int, int, int]], model: Model) -> list[bytes]:
+    """The ids of chunks (text, ahead, base, entry, exit) between their two states."""
+    cut = [_split(r[0], model) for r in rows]
+    learn(chain.from_iterable(units for _, _, units in cut), model)
+    out = []
+    for (text, ahead, base, entry, exit_), (first, last, units) in zip(rows, cut):
+        if not first:
+            out.append(_ids(segment(text, model, entry, exit_, ahead, base), model))
+            continue
+        head, tail = segment(text[:first], model, entry, 0, "", base), segment(text[last:], model, 0, exit_, ahead, base + last)
+        out.append(b"".join([_ids(head, model), _known(units, model), _ids(tail, model)]))
+    return out
 
 
 def _ids(pieces: list[str], model: Model) -> bytes:
@@ -382,7 +527,7 @@ def encode(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col:
 
     def short(b: pa.RecordBatch) -> dict:
         model = model_at(model_path)
-        found = [encode_text((t or b"").decode("utf-8", "replace"), model) for t in texts(b.column("text"))]
+        found = encode_texts([(t or b"").decode("utf-8", "replace") for t in texts(b.column("text"))], model)
         return {"doc_id": b.column("doc_id"), "ids": _lists(found), "n_chunks": [1 if f else 0 for f in found]}
 
     def forget() -> None:  # a worker lives on after its task
@@ -397,8 +542,8 @@ def encode(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col:
 
     def back(b: pa.RecordBatch) -> dict:
         model = model_at(model_path)
-        rows = zip(*(b.column(c).to_pylist() for c in ("text", "ahead", "base", "entry", "exit")))
-        return {"row": b.column("row"), "chunk": b.column("chunk"), "ids": _lists([trace(*r, model) for r in rows])}
+        rows = list(zip(*(b.column(c).to_pylist() for c in ("text", "ahead", "base", "entry", "exit"))))
+        return {"row": b.column("row"), "chunk": b.column("chunk"), "ids": _lists(trace(rows, model))}
 
     traced = map_rows(chunks.join(cuts, ["row", "chunk"]), back, "row bigint, chunk bigint, ids array<int>", forget)
     joined = traced.groupBy("row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids"), F.count(F.lit(1)).alias("n_chunks"))
