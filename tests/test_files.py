@@ -249,12 +249,12 @@ def raw_day(root: str, day: str, first: int, code: str | None = None) -> None:
         for o in orders:
             o["discount_code"] = code
     orders[2]["status"] = None
-    put(f"{root}/orders/order_date={day}/orders.json", *orders)
+    put(f"{root}/orders/order_date={day}/orders-{first}.json", *orders)
     items = [
         {"order_id": o["order_id"], "product_id": "p1", "quantity": 2, "unit_price": 1.5, "line_total": 3.0} for o in orders
     ]
     items.append({"order_id": f"o{first}", "product_id": "p99", "quantity": 1, "unit_price": 1.0, "line_total": 1.0})
-    put(f"{root}/order_items/order_date={day}/items.json", *items)
+    put(f"{root}/order_items/order_date={day}/items-{first}.json", *items)
 
 
 def raw_reference(root: str) -> None:
@@ -327,3 +327,65 @@ def test_old_files_arrive_late(spark, root):
         got = ingest.ingest_stream(spark, f"{root}/late", schema, f"{root}/late-out", f"{root}/late-log")
     assert schema.names == ["a", "b"]
     assert sorted((r["a"], r["b"]) for r in got.collect()) == [("1", None), ("2", "5")]
+
+
+def test_refresh_removes_vanished_groups(spark, frame, root):
+    def agg(df):
+        return df.groupBy("day").agg(F.countDistinct("k").alias("n"))
+
+    base = frame([("a b:c", 1), ("d2", 1), (None, 1)], "day string, k int")
+    sinks.overwrite_partitions(agg(base), root, "day")
+    sinks.refresh_view(root, base.where("day = 'd2'"), base.where("day is null or day <> 'd2'"), agg, "day", "day")
+    assert rows(spark.read.schema("n bigint, day string").parquet(root).select("day", "n")) == [("d2", 1)]
+
+
+def test_csv_columns_by_name(spark, root):
+    import os
+
+    os.makedirs(root, exist_ok=True)
+    with open(f"{root}/a.csv", "w") as f:
+        f.write("b,x,A\n1,9,one\n")
+    assert rows(sources.read_csv(spark, root, "a string, b int, c date")) == [("one", 1, None)]
+    with open(f"{root}/b.csv", "w") as f:
+        f.write("A,x,b\none,9,1\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        sources.read_csv(spark, root, "a string, b int").collect()
+
+
+def test_redelivered_order_counts_once(spark, root):
+    """The same order again, with another status and another day, at day grain."""
+    layout = curation.Layout(f"{root}/raw", f"{root}/lake")
+    raw_reference(layout.raw)
+    raw_day(layout.raw, "2026-06-01", 0)
+    curation.run(spark, layout)
+    raw_day(layout.raw, "2026-06-03", 0)
+    curation.run(spark, layout)
+    revenue = spark.read.parquet(layout.daily_revenue)
+    assert {(str(r.order_date), float(r.total_revenue)) for r in revenue.collect()} == {("2026-06-03", 7.0)}
+    assert spark.read.parquet(layout.current("orders")).count() == 2
+    assert spark.read.parquet(layout.curated("orders")).count() == 4
+    # Another order on the old day does not bring the old rows back.
+    raw_day(layout.raw, "2026-06-01", 50)
+    curation.run(spark, layout)
+    revenue = spark.read.parquet(layout.daily_revenue)
+    assert {(str(r.order_date), float(r.total_revenue)) for r in revenue.collect()} == {("2026-06-01", 7.0), ("2026-06-03", 7.0)}
+    assert curation.current_customers(spark, layout).count() == 1
+
+
+def test_star_load_takes_changes(spark, frame, root):
+    """A second load with a new e-mail, a corrected quantity and an order on another day."""
+    def load(email, quantity, day):
+        return warehouse.load_star(
+            spark, "wc_", root,
+            frame([("1", "A", "B", email, "2026-01-01", "Rome", "x")], "customer_id string, first_name string, last_name string, email string, signup_date string, city string, segment string"),
+            frame([("p1", "toy", "Toys", 1.5, True)], "product_id string, product_name string, category string, unit_price double, active_flag boolean"),
+            frame([("o1", 1, day, "north", "Passed"), ("o2", 1, "2026-05-02 10:00:00", "north", "Passed")], "order_id string, customer_id int, order_ts string, store_region string, DataQualityEvaluationResult string").withColumn("order_ts", F.to_timestamp("order_ts")),
+            frame([("o1", "p1", quantity, 1.5, 3.0), ("o2", "p1", 1, 1.5, 1.5)], "order_id string, product_id string, quantity int, unit_price double, line_total double"),
+        )
+
+    load("old@shop.com", 2, "2026-04-01 10:00:00")
+    for _ in range(2):
+        names = load("new@shop.com", 5, "2026-06-01 10:00:00")
+    assert [r.email for r in spark.read.table(names["dim_customer"]).collect()] == ["new@shop.com"]
+    fact = spark.read.table(names["fact_order_items"]).select("order_id", "quantity", "date_key", "date_month")
+    assert rows(fact) == [("o1", 5, 20260601, 202606), ("o2", 1, 20260502, 202605)]

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import normalize_email, order_day
 from ..operators import marts, quality
+from ..operators.joins import split_join
 from ..operators.rows import dedup, fill_defaults, latest_by, require_keys, safe_select
-from ..sinks import overwrite_partitions, refresh_view
+from ..sinks import overwrite_partitions, replace_partitions, stored
 from ..sources import read_reference
+from ..sources.fs import exists
 from ..streaming import Source, run_incremental
 from ..streaming.incremental import RUN
 from . import schemas as S
@@ -28,7 +30,7 @@ ITEMS_CHECK = "order_items_dq_check"
 class Layout:
     """Where the job reads and writes.
 
-    Curated orders and daily revenue lie in one directory per ``grain``: ``day``,
+    Curated orders, current orders and daily revenue lie in one directory per ``grain``: ``day``,
     or ``month`` or ``year`` where a day is too little for a file of its own.
     """
 
@@ -49,6 +51,9 @@ class Layout:
     def curated(self, name: str) -> str:
         return f"{self.root}/curated/{name}"
 
+    def current(self, name: str) -> str:
+        return f"{self.root}/current/{name}"
+
     def quarantine(self, name: str) -> str:
         return f"{self.root}/quarantine/{name}"
 
@@ -97,7 +102,8 @@ def curate_products(raw: DataFrame) -> DataFrame:
 
 
 def sources(layout: Layout) -> list[Source]:
-    header = {"header": "true"}
+    # A header in another order than the schema stops the run instead of mixing columns.
+    header = {"header": "true", "enforceSchema": "false"}
     return [
         Source("orders", layout.raw_table("orders"), S.ORDERS),
         Source("order_items", layout.raw_table("order_items"), S.ORDER_ITEMS),
@@ -122,17 +128,18 @@ def curate(spark: SparkSession, layout: Layout, frames: Mapping[str, DataFrame],
     def tagged(df: DataFrame) -> DataFrame:
         return df.withColumn(RUN, F.lit(number))
 
-    # Items feed the order totals and their own gate, outcomes feed two sinks and
-    # a score. Rows lost with an executor come out the same again: bronze is fixed.
-    items = curate_items(frames["order_items"]).persist()
-    orders = quality.evaluate_rows(curate_orders(frames["orders"], items), order_rules()).persist()
+    # Items feed the order totals and their own gate, orders a count and a join, outcomes
+    # two sinks and a score: each is written once.
+    items = stored(curate_items(frames["order_items"]), "items")
+    orders = stored(curate_orders(frames["orders"], items), "orders")
+    orders = stored(quality.evaluate_rows(orders, order_rules()), "order-outcomes")
     passed, failed = (layout.with_period(df) for df in quality.split_quarantine(orders, ORDERS_REASON))
     overwrite_partitions(tagged(passed), layout.curated("orders"), layout.period, RUN)
     overwrite_partitions(tagged(failed), layout.quarantine("orders"), layout.period, RUN)
-    refresh_daily_revenue(spark, layout, passed)
+    refresh_daily_revenue(spark, layout, tagged(passed))
 
     products = curate_products(read_reference(spark, layout.raw_table("products"), S.PRODUCTS))
-    item_outcomes = quality.evaluate_rows(items, item_rules(products)).persist()
+    item_outcomes = stored(quality.evaluate_rows(items, item_rules(products)), "item-outcomes")
     passed_items, failed_items = quality.split_quarantine(item_outcomes, ITEMS_REASON)
     overwrite_partitions(tagged(passed_items), layout.curated("order_items"), RUN)
     overwrite_partitions(tagged(failed_items), layout.quarantine("order_items"), RUN)
@@ -142,19 +149,43 @@ def curate(spark: SparkSession, layout: Layout, frames: Mapping[str, DataFrame],
 
     metrics = quality.dq_metrics(orders, ORDERS_CHECK).unionByName(quality.dq_metrics(item_outcomes, ITEMS_CHECK))
     overwrite_partitions(tagged(metrics), layout.metrics, RUN)
-    for df in (items, orders, item_outcomes):
-        df.unpersist()
+
+
+def latest_orders(orders: DataFrame) -> DataFrame:
+    """One row per order over all runs: the latest day, then the latest run."""
+    return latest_by(orders, ["order_id"], [F.col("order_date").desc_nulls_last(), F.col(RUN).desc()])
+
+
+def current_customers(spark: SparkSession, layout: Layout) -> DataFrame:
+    """One row per customer over all runs: the latest sign-up, then the latest run."""
+    rows = spark.read.parquet(layout.curated("customers"))
+    return latest_by(rows, ["customer_id"], [F.col("signup_date").desc_nulls_last(), F.col(RUN).desc()])
 
 
 def refresh_daily_revenue(spark: SparkSession, layout: Layout, passed: DataFrame) -> None:
-    """Recompute the periods ``passed`` has orders of, from all curated orders, and
-    leave the others as they are."""
+    """Bring current orders and daily revenue up to date with one run's ``passed`` orders.
+
+    An order that came before counts once, with its latest row; the periods of all rows
+    it ever had are computed again, from the current orders of these periods. The others
+    stay as they are. Curated orders keep every run's rows, so a repeated run finds the
+    same periods.
+    """
     if passed.isEmpty():
         return
-    curated = spark.read.parquet(layout.curated("orders"))
-
-    def aggregate(orders: DataFrame) -> DataFrame:
-        exact = marts.daily_revenue(orders).withColumn("total_revenue", F.col("total_revenue").cast("decimal(12,2)"))
-        return layout.with_period(exact)
-
-    refresh_view(layout.daily_revenue, curated, passed, aggregate, layout.period, layout.period)
+    period, path = layout.period, layout.current("orders")
+    history = spark.read.schema(passed.schema).parquet(layout.curated("orders"))
+    if exists(spark, f"{path}/_SUCCESS"):
+        known = spark.read.schema(passed.schema).parquet(path)
+        again = split_join(history.select("order_id", period), passed.select("order_id"), "order_id", "left_semi")
+        touched = stored(again.select(period).distinct(), "periods")
+        lo, hi = touched.agg(F.min(period), F.max(period)).first()
+        known = split_join(known.where(F.col(period).between(lo, hi)), touched, period, "left_semi")
+        rows = stored(latest_orders(known.unionByName(passed)), "current")
+        replace_partitions(rows, path, period, touched)
+    else:
+        touched = history.select(period).distinct()
+        rows = latest_orders(history)
+        rows.hint("rebalance", period).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(period).parquet(path)
+        rows = spark.read.schema(passed.schema).parquet(path)
+    exact = marts.daily_revenue(rows).withColumn("total_revenue", F.col("total_revenue").cast("decimal(12,2)"))
+    replace_partitions(stored(layout.with_period(exact), "revenue"), layout.daily_revenue, period, touched)

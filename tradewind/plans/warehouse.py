@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ..operators import marts
 from ..operators.quality import only_passed
-from ..sinks import insert_new, reload_staging, save_table
+from ..sinks import insert_new, reload_staging, save_table, upsert_partitions, upsert_rows
+
+# The fact lies in one directory a month: a day's lines are too few for files of their own.
+MONTH = "date_month"
 
 
 def load_star(
@@ -16,8 +19,9 @@ def load_star(
     """Stage the curated frames and fill dimensions and fact; the tables' names.
 
     ``orders`` carries the quality outcome the fact is filtered by. Staging is
-    emptied first; dimensions and fact take only keys they do not have, so running
-    the load again adds nothing.
+    emptied first. A row replaces the one with its key in dimensions and fact, so changed
+    rows arrive and a load that is run again changes nothing; of the fact, only the months
+    concerned are written.
     """
     staged = {"customers": customers, "products": products, "orders": orders, "items": items}
     names = {}
@@ -28,7 +32,8 @@ def load_star(
         reload_staging(df, name)
         staged[table] = spark.read.table(name)
 
-    fact = marts.build_fact(staged["items"], staged["orders"])
+    month = F.coalesce(F.floor(F.col("date_key") / 100).cast("int"), F.lit(0))
+    fact = marts.build_fact(staged["items"], staged["orders"]).withColumn(MONTH, month)
     # The calendar runs over the days of the passed orders: two values read on the driver.
     day = F.to_date("order_ts")
     lo, hi = only_passed(staged["orders"]).agg(F.min(day), F.max(day)).first()
@@ -38,12 +43,18 @@ def load_star(
         "dim_customer": (marts.dim_customer(staged["customers"]), ["customer_id"]),
         "dim_product": (marts.dim_product(staged["products"]), ["product_id"]),
         "dim_date": (days, ["date_key"]),
-        # Sorted within each file, a date filter skips row groups by their statistics.
-        "fact_order_items": (fact.sortWithinPartitions("date_key"), ["order_id", "product_id"]),
+        "fact_order_items": (fact, ["order_id", "product_id"]),
     }
     for table, (df, keys) in targets.items():
-        names[table] = f"{prefix}{table}"
-        if not spark.catalog.tableExists(names[table]):
-            save_table(df.limit(0), names[table], f"{root}/analytics/{table}")
-        insert_new(df, names[table], keys)
+        name = names[table] = f"{prefix}{table}"
+        path = f"{root}/analytics/{table}"
+        is_fact = table == "fact_order_items"
+        if not spark.catalog.tableExists(name):
+            save_table(df.limit(0), name, path, [MONTH] if is_fact else ())
+        if is_fact:
+            upsert_partitions(df, name, path, keys, MONTH)
+        elif table == "dim_date":
+            insert_new(df, name, keys)  # a day does not change
+        else:
+            upsert_rows(df, name, keys)
     return names

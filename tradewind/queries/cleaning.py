@@ -16,6 +16,7 @@ from ..functions import (
 )
 from ..operators import marts, quality, rows
 from ..operators.identity import with_identity
+from ..sinks import stored
 from .registry import query
 from .tables import clicks_raw, customers_raw, items_raw, orders_raw, products_raw, table
 
@@ -375,17 +376,20 @@ def items_curated(spark, d):
     return rows.dedup(rows.require_keys(filled, ["order_id", "product_id"]), ["order_id", "product_id"])
 
 
-def orders_curated(spark, d):
+def orders_curated(spark, d, items=None):
     typed = orders_raw(spark, d).withColumn("order_date", order_day("order_ts"))
     latest = rows.latest_by(typed, ["order_id"], [F.col("order_date").desc_nulls_last()])
-    return marts.with_order_total(latest, items_curated(spark, d))
+    return marts.with_order_total(latest, items_curated(spark, d) if items is None else items)
 
 
-def order_outcomes(spark, d):
+def order_outcomes(spark, d, items=None):
     from ..plans.curation import order_rules
 
-    return quality.evaluate_rows(orders_curated(spark, d), order_rules())
+    # The uniqueness rule counts the orders and joins them with the count: written once.
+    return quality.evaluate_rows(stored(orders_curated(spark, d, items), "orders"), order_rules())
 
 
 def star_fact(spark, d):
-    return marts.build_fact(items_curated(spark, d), order_outcomes(spark, d))
+    """The items, written once, make up both the lines and the order totals."""
+    items = stored(items_curated(spark, d), "items")
+    return marts.build_fact(items, order_outcomes(spark, d, items))

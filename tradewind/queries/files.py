@@ -477,6 +477,42 @@ def k8(spark, d):
     return spark.read.schema(first.schema).parquet(root)
 
 
+@query(
+    "k8_refresh_after_delete",
+    """
+SELECT strftime(event_date, '%Y-%m-%d') AS event_date, event_type, count(DISTINCT customer_id) AS customers
+FROM clicks_raw WHERE event_date NOT BETWEEN '2024-01-10' AND '2024-01-11' GROUP BY ALL""",
+    "clicks_raw",
+)
+def k8_after_delete(spark, d):
+    """Two days' clicks are deleted from the base; their groups leave the view."""
+    root = workspace(spark, "view")
+    clicks = clicks_raw(spark, d)
+    gone = F.col("event_date").between("2024-01-10", "2024-01-11")
+
+    def aggregate(df: DataFrame) -> DataFrame:
+        return df.groupBy("event_date", "event_type").agg(F.countDistinct("customer_id").alias("customers"))
+
+    first = aggregate(clicks)
+    sinks.overwrite_partitions(first, root, "event_date")
+    sinks.refresh_view(root, clicks.where(~gone), clicks.where(gone), aggregate, "event_date", "event_date")
+    return spark.read.schema(first.schema).parquet(root)
+
+
+@query(
+    "s1_csv_by_name",
+    """
+SELECT customer_id, first_name, last_name, nullif(email, '') AS email,
+  strftime(signup_date, '%Y-%m-%d') AS signup_date, city, segment FROM customers_raw""",
+    "customers_raw",
+)
+def s1_by_name(spark, d):
+    """The file's columns stand in another order than the schema's, with one more."""
+    raw = customers_raw(spark, d)
+    path = write_csv(raw.select(*reversed(raw.columns), F.lit("x").alias("note")), workspace(spark, "csv"))
+    return sources.read_csv(spark, path, S.CUSTOMERS)
+
+
 @query("k8_described_table", "SELECT 'Cleansed customers.' AS comment, 'silver' AS tier, count(*) AS rows FROM customers_clean", "customers_clean")
 def k8_described(spark, d):
     root = workspace(spark, "described")
@@ -509,11 +545,17 @@ def write_raw(spark: SparkSession, d: str, root: str, part: str = "true") -> str
     return root
 
 
-def deliver_orders(spark: SparkSession, d: str, root: str, part: str) -> None:
+def deliver_orders(spark: SparkSession, d: str, root: str, part: str, days_later: int = 0) -> None:
+    """Add the orders of ``part`` and their items to the raw files; with ``days_later`` the
+    orders are dated so much later and are ``returned``."""
     # Whole days would be thousands of small files; a delivery directory per year
     # has the same layout.
     year = F.expr("coalesce(make_date(year(order_ts), 1, 1), date'1970-01-01')")
-    orders = orders_raw(spark, d).where(part).withColumn("order_date", year)
+    orders = orders_raw(spark, d).where(part)
+    if days_later:
+        moved = F.expr(f"order_ts + INTERVAL {days_later} DAYS")
+        orders = orders.withColumn("order_ts", moved).withColumn("status", F.when(F.col("status").isNotNull(), "returned"))
+    orders = orders.withColumn("order_date", year)
     text = orders.withColumn("order_ts", F.date_format("order_ts", ISO))
     text.hint("rebalance", "order_date").write.mode("append").partitionBy("order_date").json(f"{root}/orders")
     items_raw(spark, d).where(part).write.mode("append").json(f"{root}/order_items")

@@ -185,6 +185,28 @@ def job_curation(spark, d):
     return out
 
 
+@query(
+    "job_redelivered_orders",
+    """
+SELECT strftime(CASE WHEN order_id::BIGINT % 3 = 0 THEN order_date + INTERVAL 40 DAY ELSE order_date END, '%Y-%m-%d') AS order_date,
+  count(*) AS orders, sum(order_total)::DOUBLE AS total_revenue
+FROM orders_passed GROUP BY 1""",
+    "orders_passed",
+)
+def job_redelivered_orders(spark, d):
+    """Every third order comes again with a later day and another status; it counts once,
+    on its new day, and its old day is corrected."""
+    root = workspace(spark, "curation")
+    layout = curation.Layout(f"{root}/raw", f"{root}/lake", grain="month")
+    write_raw(spark, d, layout.raw)
+    curation.run(spark, layout)
+    deliver_orders(spark, d, layout.raw, "cast(order_id AS bigint) % 3 = 0", days_later=40)
+    curation.run(spark, layout)
+    revenue = spark.read.parquet(layout.daily_revenue).groupBy("order_date").agg(F.sum("total_revenue").alias("total_revenue"))
+    current = spark.read.parquet(layout.current("orders")).groupBy("order_date").agg(F.count(F.lit(1)).alias("orders"))
+    return revenue.join(current, "order_date", "full").withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd"))
+
+
 @query(
     "job_curation_scores",
     """

@@ -1,6 +1,6 @@
 """Writers: appends, partition overwrites, tables, views and snapshots."""
 
-from .files import append, append_partitioned, overwrite_partitions, publish_snapshot
+from .files import append, append_partitioned, overwrite_partitions, publish_snapshot, replace_partitions, stored
 from .tables import (
     add_rows,
     bucketed_table,
@@ -9,6 +9,8 @@ from .tables import (
     refresh_view,
     reload_staging,
     save_table,
+    upsert_partitions,
+    upsert_rows,
 )
 
 __all__ = [
@@ -22,5 +24,9 @@ __all__ = [
     "publish_snapshot",
     "refresh_view",
     "reload_staging",
+    "replace_partitions",
     "save_table",
+    "stored",
+    "upsert_partitions",
+    "upsert_rows",
 ]

@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import workspace
 from ..sources.files import file_inventory
-from ..sources.fs import write_text
+from ..sources.fs import exists, remove_partition, write_text
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -27,6 +29,30 @@ def overwrite_partitions(df: DataFrame, path: str, *cols: str) -> None:
     writer.partitionBy(*cols).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, col: str, values: DataFrame) -> None:
+    """Let the partitions of ``values`` (one column, ``col``) hold the rows of ``df`` and
+    no others; a partition ``df`` has no rows for is removed.
+
+    ``df`` must be a stored frame that does not read ``path``. Of the values, only those
+    to be removed reach the driver.
+    """
+    overwrite_partitions(df, path, col)
+    if not exists(df.sparkSession, path):
+        return
+    there = df.select(F.col(col).alias("_there")).distinct()
+    for gone in values.join(there, F.col(col).eqNullSafe(F.col("_there")), "left_anti").distinct().collect():
+        remove_partition(df.sparkSession, path, col, gone[0])
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, so that what is used more
+    than once is computed once, and survives a lost executor."""
+    path = workspace(df.sparkSession, label)
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def _gathered(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows of one directory brought together, so not every task writes a file in
     every directory. AQE splits a directory that is too big for one task."""

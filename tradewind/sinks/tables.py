@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import split_join
-from .files import overwrite_partitions
+from .files import replace_partitions, stored
 
 
-def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def save_table(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace table ``name``; ``path`` places its files outside the warehouse folder."""
     writer = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
@@ -42,6 +44,40 @@ def insert_new(df: DataFrame, name: str, keys: Sequence[str]) -> None:
     add_rows(df.join(known, list(keys), "left_anti").select(*df.columns), name)
 
 
+def upsert_rows(df: DataFrame, name: str, keys: Sequence[str]) -> None:
+    """The rows of ``df`` take the place of those with the same ``keys``, or are added.
+
+    Writes the whole table, as is fit for a dimension. ``keys`` are unique in ``df``.
+    """
+    new = stored(df, "upsert")
+    table = df.sparkSession.read.table(name)
+    kept = split_join(table, new.select(*keys), keys, "left_anti")
+    reload_staging(stored(kept.select(*table.columns).unionByName(new), "upsert"), name)
+
+
+def upsert_partitions(df: DataFrame, name: str, path: str, keys: Sequence[str], part: str) -> None:
+    """Like :func:`upsert_rows` for a table at ``path`` partitioned by ``part`` (no nulls):
+    only partitions that hold such rows, before or after, are read whole and written.
+
+    A row whose ``part`` has changed leaves its old partition; to find it, the ``keys`` of
+    the table are read, and no other column. A repeated load changes nothing.
+    """
+    spark = df.sparkSession
+    new = stored(df, "upsert")
+    table = spark.read.table(name)
+    before = split_join(table.select(*keys, part), new.select(*keys), keys, "left_semi")
+    touched = stored(before.select(part).union(new.select(part)).distinct(), "touched")
+    lo, hi = touched.agg(F.min(part), F.max(part)).first()
+    if lo is None:
+        return
+    kept = split_join(table.where(F.col(part).between(lo, hi)), touched, part, "left_semi")
+    kept = split_join(kept, new.select(*keys), keys, "left_anti")
+    replace_partitions(stored(kept.select(*new.columns).unionByName(new), "upsert"), path, part, touched)
+    # The catalog keeps a list of a table's partitions.
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
 def bucketed_table(
     df: DataFrame, name: str, key: str, buckets: int, sort: Sequence[str] | None = None,
     path: str | None = None, hot_share: float = 4.0,
@@ -80,25 +116,21 @@ def describe_table(spark: SparkSession, name: str, comment: str, properties: Map
 
 
 def refresh_view(
-    path: str, base: DataFrame, changed: DataFrame, aggregate: Callable[[DataFrame], DataFrame], key: str, view_key: str,
-    max_listed: int = 10_000,
+    path: str, base: DataFrame, changed: DataFrame, aggregate: Callable[[DataFrame], DataFrame], key: str, view_key: str
 ) -> None:
     """Bring the aggregate stored at ``path`` up to date with ``base``.
 
     Only groups of a ``key`` value that occurs in ``changed`` are computed again,
     from all of ``base``'s rows of that value: distinct counts cannot be added up.
-    The result is partitioned by ``view_key``; untouched partitions stay.
-
-    Up to ``max_listed`` values become a filter, which skips the other partitions
-    and row groups of ``base`` at the scan; more are joined.
+    The result is partitioned by ``view_key``, which holds the values of ``key``;
+    untouched partitions stay, and one whose rows have all gone from ``base`` goes.
     """
-    affected = changed.select(key).distinct()
-    listed = [r[0] for r in affected.limit(max_listed + 1).collect()]
-    if len(listed) <= max_listed:
-        touched = F.col(key).isin([v for v in listed if v is not None])
-        touched = base.where(touched | F.col(key).isNull() if None in listed else touched)
-    else:
-        touched = split_join(base, affected, key, "left_semi")
-        if not affected.where(F.col(key).isNull()).isEmpty():
-            touched = touched.unionByName(base.where(F.col(key).isNull()))
-    overwrite_partitions(aggregate(touched), path, view_key)
+    affected = stored(changed.select(key).distinct(), "affected")
+    lo, hi, nulls = affected.agg(F.min(key), F.max(key), F.count_if(F.col(key).isNull())).first()
+    # The bounds skip partitions and row groups at the scan, the join does the rest.
+    within = F.col(key).between(lo, hi) if lo is not None else F.lit(False)
+    touched = split_join(base.where(within), affected.where(within), key, "left_semi")
+    if nulls:
+        touched = touched.unionByName(base.where(F.col(key).isNull()))
+    view = stored(aggregate(touched), "view")
+    replace_partitions(view, path, view_key, affected.select(F.col(key).alias(view_key)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +15,26 @@ def _struct(spark: SparkSession, schema: Schema) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
-    """CSV with a header line. An empty field is null, quoted or not."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header line, columns taken by name: the order may differ from ``schema``,
+    a column the file lacks is null, others are left out.
+
+    All files below ``path`` must have the same header; one that differs is an error.
+    An empty field is null, quoted or not.
+    """
+    wanted = _struct(spark, schema)
+    try:
+        header = spark.read.option("header", True).csv(path).columns  # reads one line
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.createDataFrame([], wanted)
+    known = {f.name.lower(): f for f in wanted.fields}
+    there = T.StructType([T.StructField(c, known[c.lower()].dataType if c.lower() in known else T.StringType()) for c in header])
+    rows = spark.read.schema(there).option("header", True).option("enforceSchema", False).csv(path)
+    have = {c.lower() for c in header}
+    return rows.select(
+        *[F.col(f"`{f.name}`").alias(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted.fields]
+    )
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: Schema | None = None) -> DataFrame:

@@ -34,6 +34,13 @@ def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return [p for p, found in zip(paths, there) if found]
 
 
+def remove_partition(spark: SparkSession, root: str, col: str, value: object) -> None:
+    """Delete the directory of one value of the partition column ``col`` below ``root``."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    p, fs = _path(spark, f"{root}/{utils.getPartitionPathString(col, None if value is None else str(value))}")
+    fs.delete(p, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small control file, or None if it is not there.
 
