@@ -162,7 +162,10 @@ def write_records(df: DataFrame, path: str, tokenizer: str, *, id_col: str = "do
         # The writer adds the line feed that closes a frame.
         return {"frame": [frame(i, np.frombuffer(e + end, "<u4"))[:-1] for i, e in zip(b.column("doc_id").to_pylist(), found)]}
 
-    frames = map_rows(dealt, fn, "frame binary")
+    def forget() -> None:  # a worker lives on after its task
+        encoder(tokenizer).known.clear()
+
+    frames = map_rows(dealt, fn, "frame binary", forget)
     frames.select(F.col("frame").cast("string").alias("frame")).write.option("lineSep", "\n").text(path)
 
 
