@@ -329,6 +329,7 @@ def test_pii_odd_rows(spark, rare, nothing):
         (23, "+1 (227) 555-6608 and +1 2 +12345678901234567 +1.2.3.4.5.6.7.8. +"),
         (24, "9" * 30000 + "a" * 30000 + "@" + "b." * 30000),
         (25, "1 " * 20000),
+        (26, "10.0.0.1 and 0.0.0.0, 00.1.2.3 192.168.0.1 0.0.0.256 " + "0" * 4000 + ".0.0.0"),
     ]
     df = rare.select("doc_id", "text", "block").union(spark.createDataFrame([(i, t, "x") for i, t in more], "doc_id bigint, text string, block string"))
     got = counted(pii.digest(pii.find(df)), "doc_id", "base_sha256")

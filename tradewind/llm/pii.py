@@ -35,7 +35,7 @@ _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # An identifier-like word: a run without white space that has a digit.
 _CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
 @dataclass(frozen=True)
