@@ -349,6 +349,26 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert clean[100] == "later my phone number <phone>, they said" and clean[101] == rows[31][1]
 
 
+def test_contexts_discover_other_shapes(spark):
+    """Identifiers without a digit or with blanks, and contexts that have digits themselves."""
+    rows = [(i, f"some words here then my phone number +1 (227) 555-{1000 + i} and write to mail address user{i}@example.com or on line 00{10 + i} dial 9 +1 (227) 556-{1000 + i}") for i in range(40)]
+    more = {
+        100: ("later my phone number (227) 555-9999, they said", [("phone", "(227) 555-9999")]),
+        101: ("so my phone number 227 555 9999.", [("phone", "227 555 9999")]),
+        102: ("the mail address anna@localhost is old", [("email", "anna@localhost")]),
+        103: ("a mail address jane.doe(at)example.com is new", [("email", "jane.doe(at)example.com")]),
+        104: ("a mail address john (at) example.com is new", [("email", "john (at) example.com")]),
+        105: ("they sat on line 0077 dial 8 x227-557-1111 now", [("phone", "x227-557-1111")]),
+        106: ("see 10 20 30 40, anna@localhost and (227) 555-9999", [("email", "anna@localhost"), ("phone", "(227) 555-9999")]),
+        107: ("1 2 3 x@ (at) @ (a) 5 (", []),
+    }
+    df = spark.createDataFrame([*rows, *((i, t) for i, (t, _) in more.items())], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["found"] for r in pii.find(df).collect()}
+    for i, (t, want) in more.items():
+        assert [(x["kind"], t[x["start"] : x["end"]]) for x in got[i]] == want, t
+    assert all(got[i] == [] for i, _ in rows)
+
+
 # Suffix arrays
 
 

@@ -2,7 +2,8 @@
 
 The base kinds are found by regular expressions. They seed the bootstrap: the words in
 front of an entity are its contexts, and a graph joins contexts (patterns) to the
-identifier-like texts that occur behind them (instances). Round by round a pattern scores
+identifier-like texts that occur behind them (instances): words with a digit or an @, names
+and hosts around a bracketed "at", and runs of digit groups with blanks or brackets. Round by round a pattern scores
 the share of its instances that are known to be of a kind, and an instance scores what
 its confident patterns say; instances that reach the threshold are new entities of that
 kind wherever they occur. Everything is built from DataFrame functions.
@@ -32,8 +33,16 @@ _EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-
 _IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-# An identifier-like word: a run without white space that has a digit.
-_CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+# Identifier-like texts: a run without white space that has a digit or an @; two words around
+# an "at" in brackets, with a blank on either side or none; digit groups with one or two blanks
+# between, of which none goes on as a word.
+_SHAPES = {
+    "word": r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+",
+    "at": r"(?<![^\x20\x09-\x0D])[(\[{<]*+[^\x20\x09-\x0D(\[{<@]++(?<=[\p{L}\p{N}])\x20?[(\[{<]\x20?(?:[Aa][Tt]|@)\x20?[)\]}>]\x20?[\p{L}\p{N}][^\x20\x09-\x0D]*+",
+    "run": r"(?<![^\x20\x09-\x0D])[+(\[]*+[0-9][0-9().\[\]/-]*+(?:[\x20\xA0]{1,2}+[(\[]?+[0-9][0-9().\[\]/-]*+(?![\p{L}\p{N}@]))++",
+}
+# So many characters in front of a match are looked at for its contexts.
+_LEFT = 80
 
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
@@ -50,17 +59,37 @@ class Bootstrap:
     min_chars: int = 5
 
 
-def _found(text: Column, kind: str, pattern: str, guard: Column) -> Column:
-    """Array of (kind, i, gap, match, left): left is the text just before, for contexts."""
-    none = F.array().cast("array<string>")
-    matches = F.when(guard, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
-    gaps = F.when(guard, F.split(text, pattern, -1)).otherwise(none)
+def _found(kind: str) -> Column:
+    """Array of (kind, i, gap, match, left) from the columns of ``_cut``: left is the text
+    just before, for contexts."""
+    matches, gaps = F.col(f"m_{kind}"), F.col(f"g_{kind}")
+
+    def last(c: Column) -> Column:
+        return F.substring(c, -_LEFT, _LEFT)
+
+    # Where the gap is short, the gaps and matches before it come in front: each match has a
+    # character at least, so a fixed number of them is enough. A run of digits too short for a
+    # card is dropped later and needs none.
+    def left(x: Column, i: Column) -> Column:
+        near = (i > 0) & (F.char_length(x["g"]) < _LEFT)
+        if kind == "card":
+            near &= F.char_length(x["m"]) >= 16
+        at, n = F.greatest(i - (_LEFT - 1), F.lit(1)), F.least(i, F.lit(_LEFT))
+        pairs = F.zip_with(F.slice(gaps, at, n), F.slice(matches, at, n), lambda g, m: last(F.concat(last(g), last(m))))
+        return last(F.when(near, F.concat(F.array_join(pairs, ""), x["g"])).otherwise(x["g"]))
+
     return F.transform(
         F.arrays_zip(matches.alias("m"), gaps.alias("g")),
-        lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("i"), F.char_length(x["g"]).cast("long").alias("gap"), x["m"].alias("match"), F.substring(x["g"], -80, 80).alias("left")),
+        lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("i"), F.char_length(x["g"]).cast("long").alias("gap"), x["m"].alias("match"), left(x, i).alias("left")),
     )
 
 
+def _cut(kind: str, pattern: str, guard: Column) -> list[Column]:
+    """The matches and the gaps, as columns, so that they are found once."""
+    none = F.array().cast("array<string>")
+    return [F.when(guard, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(none).alias(f"m_{kind}"), F.when(guard, F.split("text", pattern, -1)).otherwise(none).alias(f"g_{kind}")]
+
+
 def _luhn(digits: Column) -> Column:
     """Whether a string of digits passes the Luhn check."""
     backward = F.reverse(digits)
@@ -84,26 +113,22 @@ def _valid(kind: Column, match: Column) -> Column:
 
 
 def _spans(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, kind, start, end, match, left): base spans and candidate words, with
+    """(row, doc_id, kind, start, end, match, left): base spans and candidates by shape, with
     one row of null kind for a document that has neither. Written once."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    digit = text.rlike("[0-9]")
-    arrays = F.concat(
-        _found(text, "email", _EMAIL, F.contains(text, F.lit("@"))),
-        _found(text, "ip", _IP, F.col("digit")),
-        _found(text, "card", _CARD, F.col("digit")),
-        _found(text, "phone", _PHONE, F.contains(text, F.lit("+"))),
-        _found(text, "word", _CANDIDATE, F.col("digit")),
-    )
+    digit, at = F.col("text").rlike("[0-9]"), F.contains("text", F.lit("@"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("digit", digit).withColumn("at", at)
+    guards = {"email": F.col("at"), "ip": F.col("digit"), "card": F.col("digit"), "phone": F.contains("text", F.lit("+")), "word": F.col("digit") | F.col("at"), "at": F.col("text").rlike(r"(?:[Aa][Tt]|@)\x20?[)\]}>]"), "run": F.col("digit")}
+    patterns = {"email": _EMAIL, "ip": _IP, "card": _CARD, "phone": _PHONE, **_SHAPES}
+    cut = numbered.select("row", "doc_id", *[c for k, p in patterns.items() for c in _cut(k, p, guards[k])])
     # The split leaves one gap more than there are matches; that last row has none.
-    held = F.filter(arrays, lambda x: x["match"].isNotNull())
-    found = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", digit.alias("digit")).select("row", "doc_id", F.explode_outer(held).alias("s"))
+    held = F.filter(F.concat(*map(_found, patterns)), lambda x: x["match"].isNotNull())
+    found = cut.select("row", "doc_id", F.explode_outer(held).alias("s"))
     rows = stored(found.select("row", "doc_id", "s.kind", "s.i", "s.gap", "s.match", "s.left"), "pii-found")
     # Card runs are long lists of digits: only those that can pass go on, after the sum.
     run = Window.partitionBy("row", "kind").orderBy("i")
     size = F.char_length("match").cast("long")
     placed = rows.withColumn("end", F.sum(F.col("gap") + size).over(run)).withColumn("start", F.col("end") - size)
-    keep = F.col("kind").isNull() | (F.col("kind") == "word") | _valid(F.col("kind"), F.col("match"))
+    keep = F.col("kind").isNull() | F.col("kind").isin(*_SHAPES) | _valid(F.col("kind"), F.col("match"))
     return stored(placed.select("row", "doc_id", F.when(keep, F.col("kind")).alias("kind"), "start", "end", "match", "left"), "pii-spans")
 
 
@@ -116,18 +141,25 @@ def _contexts(left: Column) -> Column:
 
 
 def _candidates(spans: DataFrame, min_chars: int) -> DataFrame:
-    """Candidate words that touch no base span, without the marks around them."""
+    """Candidates that touch no base span, without the marks around them. Of those that begin
+    together only the longest has a ``left``: one text behind a context is one instance."""
     by_start = Window.partitionBy("row").orderBy("start", "end")
-    is_word = F.col("kind") == "word"
-    before = F.max(F.when(~is_word, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(~is_word, F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
+    shaped = F.col("kind").isin(*_SHAPES)
+    before = F.max(F.when(~shaped, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.min(F.when(~shaped, F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
     free = spans.where("kind is not null").withColumn("before", before).withColumn("after", after)
-    words = free.where(is_word & F.coalesce(F.col("before") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("after") >= F.col("end"), F.lit(True)))
-    lead = F.char_length(F.regexp_extract("match", r"^[^\p{L}\p{N}+]*+", 0)).cast("long")
+    words = free.where(shaped & F.coalesce(F.col("before") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("after") >= F.col("end"), F.lit(True)))
+    # A bracket around the first digits belongs to them: (227) 555-9999.
+    plain = F.regexp_extract("match", r"^[^\p{L}\p{N}+]*+", 0)
+    opened = F.regexp_extract("match", r"^[^\p{L}\p{N}+]*?(?=[(\[][0-9]++[)\]].*[0-9])", 0)
+    paired = F.col("match").rlike(r"^[^\p{L}\p{N}+]*?[(\[][0-9]++[)\]].*[0-9]")
+    lead = F.char_length(F.when(paired, opened).otherwise(plain)).cast("long")
     trail = F.char_length(F.regexp_extract("match", r"[^\p{L}\p{N}]+$", 0)).cast("long")
     cut = words.withColumn("lead", lead).withColumn("trail", trail).where(F.char_length("match") - F.col("lead") - F.col("trail") >= min_chars)
     core = F.substr(F.col("match"), (F.col("lead") + 1).cast("int"), (F.char_length("match") - F.col("lead") - F.col("trail")).cast("int"))
-    return cut.select("row", "doc_id", (F.col("start") + F.col("lead")).alias("start"), (F.col("end") - F.col("trail")).alias("end"), core.alias("instance"), "left")
+    longest = F.max("end").over(Window.partitionBy("row", "start"))
+    told = cut.withColumn("left", F.when(F.col("end") == longest, F.col("left")))
+    return told.select("row", "doc_id", (F.col("start") + F.col("lead")).alias("start"), (F.col("end") - F.col("trail")).alias("end"), core.alias("instance"), "left").distinct()
 
 
 def _discover(spans: DataFrame, s: Bootstrap) -> tuple[DataFrame, DataFrame]:
@@ -159,12 +191,15 @@ def find(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", setti
     start) for each row of ``df``; offsets are code points, ends exclusive.
 
     ``base`` holds the spans of the base patterns, ``found`` those the bootstrap adds; they
-    never touch a base span. Null and empty texts have none. Copies of a row have the
+    never touch a base span, and none lies within another. Null and empty texts have none. Copies of a row have the
     same spans each; an empty table gives no rows. Other columns are not looked at.
     """
     spans = _spans(documents(df, id_col, text_col))
     words, entities = _discover(spans, settings)
-    added = words.join(entities, "instance").select("row", "kind", "start", "end", F.lit(False).alias("base"))
+    # A word within a longer candidate is not told of beside it.
+    wider = Window.partitionBy("row").orderBy("start", F.col("end").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    alone = words.join(entities, "instance").withColumn("until", F.max("end").over(wider)).where("until is null or until < end")
+    added = alone.select("row", "kind", "start", "end", F.lit(False).alias("base"))
     base = spans.where(F.col("kind").isin(*KINDS)).select("row", "kind", "start", "end", F.lit(True).alias("base"))
     number = F.coalesce(*[F.when(F.col("kind") == k, F.lit(n)) for n, k in enumerate(KINDS)])
     span = F.struct(number.alias("n"), "start", "end", "kind")
