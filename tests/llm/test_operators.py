@@ -280,6 +280,19 @@ def test_op5_round_trips(spark, docs):
     assert max(r["n_chunks"] for r in got) > 1
 
 
+def test_ids_are_the_library_s(spark, docs, model_path):
+    """In the model's merge order, whole or in chunks."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
+    some = [(k, t) for k, (_, t) in enumerate([*docs[:100], *RARE]) if t and len(t) < 40_000 and "\x00" not in t]
+    some += [(1000, "president"), (1001, "nospaces" * 60), (1002, "  two  blanks \n\n a\nb  "), (1003, "日本語ß" * 40)]
+    df = spark.createDataFrame(some, "doc_id bigint, text string")
+    for cut in (pieces.Cutting(), pieces.Cutting(64, 4)):
+        got = {r["doc_id"]: r["ids"] for r in pieces.encode(df, model_path, cut=cut).collect()}
+        assert [k for k, t in some if got[k] != sp.encode(t)] == []
+
+
 @pytest.mark.parametrize("size", [3, 17, 64])
 def test_chunks_change_nothing(spark, model_path, size):
     rows = [(1, "ab" * 300 + " 日本語 " + "x y z  " * 20), (2, "nospaces" * 60), (3, LONG[:2000]), (4, "a\n" * 90), (None, "b" * 100)]

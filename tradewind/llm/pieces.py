@@ -1,6 +1,10 @@
-"""SentencePiece encoding and decoding by a max-plus scan.
+"""SentencePiece encoding and decoding: by merges, or by a max-plus scan.
 
-A segmentation's weight is the sum of its pieces' scores; the encoding is the heaviest
+The scores of a BPE model are merge ranks. Its encoding is what merging the best ranked
+neighbours leaves, and no sum of scores tells that; it is made word by word, and a chunk of
+a long text is the words that begin in it.
+
+For other models the scores add up. A segmentation's weight is the sum of its pieces' scores; the encoding is the heaviest
 segmentation of the text (blanks as U+2581, one in front). A long text is cut into chunks
 anywhere. The state at a cut is how many characters of the next chunk the piece across the
 cut covers, so a chunk is a matrix: from each state at its beginning to each state at its
@@ -19,6 +23,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -41,6 +46,21 @@ _WORD_CHARS = 64
 _WORD_PLACES = 12
 
 
+def _merger(path: str):  # noqa: ANN202
+    """The library's encoder for a model of merges, with no blank put in front; None for
+    another model, whose scores add up."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    m = pb.ModelProto()
+    with open(path, "rb") as f:
+        m.ParseFromString(f.read())
+    if m.trainer_spec.model_type != pb.TrainerSpec.BPE:
+        return None
+    m.normalizer_spec.add_dummy_prefix = False
+    return sentencepiece.SentencePieceProcessor(model_proto=m.SerializeToString())
+
+
 class Model:
     """Pieces and scores of a SentencePiece model file."""
 
@@ -48,6 +68,7 @@ class Model:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.merges = _merger(path)
         self.pieces = [sp.id_to_piece(i) for i in range(sp.vocab_size())]
         self.bytes = [-1] * 256
         self.weights: dict[str, tuple[int, int]] = {}
@@ -78,7 +99,10 @@ class Model:
                 raw[i] = b""
         self.raw = raw
         self.known: dict[str, bytes] = {}  # ids of words met
-        self.trie = Trie(self)
+
+    @cached_property
+    def trie(self) -> Trie:
+        return Trie(self)
 
     @property
     def cuttable(self) -> bool:
@@ -91,9 +115,13 @@ class Model:
     def word(self, unit: str) -> bytes:
         found = self.known.get(unit)
         if found is None:
-            found = self.known[unit] = _ids(segment(unit.replace(" ", BLANK), self), self)
+            found = self.known[unit] = self.merged([unit])[0] if self.merges else _ids(segment(unit.replace(" ", BLANK), self), self)
         return found
 
+    def merged(self, units: list[str]) -> list[bytes]:
+        """The ids of every unit in the model's merge order."""
+        return [array("I", ids).tobytes() for ids in self.merges.encode(units, out_type=int, num_threads=1)]
+
     def weight(self, piece: str) -> int:
         found = self.weights.get(piece)
         return found[0] if found else self.unknown
@@ -227,6 +255,12 @@ def learn(units: Iterable[str], model: Model, remember: int = 400_000) -> None:
     if len(model.known) > remember:
         model.forget()
     known = model.known
+    if model.merges:
+        new = [u for u in set(units) if u not in known]
+        for k in range(0, len(new), 1 << 12):
+            some = new[k : k + (1 << 12)]
+            known.update(zip(some, model.merged(some)))
+        return
     new = [u for u in set(units) if u not in known and 0 < len(u) <= model.trie.word_chars]
     new.sort(key=len)
     for k in range(0, len(new), 1 << 12):
@@ -298,6 +332,8 @@ def encode_texts(bodies: list[str], model: Model) -> list[bytes]:
     """The ids of texts of one chunk, four bytes each; every different word is a text of
     its own and encoded once."""
     if not model.cuttable:
+        if model.merges:
+            return model.merged([normalized(t) for t in bodies])
         return [_ids(segment(normalized(t), model), model) for t in bodies]
     cut = [_units(t) for t in bodies]
     learn(chain.from_iterable(cut), model)
@@ -479,6 +515,43 @@ def _chunks(long: DataFrame, path: str, cut: Cutting) -> DataFrame:
     return long.select("row", "text").mapInArrow(run, "row bigint, chunk bigint, block bigint, base bigint, text string, ahead string")
 
 
+def _word_chunks(long: DataFrame, path: str, cut: Cutting) -> DataFrame:
+    """(row, chunk, units) of every chunk of the long texts: the words that begin in it. A
+    word is never cut, as merges at its end may hang on its beginning."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = model_at(path)
+        schema = pa.schema([("row", pa.int64()), ("chunk", pa.int64()), ("units", pa.string())])
+        for b in batches:
+            for r, t in zip(b.column("row").to_pylist(), texts(b.column("text"))):
+                body = normalized(t.decode("utf-8", "replace"))
+                end, chunk, first, at = cut.chunk_chars, 0, 0, 0
+                begins = (m.start() for m in _UNITS.finditer(body)) if model.cuttable else iter((0,))
+                for at in chain(begins, (len(body),)):
+                    while at >= end or at == len(body) and chunk * cut.chunk_chars < at:
+                        yield pa.RecordBatch.from_pydict({"row": [r], "chunk": [chunk], "units": [body[first:at]]}, schema=schema)
+                        first, chunk, end = at, chunk + 1, end + cut.chunk_chars
+
+    return long.select("row", "text").mapInArrow(run, "row bigint, chunk bigint, units string")
+
+
+def _merged(long: DataFrame, path: str, cut: Cutting) -> DataFrame:
+    """(row, chunk, ids) of every chunk of the long texts in the model's merge order."""
+
+    def fn(b: pa.RecordBatch) -> dict:
+        model = model_at(path)
+        bodies = b.column("units").to_pylist()
+        if not model.cuttable:
+            found = model.merged(bodies)
+        else:
+            units = [_UNITS.findall(t) for t in bodies]
+            learn(chain.from_iterable(units), model)
+            found = [_known(u, model) for u in units]
+        return {"row": b.column("row"), "chunk": b.column("chunk"), "ids": _lists(found)}
+
+    return map_rows(_word_chunks(long, path, cut).repartition("row", "chunk"), fn, "row bigint, chunk bigint, ids array<int>", lambda: model_at(path).forget())
+
+
 def _scan(chunks: DataFrame, path: str) -> DataFrame:
     """(row, chunk, entry, exit): the states of every chunk, by combining matrices."""
 
@@ -537,15 +610,16 @@ def encode(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col:
 
     # Numbered once, in a written table: a number computed twice may come out differently.
     long = stored(docs.where(is_long).withColumn("row", F.monotonically_increasing_id()), "piece-texts")
-    chunks = _chunks(long, model_path, cut)
-    cuts = _scan(chunks, model_path)
-
     def back(b: pa.RecordBatch) -> dict:
         model = model_at(model_path)
         rows = list(zip(*(b.column(c).to_pylist() for c in ("text", "ahead", "base", "entry", "exit"))))
         return {"row": b.column("row"), "chunk": b.column("chunk"), "ids": _lists(trace(rows, model))}
 
-    traced = map_rows(chunks.join(cuts, ["row", "chunk"]), back, "row bigint, chunk bigint, ids array<int>", forget)
+    if _merger(model_path):
+        traced = _merged(long, model_path, cut)
+    else:
+        chunks = _chunks(long, model_path, cut)
+        traced = map_rows(chunks.join(_scan(chunks, model_path), ["row", "chunk"]), back, "row bigint, chunk bigint, ids array<int>", forget)
     joined = traced.groupBy("row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids"), F.count(F.lit(1)).alias("n_chunks"))
     return whole.union(long.select("row", "doc_id").join(joined, "row").select("doc_id", "ids", "n_chunks"))
 
