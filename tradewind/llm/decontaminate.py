@@ -172,7 +172,8 @@ def mark(
     """doc_id, n_words, n_hit, n_items, items (sorted text), longest, contaminated, matches.
 
     ``matches`` are the longest verbatim matches: item_id, item_word, doc_word (first
-    words) and n_words. A null or empty text has no words and no hit. An item of fewer
+    words) and n_words. They are made of windows: matches below ``window`` words are not
+    reported, and ``longest`` is 0 then. A null or empty text has no words and no hit. An item of fewer
     than ``window`` words is one window; one without words has none. Null item ids are
     read as the text "null". Repeated rows are marked one by one; an empty table gives
     no rows, an empty benchmark no hits. Other columns are not looked at.
