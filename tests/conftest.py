@@ -21,20 +21,3 @@ def spark():
 def frame(spark):
     """frame(rows, ddl): a small DataFrame."""
     return lambda rows, ddl: spark.createDataFrame(rows, ddl)
-
-
-def rows(df, *order):
-    """The rows of ``df`` as sorted tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))
-
-
-def plan(df) -> str:
-    """The physical plan before it has run."""
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def final_plan(df) -> str:
-    """The physical plan after AQE has run it."""
-    df.collect()
-    text = plan(df)
-    return text.split("== Initial Plan ==")[0]

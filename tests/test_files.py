@@ -5,7 +5,7 @@ import json
 import os
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tradewind import sinks, sources, workspace

@@ -5,7 +5,7 @@ import math
 from decimal import Decimal
 
 import pytest
-from conftest import final_plan, plan, rows
+from frames import final_plan, plan, rows
 from pyspark.sql import functions as F
 
 from tradewind import workspace

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import final_plan, rows
+from frames import final_plan, rows
 from pyspark.sql import functions as F
 
 from tradewind.operators import governance, marts, quality

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import final_plan, plan, rows
+from frames import final_plan, plan, rows
 from pyspark.sql import functions as F
 
 from tradewind.functions import (
