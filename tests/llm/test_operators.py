@@ -11,7 +11,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import LONG, RARE
+from odd_rows import LONG, RARE
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
