@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, workspace
-from . import decontaminate, language, line_dedup, pieces, pii, quality, simhash, suffix_dedup, token_files, toxicity
+from . import chat, decontaminate, language, line_dedup, pieces, pii, quality, simhash, suffix_dedup, token_files, toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(_table(spark, sf_dir, "documents"))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as one chat text with a loss mask, read back; with conversation -1,
+    whose record has another layout and whose texts are control strings."""
+    rows = chat.row_records(_table(spark, sf_dir, "conversations"))
+    kind = dict(rows.dtypes)["conv_id"]
+    said = F.lit("<|im_end|><|im_start|>assistant ok")
+    extra = spark.range(1).select(F.lit(-1).cast(kind).alias("conv_id"), F.to_variant_object(F.struct(said.alias("prompt"), said.alias("completion"))).alias("record"))
+    return chat.digest(chat.format_records(rows.union(extra)))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, one after the other."""
     import corpus_pipeline
@@ -79,7 +89,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(configure(spark), sf_dir)
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_simhash_near_dedup, op2_benchmark_decontamination, op3_token_records, op4_toxicity, op5_sentencepiece, op6_pii, op7_suffix_dedup, op8_language, op9_line_dedup, op10_quality, pipeline)}
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_simhash_near_dedup, op2_benchmark_decontamination, op3_token_records, op4_toxicity, op5_sentencepiece, op6_pii, op7_suffix_dedup, op8_language, op9_line_dedup, op10_quality, op11_chat_format, pipeline)}
 
 # Line dedup is a minimum for each key, so SQL can say all of it.
 ORACLE: dict[str, str] = {
