@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, workspace
-from . import align, chat, decontaminate, language, line_dedup, pieces, pii, quality, simhash, suffix_dedup, token_files, toxicity
+from . import align, chat, decontaminate, language, line_dedup, pieces, pii, quality, repair, simhash, suffix_dedup, token_files, toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +82,11 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_records(rows.union(extra)))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with every conversation after the damage, and the cheapest repair."""
+    return repair.digest(repair.plan_repairs(repair.damage(repair.rows_of(_table(spark, sf_dir, "conversations")))))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the tokens of two tokenizers meet in every document."""
     aligned = align.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -95,7 +100,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(configure(spark), sf_dir)
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_simhash_near_dedup, op2_benchmark_decontamination, op3_token_records, op4_toxicity, op5_sentencepiece, op6_pii, op7_suffix_dedup, op8_language, op9_line_dedup, op10_quality, op11_chat_format, op13_tokenizer_alignment, pipeline)}
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_simhash_near_dedup, op2_benchmark_decontamination, op3_token_records, op4_toxicity, op5_sentencepiece, op6_pii, op7_suffix_dedup, op8_language, op9_line_dedup, op10_quality, op11_chat_format, op12_conversation_repair, op13_tokenizer_alignment, pipeline)}
 
 # Line dedup is a minimum for each key, so SQL can say all of it.
 ORACLE: dict[str, str] = {
