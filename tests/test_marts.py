@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind import workspace
 from tradewind.operators import marts, profile, quality
-from tradewind.sinks import bucketed_table
+from tradewind.sinks import aggregate_dealt, bucketed_table, deal_table, dealt_table, join_dealt
 
 
 @pytest.fixture
@@ -112,13 +112,50 @@ def test_bucketed_tables_join_without_exchange(spark):
     assert joined.count() == 1_000
 
 
-def test_hot_key_is_not_bucketed(spark):
-    root = workspace(spark, "bucket-hot")
-    df = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k", "id AS v")
-    table = bucketed_table(df, "bucket_hot", "k", 64, path=f"{root}/hot")
-    assert table.count() == 60_000
-    described = spark.sql("DESCRIBE EXTENDED bucket_hot").collect()
-    assert not [r for r in described if r.col_name == "Num Buckets"]
+def hot_tables(spark, label, buckets=64):
+    root = workspace(spark, label)
+    tag = root.rsplit("-", 1)[1]
+    key = "CASE WHEN id % 3 = 0 THEN -1 WHEN id % 10 = 1 THEN NULL ELSE id % 7000 END AS k"
+    left = deal_table(spark.range(60_000).selectExpr(key, "id AS v"), f"hot_l_{tag}", "k", buckets, path=f"{root}/l")
+    # The right side has a hot key of its own, one in common, and keys the left side lacks.
+    other = "CASE WHEN id % 4 = 0 THEN 3 WHEN id % 4 = 1 THEN -1 WHEN id % 50 = 2 THEN NULL ELSE id END AS k"
+    right = deal_table(spark.range(800).selectExpr(other, "id AS w"), f"hot_r_{tag}", "k", buckets, path=f"{root}/r")
+    return left, right
+
+
+def test_hot_key_lies_beside_the_buckets(spark):
+    left, right = hot_tables(spark, "dealt")
+    assert left.hot == (-1,) and right.hot == (-1, 3)
+    assert left.head.where("k = -1").count() == 20_000 and left.tail.where("k = -1 OR k IS NULL").isEmpty()
+    assert left.read().count() == spark.read.table(left.name).count() == 60_000
+    described = spark.sql(f"DESCRIBE EXTENDED {left.name}_tail").collect()
+    assert [r.data_type for r in described if r.col_name == "Num Buckets"] == ["64"]
+    assert dealt_table(spark, left.name, "k").hot == left.hot
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_dealt_join_equals_plain_join(spark, how):
+    left, right = hot_tables(spark, "dealt")
+    got, want = (df.groupBy(*df.columns).count().groupBy().agg(F.sum("count"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first() for df in (join_dealt(left, right, how), left.read().join(right.read(), "k", how)))
+    assert got == want
+
+
+def test_tails_join_and_aggregate_without_exchange(spark):
+    left, right = hot_tables(spark, "dealt")
+    assert "Exchange" not in plan(left.tail.where(~right.is_hot("k")).hint("merge").join(right.tail, "k"))
+    assert "Exchange" not in plan(left.tail.groupBy("k").count())
+    # Two exchanges of the head's partial sums, none of the tail.
+    assert plan(aggregate_dealt(left, F.count(F.lit(1)).alias("n"))).count("Exchange hashpartitioning") == 1
+    assert rows(aggregate_dealt(left, F.count(F.lit(1)).alias("n"))) == rows(left.read().groupBy("k").agg(F.count(F.lit(1)).alias("n")))
+
+
+def test_no_hot_key_and_empty_table(spark):
+    root = workspace(spark, "dealt")
+    tag = root.rsplit("-", 1)[1]
+    even = deal_table(spark.range(1000).selectExpr("id AS k"), f"even_{tag}", "k", 8, path=f"{root}/e")
+    none = deal_table(spark.range(0).selectExpr("id AS k"), f"none_{tag}", "k", 8, path=f"{root}/n")
+    assert even.hot == none.hot == () and none.read().isEmpty() and even.tail.count() == 1000
+    assert join_dealt(even, none, "left_anti").count() == 1000
 
 
 # --- profiles against brute force -------------------------------------------

@@ -42,3 +42,10 @@ def apply_changes(old: DataFrame, changes: DataFrame, keys: Sequence[str]) -> Da
     gone = changes.where(F.col("_change_type").isin("delete", "update_preimage")).select(*keys)
     come = changes.where(F.col("_change_type").isin("insert", "update_postimage")).select(*cols)
     return old.join(gone, list(keys), "left_anti").unionByName(come)
+
+
+def reversed_feed(changes: DataFrame) -> DataFrame:
+    """``changes`` that lead back: what was inserted is deleted, and so on."""
+    back = {"insert": "delete", "delete": "insert", "update_preimage": "update_postimage", "update_postimage": "update_preimage"}
+    kinds = F.create_map(*[F.lit(x) for pair in back.items() for x in pair])
+    return changes.withColumn("_change_type", kinds[F.col("_change_type")])

@@ -1,20 +1,68 @@
-"""Curated Parquet to staging, star schema and the category view."""
+"""Curated Parquet to staging, star schema and the views kept on it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import marts
+from ..operators import changes, marts
 from ..operators.quality import only_passed
-from ..sinks import insert_new, reload_staging, save_table, upsert_partitions, upsert_rows
+from ..sinks import KeptView, apply_changes, insert_new, reload_staging, save_table, upsert_partitions, upsert_rows
 
 # The fact lies in one directory a month: a day's lines are too few for files of their own.
 MONTH = "date_month"
 
 
+def category_view(root: str) -> KeptView:
+    """Revenue and items per day and category, in one directory a month."""
+    sums = {"daily_revenue": "line_total", "total_items_sold": "quantity"}
+    return KeptView(f"{root}/views/category", ("order_month", "order_date", "product_category"), "order_month", sums)
+
+
+def regional_view(root: str) -> KeptView:
+    """Revenue, items and distinct orders per day, category and region."""
+    sums = {"daily_revenue": "line_total", "total_items_sold": "quantity"}
+    groups = ("order_month", "order_date", "category", "store_region")
+    return KeptView(f"{root}/views/regional", groups, "order_month", sums, {"total_order_count": "order_id"})
+
+
+def view_lines(fact: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines of the views from the fact or from its changes: those whose order has a day and
+    whose product is known."""
+    day = F.to_date("order_ts")
+    lines = marts.star(fact.where(day.isNotNull()), (products.select("product_id", "category"), "product_id"))
+    dated = lines.withColumn("order_date", day).withColumn("order_month", F.trunc("order_date", "month"))
+    return dated.withColumn("product_category", F.col("category"))
+
+
+def line_changes(fact: DataFrame, products: DataFrame, fact_feed: DataFrame, product_feed: DataFrame) -> DataFrame:
+    """What the changes of the fact and of the products mean for the lines of the views.
+
+    Lines that changed count with the products as they were; then all lines, changed
+    or not, of products that changed move from the old category to the new one. Only those
+    products' lines are read from the ``fact``, and none if no category changed.
+    """
+    before = changes.apply_changes(products, changes.reversed_feed(product_feed), ["product_id"])
+    moved = product_feed.groupBy("product_id").agg(
+        F.max(F.when(F.col("_change_type").isin("delete", "update_preimage"), F.col("category"))).alias("_old"),
+        F.max(F.when(F.col("_change_type").isin("insert", "update_postimage"), F.col("category"))).alias("_new"),
+        F.count_if(F.col("_change_type").isin("delete", "update_preimage")).alias("_was"),
+        F.count_if(F.col("_change_type").isin("insert", "update_postimage")).alias("_is"),
+    )
+    moved = moved.where(~(F.col("_old").eqNullSafe(F.col("_new")) & (F.col("_was") == F.col("_is"))))
+    old = moved.where("_was > 0").select("product_id", F.col("_old").alias("category"))
+    new = moved.where("_is > 0").select("product_id", F.col("_new").alias("category"))
+    feed = fact_feed.drop("_commit_version")
+    return (
+        view_lines(feed, before)
+        .unionByName(view_lines(fact.withColumn("_change_type", F.lit("delete")), old))
+        .unionByName(view_lines(fact.withColumn("_change_type", F.lit("insert")), new))
+    )
+
+
 def load_star(
-    spark: SparkSession, prefix: str, root: str, customers: DataFrame, products: DataFrame, orders: DataFrame, items: DataFrame
+    spark: SparkSession, prefix: str, root: str, customers: DataFrame, products: DataFrame, orders: DataFrame, items: DataFrame,
+    version: int | None = None,
 ) -> dict[str, str]:
     """Stage the curated frames and fill dimensions and fact; the tables' names.
 
@@ -22,6 +70,10 @@ def load_star(
     emptied first. A row replaces the one with its key in dimensions and fact, so changed
     rows arrive and a load that is run again changes nothing; of the fact, only the months
     concerned are written.
+
+    With a ``version``, counted up from load to load, the changes are kept, and the category
+    and regional views are brought up to date by them. A load that was cut off is repeated
+    with its version.
     """
     staged = {"customers": customers, "products": products, "orders": orders, "items": items}
     names = {}
@@ -49,12 +101,18 @@ def load_star(
         name = names[table] = f"{prefix}{table}"
         path = f"{root}/analytics/{table}"
         is_fact = table == "fact_order_items"
+        feed = None if version is None else (f"{root}/changes/{table}/{version}", version)
         if not spark.catalog.tableExists(name):
             save_table(df.limit(0), name, path, [MONTH] if is_fact else ())
         if is_fact:
-            upsert_partitions(df, name, path, keys, MONTH)
+            upsert_partitions(df, name, path, keys, MONTH, feed)
         elif table == "dim_date":
             insert_new(df, name, keys)  # a day does not change
         else:
-            upsert_rows(df, name, keys)
+            upsert_rows(df, name, keys, feed if table == "dim_product" else None)
+    if version is not None:
+        feeds = [spark.read.parquet(f"{root}/changes/{t}/{version}") for t in ("fact_order_items", "dim_product")]
+        lines = line_changes(spark.read.table(names["fact_order_items"]), spark.read.table(names["dim_product"]), *feeds)
+        for view in (category_view(root), regional_view(root)):
+            apply_changes(lines, view, version)
     return names

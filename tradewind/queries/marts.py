@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import marts, quality
 from ..session import workspace
-from ..sinks import bucketed_table
+from ..sinks import aggregate_dealt, deal_table, join_dealt
 from .cleaning import items_curated, order_outcomes, orders_curated, star_fact
 from .registry import query
 from .tables import customers_raw, items_raw, orders_raw, products_raw, table
@@ -136,21 +136,54 @@ FROM fact f JOIN customers_clean c ON f.customer_id = c.customer_id GROUP BY c.s
     "fact customers_clean",
 )
 def j7(spark, d):
+    fact, customers = _dealt(spark, d, star_fact(spark, d))
+    joined = join_dealt(fact, customers)
+    return joined.groupBy("segment").agg(F.count(F.lit(1)).alias("lines"), F.sum("line_total").alias("revenue"))
+
+
+def _dealt(spark, d, fact):
     root = workspace(spark, "bucketed")
     tag = root.rsplit("-", 1)[1]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fact = bucketed_table(
-        star_fact(spark, d), f"fact_{tag}", "customer_id", n, ["customer_id", "date_key"], path=f"{root}/fact"
-    )
-    customers = bucketed_table(
-        marts.dim_customer(marts.clean_customers(customers_raw(spark, d))),
-        f"customer_{tag}",
-        "customer_id",
-        n,
-        path=f"{root}/customer",
-    )
-    joined = fact.join(customers.select("customer_id", "segment"), "customer_id")
-    return joined.groupBy("segment").agg(F.count(F.lit(1)).alias("lines"), F.sum("line_total").alias("revenue"))
+    lines = deal_table(fact, f"fact_{tag}", "customer_id", n, ["customer_id", "date_key"], path=f"{root}/fact")
+    people = marts.dim_customer(marts.clean_customers(customers_raw(spark, d)))
+    customers = deal_table(people.select("customer_id", "segment"), f"customer_{tag}", "customer_id", n, path=f"{root}/customer")
+    return lines, customers
+
+
+HOT_FACT = """(SELECT order_id, line_total, CASE WHEN order_id::BIGINT % 3 = 0 THEN 1
+  WHEN order_id::BIGINT % 3 = 1 AND order_id::BIGINT % 7 <> 0 THEN customer_id
+  WHEN order_id::BIGINT % 3 = 2 THEN -customer_id END AS customer_id FROM fact)"""
+
+
+def _hot_fact(spark, d):
+    """A third of the lines is one customer's; some have none, others one that is not known."""
+    key = F.col("order_id").cast("bigint")
+    known = F.when(key % 3 == 0, 1).when((key % 3 == 1) & (key % 7 != 0), F.col("customer_id")).when(key % 3 == 2, -F.col("customer_id"))
+    return star_fact(spark, d).withColumn("customer_id", known.cast("bigint"))
+
+
+@query(
+    "j7_hot_key_join",
+    f"""
+SELECT coalesce(c.segment, 'unknown') AS segment, count(*) AS lines, sum(f.line_total)::DOUBLE AS revenue
+FROM {HOT_FACT} f LEFT JOIN customers_clean c ON f.customer_id = c.customer_id GROUP BY 1""",
+    "fact customers_clean",
+)
+def j7_hot_key(spark, d):
+    joined = join_dealt(*_dealt(spark, d, _hot_fact(spark, d)), "left")
+    segment = F.coalesce("segment", F.lit("unknown")).alias("segment")
+    return joined.groupBy(segment).agg(F.count(F.lit(1)).alias("lines"), F.sum("line_total").alias("revenue"))
+
+
+@query(
+    "j7_hot_key_totals",
+    f"SELECT customer_id, count(*) AS lines, sum(line_total)::DOUBLE AS revenue FROM {HOT_FACT} GROUP BY customer_id",
+    "fact",
+)
+def j7_hot_totals(spark, d):
+    fact, _ = _dealt(spark, d, _hot_fact(spark, d))
+    return aggregate_dealt(fact, F.count(F.lit(1)).alias("lines"), F.sum("line_total").alias("revenue"))
 
 
 # --- aggregates -------------------------------------------------------------

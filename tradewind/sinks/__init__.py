@@ -1,5 +1,6 @@
 """Writers: appends, partition overwrites, tables, views and snapshots."""
 
+from .dealt import DealtTable, aggregate_dealt, deal_table, dealt_table, join_dealt
 from .files import append, append_partitioned, overwrite_partitions, publish_snapshot, replace_partitions, stored
 from .tables import (
     add_rows,
@@ -12,16 +13,26 @@ from .tables import (
     upsert_partitions,
     upsert_rows,
 )
+from .views import KeptView, apply_changes, build_view, read_view
 
 __all__ = [
+    "DealtTable",
+    "KeptView",
     "add_rows",
+    "aggregate_dealt",
     "append",
     "append_partitioned",
+    "apply_changes",
     "bucketed_table",
+    "build_view",
+    "deal_table",
+    "dealt_table",
     "describe_table",
     "insert_new",
+    "join_dealt",
     "overwrite_partitions",
     "publish_snapshot",
+    "read_view",
     "refresh_view",
     "reload_staging",
     "replace_partitions",

@@ -7,7 +7,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.changes import change_feed
 from ..operators.joins import split_join
+from ..sources.fs import exists
 from .files import replace_partitions, stored
 
 
@@ -44,23 +46,37 @@ def insert_new(df: DataFrame, name: str, keys: Sequence[str]) -> None:
     add_rows(df.join(known, list(keys), "left_anti").select(*df.columns), name)
 
 
-def upsert_rows(df: DataFrame, name: str, keys: Sequence[str]) -> None:
+def _keep_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], feed: tuple[str, int]) -> None:
+    """Write the changes from ``old`` rows to ``new`` ones to the folder and under the version
+    of ``feed``, unless an earlier try has written them in full before it was cut off."""
+    path, version = feed
+    if not exists(old.sparkSession, f"{path}/_SUCCESS"):
+        change_feed(old, new.select(*old.columns), keys, version).write.mode("overwrite").parquet(path)
+
+
+def upsert_rows(df: DataFrame, name: str, keys: Sequence[str], feed: tuple[str, int] | None = None) -> None:
     """The rows of ``df`` take the place of those with the same ``keys``, or are added.
 
     Writes the whole table, as is fit for a dimension. ``keys`` are unique in ``df``.
+    ``feed`` (a path and a version) keeps the row changes, before the table is touched.
     """
     new = stored(df, "upsert")
     table = df.sparkSession.read.table(name)
+    if feed:
+        _keep_feed(split_join(table, new.select(*keys), keys, "left_semi"), new, keys, feed)
     kept = split_join(table, new.select(*keys), keys, "left_anti")
     reload_staging(stored(kept.select(*table.columns).unionByName(new), "upsert"), name)
 
 
-def upsert_partitions(df: DataFrame, name: str, path: str, keys: Sequence[str], part: str) -> None:
+def upsert_partitions(
+    df: DataFrame, name: str, path: str, keys: Sequence[str], part: str, feed: tuple[str, int] | None = None
+) -> None:
     """Like :func:`upsert_rows` for a table at ``path`` partitioned by ``part`` (no nulls):
     only partitions that hold such rows, before or after, are read whole and written.
 
     A row whose ``part`` has changed leaves its old partition; to find it, the ``keys`` of
-    the table are read, and no other column. A repeated load changes nothing.
+    the table are read, and no other column. A repeated load changes nothing. ``feed`` (a
+    path and a version) keeps the row changes, before the table is touched.
     """
     spark = df.sparkSession
     new = stored(df, "upsert")
@@ -68,31 +84,27 @@ def upsert_partitions(df: DataFrame, name: str, path: str, keys: Sequence[str],
     before = split_join(table.select(*keys, part), new.select(*keys), keys, "left_semi")
     touched = stored(before.select(part).union(new.select(part)).distinct(), "touched")
     lo, hi = touched.agg(F.min(part), F.max(part)).first()
+    concerned = split_join(table.where(F.col(part).between(lo, hi)), touched, part, "left_semi") if lo is not None else table.limit(0)
+    if feed:
+        _keep_feed(split_join(concerned, new.select(*keys), keys, "left_semi"), new, keys, feed)
     if lo is None:
         return
-    kept = split_join(table.where(F.col(part).between(lo, hi)), touched, part, "left_semi")
-    kept = split_join(kept, new.select(*keys), keys, "left_anti")
+    kept = split_join(concerned, new.select(*keys), keys, "left_anti")
     replace_partitions(stored(kept.select(*new.columns).unionByName(new), "upsert"), path, part, touched)
     # The catalog keeps a list of a table's partitions.
     spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
 
 
-def bucketed_table(
-    df: DataFrame, name: str, key: str, buckets: int, sort: Sequence[str] | None = None,
-    path: str | None = None, hot_share: float = 4.0,
-) -> DataFrame:
+def bucketed_table(df: DataFrame, name: str, key: str, buckets: int, sort: Sequence[str] | None = None, path: str | None = None) -> DataFrame:
     """Table ``name`` hashed into ``buckets`` by ``key``: joins and aggregates on
     ``key`` between such tables need no exchange.
 
-    A bucket is one task's work when it is read. If one value of ``key`` holds more
-    than ``hot_share`` times an even bucket's rows, the table is written without
-    buckets: joins then shuffle, and AQE can split the hot value.
+    A bucket is one task's work when it is read; if one value of ``key`` may hold many
+    rows, see :func:`tradewind.sinks.deal_table`.
     """
-    writer = df.write
-    if not _has_hot_key(df, key, buckets, hot_share):
-        # Shuffled to its buckets first: each task writes its own, not all of them.
-        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*(sort or [key]))
+    # Shuffled to its buckets first: each task writes its own, not all of them.
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*(sort or [key]))
     writer = writer.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)
@@ -100,12 +112,6 @@ def bucketed_table(
     return df.sparkSession.read.table(name)
 
 
-def _has_hot_key(df: DataFrame, key: str, buckets: int, hot_share: float) -> bool:
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    most, rows = per_key.agg(F.max("n"), F.sum("n")).first()
-    return bool(rows) and most * buckets > hot_share * rows and most > 10_000
-
-
 def describe_table(spark: SparkSession, name: str, comment: str, properties: Mapping[str, str] | None = None) -> None:
     """Set the comment and properties of a table."""
     text = comment.replace("'", "\\'")
