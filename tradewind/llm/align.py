@@ -25,6 +25,8 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,7 @@ from .common import _slices, documents, map_rows, stored, texts
 
 HEAD_PAIRS = 1 << 18
 BLANK = "▁"
+_ID_AND_END = attrgetter("id", "end")
 
 
 class Side:
@@ -44,8 +47,10 @@ class Side:
     raw: list[bytes]
     #: Nothing around a word that a single blank or line feed sets off changes its tokens.
     cuttable: bool
+    #: A comma or full stop at a word's end is no part of a token with the letter before it.
+    ends: bool
 
-    def spans(self, words: list[str], whole: bool) -> Iterator[tuple[list[int], list[tuple[int, int]]]]:
+    def spans(self, words: list[str], whole: bool) -> Iterator[tuple[list[int], np.ndarray]]:
         """For every word the ids and the tokens' spans in bytes, as the library has them."""
         raise NotImplementedError
 
@@ -67,19 +72,20 @@ class ByteLevel(Side):
         self.raw = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.raw[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
+        self.ends = True
         kind = json.loads(self.tokenizer.to_str())
         before = kind["pre_tokenizer"] or {}
         plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
         self.cuttable = bool(plain and kind["normalizer"] is None and all(t["special"] for t in kind["added_tokens"]))
 
-    def spans(self, words: list[str], whole: bool) -> Iterator[tuple[list[int], list[tuple[int, int]]]]:
+    def spans(self, words: list[str], whole: bool) -> Iterator[tuple[list[int], np.ndarray]]:
         for word, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False)):
-            if word.isascii():
-                yield e.ids, e.offsets
-                continue
-            size = np.frombuffer(word.encode("utf-32-le"), "<u4")
-            at = [0, *np.cumsum(1 + (size > 0x7F) + (size > 0x7FF) + (size > 0xFFFF)).tolist()]
-            yield e.ids, [(at[b], at[c]) for b, c in e.offsets]
+            spans = np.fromiter(chain.from_iterable(e.offsets), np.int64).reshape(-1, 2)
+            if not word.isascii():
+                code = np.frombuffer(word.encode("utf-32-le"), "<u4")
+                at = np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))
+                spans = np.concatenate([[0], at])[spans]
+            yield e.ids, spans
 
 
 class Pieces(Side):
@@ -99,25 +105,25 @@ class Pieces(Side):
         sp = self.whole
         names = [sp.id_to_piece(i) for i in range(sp.vocab_size())]
         self.raw = [bytes([int(p[3:-1], 16)]) if sp.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(names)]
+        self.ends = not any(x.isalpha() and y in ",." for p in names for x, y in zip(p, p[1:]))
         normal = m.normalizer_spec
         alone = not any(BLANK in p.lstrip(BLANK) or ("\n" in p and p != "\n") for p in names)
         self.cuttable = alone and self.adds_blank and normal.escape_whitespaces and not (normal.precompiled_charsmap or normal.remove_extra_whitespaces or m.trainer_spec.treat_whitespace_as_suffix)
 
-    def spans(self, words: list[str], whole: bool) -> Iterator[tuple[list[int], list[tuple[int, int]]]]:
+    def spans(self, words: list[str], whole: bool) -> Iterator[tuple[list[int], np.ndarray]]:
         # A whole text comes with the blank that this model puts in front itself.
         model, shift = (self.whole, 1) if whole and self.adds_blank else (self.inner, 0)
         for found in model.encode([w[shift:] for w in words], return_type="proto", num_threads=1):
-            tokens = [(t.id, t.begin, t.end) for t in found.pieces]
-            spans = [(b + shift, e + shift) for _, b, e in tokens]
-            if shift and spans:
-                spans[0] = (0, spans[0][1])
-            yield [t[0] for t in tokens], spans
+            tokens = np.fromiter(chain.from_iterable(map(_ID_AND_END, found.pieces)), np.int64).reshape(-1, 2)
+            ends = tokens[:, 1] + shift
+            # A piece begins where the one before it ends.
+            yield tokens[:, 0].tolist(), np.stack([np.concatenate([[0], ends[:-1]])[: len(ends)], ends], axis=1)
 
 
-def token_ends(body: bytes, ids: list[int], spans: list[tuple[int, int]], raw: list[bytes]) -> list[int] | None:
+def token_ends(body: bytes, ids: list[int], spans: np.ndarray, raw: list[bytes]) -> list[int] | None:
     """Where each token ends in ``body``, or None if the tokens do not spell it."""
     at, ends = 0, []
-    for i, (begin, end) in zip(ids, spans):
+    for i, (begin, end) in zip(ids, spans.tolist()):
         piece = raw[i]
         # Tokens that share a character have one span; their own bytes divide it.
         if begin != at or end - begin != len(piece):
@@ -165,20 +171,25 @@ Word = tuple[bytes, bytes, int, str]
 
 
 class Aligner:
-    """Both tokenizers, with a bounded memory of the words they have aligned."""
+    """Both tokenizers, with a bounded memory of the words they have aligned: up to
+    ``remember`` new ones, and as many before them, of which those met again are kept."""
 
     def __init__(self, a_path: str, b_path: str, remember: int = 200_000) -> None:
         self.a, self.b = ByteLevel(a_path), Pieces(b_path)
         self.cuttable = self.a.cuttable and self.b.cuttable
         self.remember = remember
-        self.known: dict[str, Word | None] = {"": (b"", b"", 0, "")}
+        self.forget()
         self.a_sizes = np.array([len(r) for r in self.a.raw], np.int64)
         self.b_sizes = np.array([len(r) for r in self.b.raw], np.int64)
+        self.a_names = np.array([str(i) for i in range(len(self.a.raw))], object)
+        self.b_names = np.array([str(i) for i in range(len(self.b.raw))], object)
 
     def forget(self) -> None:
-        self.known = {"": (b"", b"", 0, "")}
+        self.known: dict[str, Word | None] = {"": (b"", b"", 0, "")}
+        self.earlier: dict[str, Word | None] = {}
 
     def learn(self, words: list[str], whole: bool = False) -> dict[str, Word | None]:
+        """Words, or whole texts, one by one."""
         out = {}
         for word, (a_ids, a_spans), (b_ids, b_spans) in zip(words, self.a.spans(words, whole), self.b.spans(words, whole)):
             body = word.encode()
@@ -189,17 +200,99 @@ class Aligner:
                 out[word] = (array("I", a_ids).tobytes(), array("I", b_ids).tobytes(), *grouped(a_ids, a_ends, b_ids, b_ends))
         return out
 
+    def learn_lines(self, words: list[str]) -> dict[str, Word | None]:
+        """Words without white space but for one blank in front, many in one text: a line
+        feed behind a word sets it off as it does in any text."""
+        out: dict[str, Word | None] = {}
+        todo = [words[k : k + 4000] for k in range(0, len(words), 4000)]
+        while todo:
+            some = todo.pop()
+            found = self._lines(some)
+            if found is not None:
+                out.update(zip(some, found))
+            elif len(some) > 16:  # one of them is not spelled by its tokens
+                todo += [some[: len(some) // 2], some[len(some) // 2 :]]
+            else:
+                out.update(self.learn(some))
+        return out
+
+    def _lines(self, words: list[str]) -> list[Word] | None:
+        lines = ["\n".join([*words[k : k + 200], ""]) for k in range(0, len(words), 200)]
+        bodies = [x.encode() for x in lines]
+        starts = np.cumsum([0, *map(len, bodies)])
+        body = b"".join(bodies)
+        sides = []
+        for side, sizes in ((self.a, self.a_sizes), (self.b, self.b_sizes)):
+            found = list(side.spans(lines, False))
+            ids = list(chain.from_iterable([f[0] for f in found]))
+            if b"".join([side.raw[i] for i in ids]) != body:
+                return None
+            ids = np.array(ids, np.int64)
+            spans = np.concatenate([f[1] + start for f, start in zip(found, starts)])
+            decoded = np.cumsum(sizes[ids])
+            own = (spans[:, 0] == decoded - sizes[ids]) & (spans[:, 1] == decoded)
+            # Tokens that share a character have one span; their own bytes divide it.
+            sides.append((ids, np.where(own, spans[:, 1], decoded)))
+        lengths = np.array([len(w.encode()) for w in words])
+        last = np.cumsum(lengths + 1) - 1  # where the line feed behind a word stands
+        (a, a_ends), (b, b_ends) = sides
+        common = a_ends[np.isin(a_ends, b_ends)]
+        if not np.isin(np.concatenate([last, last + 1]), common).all():
+            return None
+        a, a_ends = (x[~np.isin(a_ends, last + 1)] for x in (a, a_ends))
+        b, b_ends = (x[~np.isin(b_ends, last + 1)] for x in (b, b_ends))
+        common = common[~np.isin(common, last + 1)]
+        groups = np.concatenate([np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)])
+        from_b = np.repeat([0, 1], [len(a), len(b)])
+        order = np.lexsort((from_b, groups))
+        group, side = groups[order], from_b[order]
+        word = np.searchsorted(last, common)  # of each group
+        # What stands behind a token: it goes on, B follows, a group follows, a word follows.
+        marks = np.array([",", "|", ";", "\n"], object)
+        kind = np.where(np.diff(group) == 0, np.diff(side), 2 + (np.diff(word[group]) > 0))
+        written = np.empty(2 * len(order), object)
+        written[::2] = np.concatenate([self.a_names[a], self.b_names[b]])[order]
+        written[1:-1:2] = marks[kind]
+        written[-1] = ""
+        names = "".join(written.tolist()).split("\n")
+        n_groups = np.bincount(word, minlength=len(words)).tolist()
+        parts = []
+        for ids, ends in ((a, a_ends), (b, b_ends)):
+            at = [0, *(4 * np.searchsorted(ends, last, "right")).tolist()]
+            raw = ids.astype("<u4").tobytes()
+            parts.append([raw[i:j] for i, j in zip(at, at[1:])])
+        return list(zip(*parts, n_groups, names))
+
+    def meet(self, words: set[str]) -> None:
+        """Let ``known`` have ``words``."""
+        known, earlier = self.known, self.earlier
+        known.update((w, earlier[w]) for w in words if w in earlier)
+        # A comma or full stop behind a letter is a token of its own for both.
+        ended = {w for w in words if self.a.ends and self.b.ends and 2 < len(w) <= 256 and w[-1] in ",." and w[-2].isalpha() and w not in known}
+        if ended:
+            self.meet({w for x in ended for w in (x[:-1], x[-1]) if w not in known})
+        new = [w for w in words - ended if w not in known]
+        bare = [w.removeprefix(" ") for w in new]
+        plain = [w for w, b in zip(new, bare) if b.split() == [b]]
+        known.update(self.learn_lines(plain))
+        known.update(self.learn([w for w in new if w not in known]))
+        for w in ended:
+            x, y = known[w[:-1]], known[w[-1]]
+            known[w] = x and y and (x[0] + y[0], x[1] + y[1], x[2] + y[2], f"{x[3]};{y[3]}")
+
     def align(self, batch: list[str]) -> list[Word | None]:
         """Every text with a blank in front: ids, number of groups, and the groups."""
         if not self.cuttable:
             found = self.learn(list({f" {t}" for t in batch if t}), whole=True)
             return [found[f" {t}"] if t else (b"", b"", 0, "") for t in batch]
         if len(self.known) > self.remember:
+            known = self.known
             self.forget()
+            self.earlier = known
         cut = [words_of(f" {t}") if t else [] for t in batch]
         known = self.known
-        missing = list({w for words in cut for w in words if w not in known})
-        known.update(self.learn(missing))
+        missing = {w for words in cut for w in words if w not in known}
+        self.meet(missing)
         out: list[Word | None] = []
         for words in cut:
             parts = [known[w] for w in words if w]
@@ -261,7 +354,7 @@ def align(df: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id", te
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     ddl = f"row bigint, doc_id {kind}, a_ids array<int>, b_ids array<int>, n_groups bigint, groups_sha256 string"
-    made = map_rows(docs, fn, ddl, lambda: aligner(a_path, b_path).forget())
+    made = map_rows(docs, fn, ddl)
     return Aligned(stored(made, "aligned"), a_path, b_path)
 
 
@@ -290,7 +383,7 @@ def links(batch: pa.RecordBatch, both: Aligner) -> tuple[np.ndarray, np.ndarray]
     return pairs, np.searchsorted(ends, bytes_so_far, "right")
 
 
-def pair_counts(aligned: Aligned, at_once: int = 1 << 20) -> DataFrame:
+def pair_counts(aligned: Aligned, at_once: int = 1 << 18) -> DataFrame:
     """pair, n: how many links hold each pair of ids linked. Counted in the tasks first,
     ``at_once`` different pairs at a time."""
     a_path, b_path = aligned.a_path, aligned.b_path
@@ -298,6 +391,7 @@ def pair_counts(aligned: Aligned, at_once: int = 1 << 20) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(a_path, b_path)
+        both.forget()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
@@ -356,7 +450,9 @@ def score(aligned: Aligned, head_pairs: int = HEAD_PAIRS) -> DataFrame:
     shared = spark.sparkContext.broadcast((head.column("pair").to_numpy(), head.column("n").to_numpy(), head.column("best").to_numpy().astype(np.int64)))
 
     def fn(b: pa.RecordBatch) -> dict:
-        found, last = links(b, aligner(a_path, b_path))
+        both = aligner(a_path, b_path)
+        both.forget()  # words are of no use here
+        found, last = links(b, both)
         known, counts, best = shared.value
         different, place = np.unique(found, return_inverse=True)
         at = np.minimum(np.searchsorted(known, different), max(0, len(known) - 1))
