@@ -34,9 +34,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _slices, documents, map_rows, stored, texts
+from .common import _slices, documents, map_rows, small_batches, stored, texts
 
 HEAD_PAIRS = 1 << 18
+BATCH = "8m"
 BLANK = "▁"
 _ID_AND_END = attrgetter("id", "end")
 
@@ -355,7 +356,8 @@ def align(df: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id", te
     kind = docs.schema["doc_id"].dataType.simpleString()
     ddl = f"row bigint, doc_id {kind}, a_ids array<int>, b_ids array<int>, n_groups bigint, groups_sha256 string"
     made = map_rows(docs, fn, ddl)
-    return Aligned(stored(made, "aligned"), a_path, b_path)
+    with small_batches(df.sparkSession, BATCH):
+        return Aligned(stored(made, "aligned"), a_path, b_path)
 
 
 def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -443,7 +445,9 @@ def score(aligned: Aligned, head_pairs: int = HEAD_PAIRS) -> DataFrame:
     """
     a_path, b_path = aligned.a_path, aligned.b_path
     spark = aligned.table.sparkSession
-    pairs = stored(ranked(stored(pair_counts(aligned), "pair-counts")), "pairs")
+    with small_batches(spark, BATCH):
+        counts = stored(pair_counts(aligned), "pair-counts")
+    pairs = stored(ranked(counts), "pairs")
     # Powers of two as text: the largest is beyond a long.
     frequent = F.col("n") >= F.lit(str(_least(pairs, head_pairs))).cast("decimal(20,0)")
     head = pairs.where(frequent).toArrow().sort_by("pair")
@@ -480,7 +484,8 @@ def score(aligned: Aligned, head_pairs: int = HEAD_PAIRS) -> DataFrame:
 
     kind = aligned.table.schema["doc_id"].dataType.simpleString()
     ddl = f"row bigint, doc_id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, head_best bigint, head_sum bigint, rest array<bigint>, groups_sha256 string"
-    rows = stored(map_rows(aligned.table, fn, ddl), "aligned-scores")
+    with small_batches(spark, BATCH):
+        rows = stored(map_rows(aligned.table, fn, ddl), "aligned-scores")
     rare = rows.select("row", F.explode("rest").alias("pair")).groupBy("row", "pair").agg(F.count(F.lit(1)).alias("k"))
     looked_up = rare.join(pairs.where(~frequent), "pair")
     rest = looked_up.groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("k")).otherwise(0)).alias("rest_best"), F.sum(F.col("k") * F.col("n")).alias("rest_sum"))

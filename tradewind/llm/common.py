@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,19 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object] | N
     return df.mapInArrow(run, spark_schema)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str) -> Iterator[None]:
+    """While it is open, what runs gets its rows in Arrow batches of about ``size`` (such as
+    ``8m``) and not of Spark's setting: for rows that grow in Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _array(values: object, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
