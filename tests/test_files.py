@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind import sinks, sources, workspace
 from tradewind.plans import curation, lakehouse, warehouse
+from tradewind.sources import fs
 from tradewind.sources.fs import read_text, write_text
 from tradewind.streaming import Source, evolve_schema, ingest_stream, run_incremental
 from tradewind.streaming.incremental import _load
@@ -72,6 +73,19 @@ def test_manifest(spark, root):
         sources.read_manifest(spark, f"{root}/m2.json")
 
 
+def test_manifest_of_many_entries_asks_for_no_file(spark, root, monkeypatch):
+    sinks.append(spark.range(0, 60, 1, 30), f"{root}/data")
+    here = [r.file_path for r in sources.file_inventory(spark.read.parquet(f"{root}/data")).collect()]
+    entries = [{"url": u, "mandatory": True} for u in here[::2]] + [{"url": f"{root}/data/none{i}.parquet", "mandatory": False} for i in range(10_000)]
+    put(f"{root}/many.json", {"entries": entries})
+    calls, real = [], fs.exists
+    monkeypatch.setattr(fs, "exists", lambda s, p: calls.append(p) or real(s, p))
+    assert sources.read_manifest(spark, f"{root}/many.json").count() == 30
+    found = {r.status: r["count"] for r in sources.manifest_check(spark, f"{root}/many.json").groupBy("status").count().collect()}
+    assert found == {"ok": 15, "missing": 10_000}
+    assert len(calls) <= 4
+
+
 def test_snapshot_and_partitioned_manifest(spark, root):
     manifest = sinks.publish_snapshot(spark.range(100), f"{root}/snap")
     assert sources.read_manifest(spark, manifest).count() == 100

@@ -205,6 +205,22 @@ def test_top_values_limit_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
+@pytest.mark.parametrize("tracked", [16, 4096])
+def test_common_values_equal_counting_all(spark, tracked):
+    mixed = "CASE WHEN id % 3 = 0 THEN concat('hot', id % 2) WHEN id % 3 = 1 THEN cast(id AS string) END"
+    df = spark.range(3_000).selectExpr(f"{mixed} AS mixed", "cast(id AS string) AS unique", "cast(id % 5 AS string) AS few", "cast(NULL AS string) AS none", "concat('z', cast(sqrt(id) AS int)) AS tied")
+    for k in (1, 2, 5):
+        assert rows(profile.common_values(df, k, tracked=tracked)) == rows(profile.profile_top_values(df, k))
+    assert rows(profile.common_values(df.limit(0), 2, tracked=tracked)) == []
+
+
+def test_settled_columns_shuffle_no_other_values(spark):
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 2 = 0 THEN concat('hot', id % 4) ELSE cast(id AS string) END AS k")
+    out = profile.common_values(df, 2)
+    assert "Exchange" not in plan(out)  # settled: the rows are there
+    assert rows(out) == [("k", "hot0", 5000, 1), ("k", "hot2", 5000, 2)]
+
+
 def test_null_map_blocks(frame):
     df = frame([(i, None if i < 5 else "x") for i in range(10)], "id int, v string")
     got = {(r.column, r.block): (r.rows, r.null_rate) for r in profile.null_map(df, "id", 2).collect()}

@@ -1,8 +1,8 @@
 """Table profiles: shape, nulls, duplicates, ranges, common values, histograms
 and the defect classes the cleaning looks for.
 
-Each is one pass of partial aggregates; only results bounded by the number of
-columns, bins or grid points are ever gathered.
+Each is one pass of partial aggregates (``common_values``: two); only results bounded by
+the number of columns, values asked for, bins or grid points are ever gathered.
 """
 
 from __future__ import annotations
@@ -79,17 +79,69 @@ def profile_ranges(df: DataFrame) -> DataFrame:
 
 def profile_top_values(df: DataFrame, k: int = 10, cols: Sequence[str] | None = None) -> DataFrame:
     """(column, value, rows, rank): the ``k`` commonest values of each text column,
-    nulls excluded, equal counts in order of value."""
-    cols = list(cols or _text(df))
-    pairs = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols]))
-    ).where("value IS NOT NULL")
+    nulls excluded, equal counts in order of value. Counts every value there is; see
+    :func:`common_values` for columns of many values."""
+    return _ranked(_pairs(df, list(cols or _text(df))), k)
+
+
+def _pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    each = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols]
+    return df.select(F.inline(F.array(*each))).where("value IS NOT NULL")
+
+
+def _ranked(pairs: DataFrame, k: int) -> DataFrame:
     counted = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
     # The rank filter lets each task keep k values per column before the shuffle.
     order = Window.partitionBy("column").orderBy(F.desc("rows"), "value")
     return counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def common_values(df: DataFrame, k: int = 10, cols: Sequence[str] | None = None, tracked: int = 4096) -> DataFrame:
+    """The same as :func:`profile_top_values`, without shuffling every value.
+
+    One pass keeps, in each task, a summary of ``tracked`` values a column with a bound for
+    what it may have missed; the summaries are merged. One more counts the values that are
+    named there, and no others. If the ``k``-th of them has more rows than any other value
+    can have, the column is settled. Columns that are not, such as those whose values
+    hardly repeat, are counted in full.
+    """
+    cols = list(cols or _text(df))
+    # A null is a value to the summary.
+    found = df.agg(F.count(F.lit(1)).alias("rows"), *[F.expr(f"approx_top_k(`{c}`, {tracked}, {tracked})").alias(f"top_{i}") for i, c in enumerate(cols)]).first()
+    named, others = [], {}
+    for i, c in enumerate(cols):
+        top = found[f"top_{i}"] or []
+        # A value is left out if it may be one of those the summary has dropped, whose rows
+        # are within its error, or if the list is full.
+        if sum(t["count"] for t in top) == found["rows"]:
+            others[c] = 0
+        else:
+            others[c] = max(2 * math.ceil(3.5 * found["rows"] / tracked), min(t["count"] for t in top) if len(top) == tracked else 0)
+        # Too few can pass the bound to settle a column of which fewer than k are above it.
+        hopeful = others[c] == 0 or sum(t["count"] > others[c] for t in top if t["item"] is not None) >= k
+        if hopeful:
+            named += [(c, t["item"]) for t in top if t["item"] is not None]
+        else:
+            others[c] = None
+    spark = df.sparkSession
+    candidates = spark.createDataFrame(named, "column string, value string")
+    tried = [c for c in cols if others[c] is not None]
+    out = None
+    if tried:
+        counted = _ranked(_pairs(df, tried).join(candidates, ["column", "value"], "left_semi"), k)
+        rows = counted.collect()  # k a column at most
+        last = {c: min((r["rows"] for r in rows if r["column"] == c), default=0) for c in tried}
+        enough = {c: sum(r["column"] == c for r in rows) == k for c in tried}
+        settled = [c for c in tried if others[c] == 0 or (enough[c] and last[c] > others[c])]
+        out = spark.createDataFrame([r for r in rows if r["column"] in settled], counted.schema)
+        tried = settled
+    rest = [c for c in cols if c not in tried]
+    if not rest:
+        return out
+    full = profile_top_values(df, k, rest)
+    return full if out is None else out.unionByName(full)
+
+
 def _bounds(df: DataFrame, col: str) -> tuple[Column, Column]:
     """Smallest and largest value as scalar subqueries, each computed once."""
     values = df.select(F.col(col).cast("double").alias("v"))

@@ -195,7 +195,8 @@ def dq_metrics(outcomes: DataFrame, context: str) -> DataFrame:
     return quality_score(outcomes).select(F.lit(context).alias("context"), "passed", "failed", "total", "score")
 
 
-def _holds(cond: str | Column) -> Column:
+def holds(cond: str | Column) -> Column:
+    """Whether ``cond`` is true; unknown counts as not holding."""
     cond = F.expr(cond) if isinstance(cond, str) else cond
     return F.coalesce(cond, F.lit(False))
 
@@ -206,14 +207,14 @@ def expect(df: DataFrame, **conditions: str | Column) -> tuple[DataFrame, Observ
     The counts are in ``observation.get`` after the first action.
     """
     seen = Observation()
-    missed = [F.count_if(~_holds(c)).alias(name) for name, c in conditions.items()]
+    missed = [F.count_if(~holds(c)).alias(name) for name, c in conditions.items()]
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *missed), seen
 
 
 def expectation_report(df: DataFrame, **conditions: str | Column) -> DataFrame:
     """The counts of :func:`expect` as a table: (expectation, rows, violations)."""
     counted = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count_if(~_holds(c)).alias(n) for n, c in conditions.items()]
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(~holds(c)).alias(n) for n, c in conditions.items()]
     )
     lines = [F.struct(F.lit(n).alias("expectation"), F.col("_rows").alias("rows"), F.col(n).alias("violations")) for n in conditions]
     return counted.select(F.inline(F.array(*lines)))
@@ -221,12 +222,12 @@ def expectation_report(df: DataFrame, **conditions: str | Column) -> DataFrame:
 
 def expect_or_drop(df: DataFrame, cond: str | Column) -> DataFrame:
     """Rows for which ``cond`` is true; unknown counts as not holding."""
-    return df.where(_holds(cond))
+    return df.where(holds(cond))
 
 
 def expect_or_fail(df: DataFrame, name: str, cond: str | Column) -> DataFrame:
     """``df``, or an error in the first task that meets a row that misses ``cond``."""
-    checked = F.when(_holds(cond), F.lit(True)).otherwise(
+    checked = F.when(holds(cond), F.lit(True)).otherwise(
         F.raise_error(F.lit(f"expectation {name} violated")).cast("boolean")
     )
     return df.where(checked)

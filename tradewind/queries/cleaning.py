@@ -289,12 +289,13 @@ def w3(spark, d):
 @query(
     "w4_identity",
     """
-SELECT row_number() OVER (ORDER BY order_id, product_id) AS order_item_id, order_id, product_id FROM fact""",
+SELECT row_number() OVER (ORDER BY order_id, product_id) AS order_item_id, order_id, customer_id, product_id,
+  date_key::BIGINT AS date_key, quantity::BIGINT AS quantity, unit_price::DOUBLE AS unit_price,
+  line_total::DOUBLE AS line_total, strftime(order_ts, '%Y-%m-%d %H:%M:%S.%f') AS order_ts, store_region FROM fact""",
     "fact",
 )
 def w4(spark, d):
-    fact = star_fact(spark, d).select("order_id", "product_id")
-    return with_identity(fact, ["order_id", "product_id"], "order_item_id")
+    return with_identity(star_fact(spark, d), ["order_id", "product_id"], "order_item_id")
 
 
 @query(
@@ -357,15 +358,17 @@ def o3(spark, d):
 @query(
     "u1_union_evolving",
     """
-SELECT order_id, store_region, CASE WHEN order_ts >= TIMESTAMP '1998-06-01' THEN discount_code END AS discount_code
-FROM orders_raw WHERE order_ts IS NOT NULL""",
+SELECT order_id, customer_id, strftime(order_ts, '%Y-%m-%d %H:%M:%S.%f') AS order_ts, store_region, status,
+  CASE WHEN order_ts < TIMESTAMP '1998-06-01' THEN NULL ELSE discount_code END AS discount_code FROM orders_raw""",
     "orders_raw",
 )
 def u1(spark, d):
+    """Orders without a date are of the newer shape, whose columns stand in another order."""
     orders = orders_raw(spark, d)
-    older = orders.where("order_ts < timestamp'1998-06-01'").select("order_id", "store_region")
-    newer = orders.where("order_ts >= timestamp'1998-06-01'").select("store_region", "discount_code", "order_id")
-    return rows.union_evolving(older, newer)
+    is_older = "coalesce(order_ts < timestamp'1998-06-01', false)"
+    older = orders.where(is_older).drop("discount_code")
+    newer = orders.where(f"NOT {is_older}")
+    return rows.union_evolving(older, newer.select(*reversed(newer.columns)))
 
 
 # --- frames other query modules build on ------------------------------------

@@ -22,10 +22,10 @@ CLICKS_BY_DAY = f"{CLICKS}, event_date date"
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
-def write_csv(df: DataFrame, path: str) -> str:
+def write_csv(df: DataFrame, path: str, mode: str = "error") -> str:
     """With a header, blanks kept, empty text written as nothing."""
     kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
-    df.write.option("header", True).options(**kept).csv(path)
+    df.write.mode(mode).option("header", True).options(**kept).csv(path)
     return path
 
 
@@ -71,12 +71,14 @@ def s2(spark, d):
 @query(
     "s2_jsonl_scan_inferred",
     """
-SELECT customer_id, event_type, event_id, value::DOUBLE AS value FROM clicks_raw""",
+SELECT event_id, customer_id, event_type, strftime(event_ts, '%Y-%m-%dT%H:%M:%SZ') AS event_ts, value::DOUBLE AS value,
+  strftime(event_date, '%Y-%m-%d') AS event_date FROM clicks_raw""",
     "clicks_raw",
 )
 def s2_inferred(spark, d):
     path = workspace(spark, "jsonl")
-    clicks_raw(spark, d).select("customer_id", "event_type", "event_id", "value").write.json(path)
+    clicks = clicks_raw(spark, d).withColumn("event_ts", F.date_format("event_ts", ISO))
+    clicks.write.json(path)
     return sources.read_jsonl(spark, path)
 
 
@@ -99,17 +101,17 @@ def s3(spark, d):
 @query(
     "s4_merged_schema",
     """
-SELECT order_id, store_region, CASE WHEN order_ts >= TIMESTAMP '1998-06-01' THEN discount_code END AS discount_code
-FROM orders_raw WHERE order_ts IS NOT NULL""",
+SELECT order_id, customer_id, strftime(order_ts, '%Y-%m-%d %H:%M:%S.%f') AS order_ts, store_region, status,
+  CASE WHEN order_ts < TIMESTAMP '1998-06-01' THEN NULL ELSE discount_code END AS discount_code FROM orders_raw""",
     "orders_raw",
 )
 def s4(spark, d):
+    """Files of older orders lack a column; orders without a date come with the newer ones."""
     path = workspace(spark, "merged")
     orders = orders_raw(spark, d)
-    sinks.append(orders.where("order_ts < timestamp'1998-06-01'").select("order_id", "store_region"), path)
-    sinks.append(
-        orders.where("order_ts >= timestamp'1998-06-01'").select("order_id", "store_region", "discount_code"), path
-    )
+    older = "coalesce(order_ts < timestamp'1998-06-01', false)"
+    sinks.append(orders.where(older).drop("discount_code"), path)
+    sinks.append(orders.where(f"NOT {older}"), path)
     return sources.read_merged(spark, path)
 
 
@@ -159,12 +161,14 @@ def s9_check(spark, d):
 
 @query(
     "s10_prefix_load",
-    "SELECT customer_id, email, strftime(signup_date, '%Y-%m-%d') AS signup_date FROM customers_raw",
+    """
+SELECT customer_id, first_name, last_name, email, strftime(signup_date, '%Y-%m-%d') AS signup_date, city, segment
+FROM customers_raw""",
     "customers_raw",
 )
 def s10(spark, d):
     path = workspace(spark, "prefix")
-    sinks.append(customers_raw(spark, d).select("customer_id", "email", "signup_date"), path)
+    sinks.append(customers_raw(spark, d), path)
     return sources.read_prefix(spark, path)
 
 
@@ -572,3 +576,32 @@ def job_lakehouse(spark, d):
     saved = lakehouse.run(spark, raw, f"l{root.rsplit('-', 1)[1]}_", root)
     # Prices were read as doubles here; their sums are exact to the cent.
     return saved.withColumn("daily_revenue", F.round("daily_revenue", 2))
+
+
+FEED_SQL = """
+SELECT 'delete' AS _change_type, customer_id, email, 1::BIGINT AS _commit_version
+FROM customers_csv WHERE customer_id % 1000 = 3
+UNION ALL SELECT 'update_preimage', customer_id, email, 1 FROM customers_csv WHERE customer_id % 1000 = 4
+UNION ALL SELECT 'update_postimage', customer_id, 'new.' || coalesce(email, ''), 1 FROM customers_csv
+  WHERE customer_id % 1000 = 4
+UNION ALL SELECT 'insert', customer_id + 1000000000000, email, 1 FROM customers_csv WHERE customer_id % 1000 = 5"""
+
+
+@query(
+    "s15_stored_table_feed",
+    f"""
+SELECT * FROM (WITH customers_csv AS (SELECT * REPLACE (nullif(email, '') AS email) FROM customers_clean) {FEED_SQL})""",
+    "customers_clean",
+)
+def s15_stored(spark, d):
+    """Two runs of the lakehouse; some customers are gone, changed or new in the second."""
+    root = workspace(spark, "lakehouse")
+    raw, prefix = write_raw(spark, d, f"{root}/raw"), f"f{root.rsplit('-', 1)[1]}_"
+    lakehouse.run(spark, raw, prefix, root, version=0)
+    first = marts.clean_customers(customers_raw(spark, d))
+    changed = F.when(F.col("customer_id") % 1000 == 4, F.concat(F.lit("new."), F.coalesce("email", F.lit("")))).otherwise(F.col("email"))
+    kept = first.where("customer_id % 1000 <> 3").withColumn("email", changed)
+    come = first.where("customer_id % 1000 = 5").withColumn("customer_id", F.col("customer_id") + 1000000000000)
+    write_csv(kept.unionByName(come), f"{raw}/customers", "overwrite")
+    lakehouse.run(spark, raw, prefix, root, version=1)
+    return lakehouse.silver_feed(spark, root, "customers", 0, 1).select("_change_type", "customer_id", "email", "_commit_version")

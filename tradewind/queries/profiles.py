@@ -44,12 +44,12 @@ def a13b(spark, d):
 
 @query(
     "a13c_profile_duplicates",
-    "SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM t)) AS duplicate_rows"
-    " FROM t".replace(" t", " (SELECT order_id, quantity FROM items_raw)"),
-    "items_raw",
+    "SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM orders_raw)) AS duplicate_rows FROM orders_raw",
+    "orders_raw",
 )
 def a13c(spark, d):
-    return profile.profile_duplicates(items_raw(spark, d).select("order_id", "quantity"))
+    """Orders without a time that were delivered twice are alike in every column."""
+    return profile.profile_duplicates(orders_raw(spark, d))
 
 
 @query(
@@ -78,7 +78,23 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY rows
     "orders_raw",
 )
 def a13e(spark, d):
-    return profile.profile_top_values(orders_raw(spark, d), 10)
+    return profile.common_values(orders_raw(spark, d), 10)
+
+
+@query(
+    "a13e_common_products",
+    """
+SELECT 'product_id' AS "column", value, rows, rank FROM (
+  SELECT value, rows, row_number() OVER (ORDER BY rows DESC, value) AS rank FROM (
+    SELECT CASE WHEN product_id::BIGINT % 4 = 0 THEN 'lot ' || product_id::BIGINT % 12 ELSE 'line ' || order_id || '.' || product_id END AS value,
+      count(*) AS rows FROM items_raw GROUP BY 1) WHERE value IS NOT NULL) WHERE rank <= 3""",
+    "items_raw",
+)
+def a13e_products(spark, d):
+    """A column of almost as many values as rows, of which three are common."""
+    key = F.col("product_id").cast("bigint")
+    value = F.when(key % 4 == 0, F.concat(F.lit("lot "), key % 12)).otherwise(F.concat(F.lit("line "), "order_id", F.lit("."), "product_id"))
+    return profile.common_values(items_raw(spark, d).select(value.alias("product_id")), 3)
 
 
 HISTOGRAM_SQL = """

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ..functions import valid_email
 from ..operators import marts, quality
 from ..plans.curation import ITEMS_CHECK, ITEMS_REASON, ORDERS_CHECK, ORDERS_REASON, item_rules, order_rules
-from ..plans.lakehouse import expected_customers, expected_items
+from ..plans.expectations import ExpectationFailed, update_tables, violations
+from ..plans.lakehouse import expected_customers, expected_items, silver_tables
 from ..session import workspace
 from ..sinks import append
 from .cleaning import items_curated, order_outcomes, orders_curated
@@ -241,6 +243,33 @@ def q11(spark, d):
     return expected_items(sound).select("order_id", "product_id", "quantity")
 
 
+@query(
+    "q11_failed_run",
+    """
+SELECT 'raw items' AS run, bad > 0 AS failed, CASE WHEN bad > 0 THEN 0 ELSE n END AS rows
+FROM (SELECT count(*) AS n, count(*) FILTER (coalesce(quantity, 0) <= 0) AS bad FROM items_raw)
+UNION ALL SELECT 'clamped to one', false, count(*) FROM items_raw""",
+    "items_raw",
+)
+def q11_failed(spark, d):
+    """All items, written under the expectation: the run fails and leaves nothing. With every
+    quantity one or more it goes through."""
+    raw = items_raw(spark, d)
+    lines = []
+    for run, items in (("raw items", raw), ("clamped to one", raw.withColumn("quantity", F.greatest("quantity", F.lit(1))))):
+        path = workspace(spark, "expected")
+        failed = False
+        try:
+            quality.expect_or_fail(items, "positive_quantity", "quantity > 0").write.parquet(path)
+        except PySparkException as e:
+            if "expectation positive_quantity violated" not in str(e):
+                raise
+            failed = True
+        rows = 0 if failed else spark.read.parquet(path).count()
+        lines.append((run, failed, rows))
+    return spark.createDataFrame(lines, "run string, failed boolean, rows bigint")
+
+
 @query(
     "q12_dq_metrics",
     f"""
@@ -313,3 +342,45 @@ def q5_raw(spark, d):
     return outcomes.groupBy(F.size(quality.PASSED_RULES).alias("rules_passed")).agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query(
+    "q9_declared_tables",
+    """
+SELECT * FROM (
+WITH c AS (SELECT * FROM customers_raw QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY first_name NULLS FIRST,
+    last_name NULLS FIRST, email NULLS FIRST, signup_date NULLS FIRST, city NULLS FIRST, segment NULLS FIRST) = 1),
+  i AS (SELECT * FROM items_raw QUALIFY row_number() OVER (PARTITION BY order_id, product_id ORDER BY quantity NULLS FIRST,
+    unit_price NULLS FIRST, line_total NULLS FIRST) = 1),
+  sound AS (SELECT * FROM items_raw WHERE quantity > 0 QUALIFY row_number() OVER (PARTITION BY order_id, product_id
+    ORDER BY quantity NULLS FIRST, unit_price NULLS FIRST, line_total NULLS FIRST) = 1)
+SELECT 0::BIGINT AS run, 'silver_customers' AS "table", 'valid_customer_id' AS expectation, 'warn' AS action, count(*) AS rows,
+  count(*) FILTER (customer_id IS NULL) AS violations, true AS written,
+  count(*) FILTER (lower(trim(email)) LIKE '%_@__%.__%') AS table_rows FROM c
+UNION ALL SELECT 0, 'silver_customers', 'valid_email', 'drop', count(*),
+  count(*) FILTER (NOT coalesce(lower(trim(email)) LIKE '%_@__%.__%', false)), true,
+  count(*) FILTER (lower(trim(email)) LIKE '%_@__%.__%') FROM c
+UNION ALL SELECT 0, 'silver_order_items', 'positive_quantity_enforced', 'fail', count(*), 0, true, count(*) FROM sound
+UNION ALL SELECT 1, 'silver_customers', 'valid_customer_id', 'warn', count(*),
+  count(*) FILTER (customer_id IS NULL), true, count(*) FILTER (lower(trim(email)) LIKE '%_@__%.__%') FROM c
+UNION ALL SELECT 1, 'silver_customers', 'valid_email', 'drop', count(*),
+  count(*) FILTER (NOT coalesce(lower(trim(email)) LIKE '%_@__%.__%', false)), true,
+  count(*) FILTER (lower(trim(email)) LIKE '%_@__%.__%') FROM c
+UNION ALL SELECT 1, 'silver_order_items', 'positive_quantity_enforced', 'fail', count(*),
+  count(*) FILTER (NOT coalesce(quantity > 0, false)), false, (SELECT count(*) FROM sound) FROM i)""",
+    "customers_raw items_raw",
+)
+def q9_declared(spark, d):
+    """Two runs: the second meets items that miss their condition, and their table keeps the
+    rows of the first."""
+    root = workspace(spark, "declared")
+    prefix = f"d{root.rsplit('-', 1)[1]}_"
+    customers, items = customers_raw(spark, d), items_raw(spark, d)
+    update_tables(spark, silver_tables(), {"customers": customers, "order_items": items.where("quantity > 0")}, prefix, root, 0)
+    try:
+        update_tables(spark, silver_tables(), {"customers": customers, "order_items": items}, prefix, root, 1)
+    except ExpectationFailed:
+        pass
+    counts = None
+    for t in silver_tables():
+        line = spark.read.table(prefix + t.name).agg(F.count(F.lit(1)).alias("table_rows")).withColumn("table", F.lit(t.name))
+        counts = line if counts is None else counts.unionByName(line)
+    return violations(spark, root).join(counts, "table")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans import curation
+from ..plans import clickstream, curation
 from ..session import workspace
 from ..sources import fs
 from ..streaming import Source, evolve_schema, ingest_stream, read_ingested, run_incremental, stream_to_table
@@ -102,6 +102,50 @@ def k5(spark, d):
     return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
 
 
+CLICKSTREAM_SQL = """
+SELECT event_id, 'S' || user_id || '-' || strftime(ts, '%j') AS session_id,
+  CASE WHEN event_id % 4 <> 0 THEN user_id END AS customer_id, event_type, '/' || event_type || '/' || event_id % 10 AS page_url,
+  strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS event_ts, CASE event_id % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END AS device_type,
+  CASE WHEN event_id % 3 = 1 THEN 'ref' || event_id % 5 END AS referrer
+FROM events"""
+
+
+def deliver_clickstream(spark: SparkSession, d: str, raw: str, part: str, *without: str) -> None:
+    """Add the click-stream records of ``part`` to the raw JSON files, by day."""
+    events = spark.read.parquet(f"{d}/events.parquet").where(part)
+    records = events.selectExpr(
+        "concat('S', user_id, '-', date_format(ts, 'DDD')) AS session_id",
+        "CASE WHEN event_id % 4 <> 0 THEN user_id END AS customer_id",
+        "event_type",
+        "concat('/', event_type, '/', event_id % 10) AS page_url",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS event_ts",
+        "CASE event_id % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END AS device_type",
+        "CASE WHEN event_id % 3 = 1 THEN concat('ref', event_id % 5) END AS referrer",
+        "cast(ts AS date) AS event_date",
+    )
+    records.drop(*without).hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").json(f"{raw}/clickstream")
+
+
+@query(
+    "st1_clickstream_table",
+    f"""
+SELECT session_id, customer_id, event_type, page_url, event_ts, device_type, referrer,
+  CASE WHEN event_id % 3 = 1 THEN 1 ELSE 0 END::BIGINT AS run
+FROM ({CLICKSTREAM_SQL})""",
+)
+def st1_clickstream(spark, d):
+    """Two runs into the bronze table; the second delivery brings a new column. Some files
+    make a batch, so a run has several."""
+    root = workspace(spark, "clickstream")
+    prefix = f"c{root.rsplit('-', 1)[1]}_"
+    deliver_clickstream(spark, d, f"{root}/raw", "event_id % 3 <> 1", "referrer")
+    first = clickstream.run(spark, f"{root}/raw", prefix, root, files_per_batch=20)
+    batches = first.agg(F.max("_batch")).first()[0]
+    deliver_clickstream(spark, d, f"{root}/raw", "event_id % 3 = 1")
+    out = clickstream.run(spark, f"{root}/raw", prefix, root, files_per_batch=20)
+    return out.drop("_rescued").withColumn("run", (F.col("_batch") > batches).cast("bigint")).drop("_batch")
+
+
 @query(
     "s6_incremental_scan",
     "SELECT 1 + event_id % 2 AS run, count(*) AS rows FROM clicks_raw GROUP BY 1",

@@ -13,11 +13,13 @@ from .tables import (
     upsert_partitions,
     upsert_rows,
 )
+from .versions import VersionedTable, changed_buckets, read_version, save_version, version_feed
 from .views import KeptView, apply_changes, build_view, read_view
 
 __all__ = [
     "DealtTable",
     "KeptView",
+    "VersionedTable",
     "add_rows",
     "aggregate_dealt",
     "append",
@@ -25,6 +27,7 @@ __all__ = [
     "apply_changes",
     "bucketed_table",
     "build_view",
+    "changed_buckets",
     "deal_table",
     "dealt_table",
     "describe_table",
@@ -32,12 +35,15 @@ __all__ = [
     "join_dealt",
     "overwrite_partitions",
     "publish_snapshot",
+    "read_version",
     "read_view",
     "refresh_view",
     "reload_staging",
     "replace_partitions",
     "save_table",
+    "save_version",
     "stored",
     "upsert_partitions",
     "upsert_rows",
+    "version_feed",
 ]

@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
-
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _NEW = ".new"
 
@@ -41,6 +41,19 @@ def remove_partition(spark: SparkSession, root: str, col: str, value: object) ->
     fs.delete(p, True)
 
 
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
+def listed(spark: SparkSession, *folders: str) -> DataFrame:
+    """(path, length, file_path): every file below ``folders``, its plain name and the one
+    that ``_metadata.file_path`` has. Spark lists many folders in tasks; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(folders))
+    return files.select("path", "length", F.col("_metadata.file_path").alias("file_path"))
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small control file, or None if it is not there.
 
