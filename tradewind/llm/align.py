@@ -175,7 +175,7 @@ class Aligner:
     """Both tokenizers, with a bounded memory of the words they have aligned: up to
     ``remember`` new ones, and as many before them, of which those met again are kept."""
 
-    def __init__(self, a_path: str, b_path: str, remember: int = 200_000) -> None:
+    def __init__(self, a_path: str, b_path: str, remember: int = 100_000) -> None:
         self.a, self.b = ByteLevel(a_path), Pieces(b_path)
         self.cuttable = self.a.cuttable and self.b.cuttable
         self.remember = remember
