@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import changes, marts
+from ..operators.identity import with_identity
+from ..operators.joins import split_join
 from ..operators.quality import only_passed
-from ..sinks import KeptView, apply_changes, insert_new, reload_staging, save_table, upsert_partitions, upsert_rows
+from ..sinks import KeptView, apply_changes, insert_new, reload_staging, save_table, stored, upsert_partitions, upsert_rows
+from ..sources import read_manifest, read_prefix
 
 # The fact lies in one directory a month: a day's lines are too few for files of their own.
 MONTH = "date_month"
+ITEM_ID = "order_item_id"
 
 
 def category_view(root: str) -> KeptView:
@@ -60,6 +66,26 @@ def line_changes(fact: DataFrame, products: DataFrame, fact_feed: DataFrame, pro
     )
 
 
+def _numbered(spark: SparkSession, fact: DataFrame, name: str) -> DataFrame:
+    """``fact`` with the key ``order_item_id``: a line that the table ``name`` has keeps its
+    number, new ones go on from the highest."""
+    keys = ["order_id", "product_id"]
+    if not spark.catalog.tableExists(name):
+        return with_identity(fact, keys, ITEM_ID)
+    known = spark.read.table(name).select(*keys, ITEM_ID)
+    highest = known.agg(F.max(ITEM_ID)).first()[0] or 0
+    both = stored(split_join(fact, known, keys, "left"), "numbered")
+    new = with_identity(both.where(F.col(ITEM_ID).isNull()).drop(ITEM_ID), keys, ITEM_ID, highest + 1)
+    return both.where(F.col(ITEM_ID).isNotNull()).unionByName(new)
+
+
+def load_curated(spark: SparkSession, prefix: str, root: str, curated: Mapping[str, str], version: int | None = None) -> dict[str, str]:
+    """:func:`load_star` from files: for customers, products, orders and items a manifest
+    (``….json``) or a folder of Parquet files."""
+    frames = {t: read_manifest(spark, p) if p.endswith(".json") else read_prefix(spark, p) for t, p in curated.items()}
+    return load_star(spark, prefix, root, frames["customers"], frames["products"], frames["orders"], frames["items"], version)
+
+
 def load_star(
     spark: SparkSession, prefix: str, root: str, customers: DataFrame, products: DataFrame, orders: DataFrame, items: DataFrame,
     version: int | None = None,
@@ -69,7 +95,8 @@ def load_star(
     ``orders`` carries the quality outcome the fact is filtered by. Staging is
     emptied first. A row replaces the one with its key in dimensions and fact, so changed
     rows arrive and a load that is run again changes nothing; of the fact, only the months
-    concerned are written.
+    concerned are written. A line of the fact has a number of its own (``order_item_id``),
+    which it keeps.
 
     With a ``version``, counted up from load to load, the changes are kept, and the category
     and regional views are brought up to date by them. A load that was cut off is repeated
@@ -86,6 +113,7 @@ def load_star(
 
     month = F.coalesce(F.floor(F.col("date_key") / 100).cast("int"), F.lit(0))
     fact = marts.build_fact(staged["items"], staged["orders"]).withColumn(MONTH, month)
+    fact = _numbered(spark, fact, f"{prefix}fact_order_items")
     # The calendar runs over the days of the passed orders: two values read on the driver.
     day = F.to_date("order_ts")
     lo, hi = only_passed(staged["orders"]).agg(F.min(day), F.max(day)).first()

@@ -362,6 +362,33 @@ def s18(spark, d):
     return errors.groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
 
 
+@query(
+    "s18_parquet_audit",
+    """
+SELECT * FROM (WITH f AS (SELECT CASE WHEN order_id::BIGINT % 40 = 0 THEN 'retyped' WHEN order_id::BIGINT % 40 = 1 THEN 'short' ELSE 'good' END AS kind,
+  count(*) AS rows FROM items_raw GROUP BY 1)
+SELECT "column", declared, found, status, sum(rows)::BIGINT AS rows FROM (
+  SELECT c."column", c.declared, c.declared AS found, 'ok' AS status, rows FROM f, (VALUES ('order_id', 'string'), ('product_id', 'bigint'),
+    ('quantity', 'int'), ('unit_price', 'decimal(10,2)'), ('line_total', 'decimal(12,2)')) c("column", declared)
+    WHERE NOT (kind = 'retyped' AND c."column" = 'quantity') AND NOT (kind = 'short' AND c."column" = 'line_total')
+  UNION ALL SELECT 'quantity', 'int', 'string', 'other_type', rows FROM f WHERE kind = 'retyped'
+  UNION ALL SELECT 'line_total', 'decimal(12,2)', NULL, 'missing', rows FROM f WHERE kind = 'short'
+  UNION ALL SELECT 'note', NULL, 'string', 'undeclared', rows FROM f WHERE kind = 'short')
+GROUP BY ALL)""",
+    "items_raw",
+)
+def s18_parquet(spark, d):
+    """Some files have a column of another type, some lack one and have one more."""
+    path = workspace(spark, "audit")
+    items = items_raw(spark, d)
+    key = F.col("order_id").cast("bigint") % 40
+    sinks.append(items.where(key == 0).withColumn("quantity", F.col("quantity").cast("string")), path)
+    sinks.append(items.where(key == 1).drop("line_total").withColumn("note", F.lit("x")), path)
+    sinks.append(items.where(key > 1), path)
+    audit = sources.parquet_type_audit(spark, path, items.schema)
+    return audit.groupBy("column", "declared", "found", "status").agg(F.sum("rows").alias("rows")).where("rows > 0")
+
+
 # --- sinks ------------------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ from ..operators import changes, marts
 from ..plans import warehouse
 from ..session import workspace
 from .cleaning import items_curated, order_outcomes, star_fact
+from .marts import calendar
 from .registry import query
 from .tables import customers_raw, products_raw
 
@@ -65,3 +66,56 @@ def k8_star_views(spark, d):
     warehouse.load_star(spark, prefix, root, customers, other.where("product_id % 10 <> 7"), orders, some, version=0)
     warehouse.load_star(spark, prefix, root, customers, products, orders, items, version=1)
     return sinks.read_view(spark, warehouse.category_view(root)).drop("order_month")
+
+
+@query(
+    "k7_load_curated",
+    """
+SELECT 'rows' AS measure, count(*)::DOUBLE AS value FROM fact UNION ALL
+SELECT 'revenue', sum(line_total)::DOUBLE FROM fact UNION ALL
+SELECT 'highest number', count(*) FROM fact UNION ALL
+SELECT 'different numbers', count(*) FROM fact UNION ALL
+SELECT 'first load has the lowest', count(*) FILTER (order_id::BIGINT % 4 <> 0) FROM fact""",
+    "fact",
+)
+def k7_load_curated(spark, d):
+    """Curated files to the star in one go, two of them by manifest; lines that come with a
+    second load get the numbers after those of the first, which keep theirs."""
+    root = workspace(spark, "curated")
+    prefix = f"m{root.rsplit('-', 1)[1]}_"
+    items, late = items_curated(spark, d), F.col("order_id").cast("bigint") % 4 == 0
+    curated = {
+        "customers": sinks.publish_snapshot(marts.clean_customers(customers_raw(spark, d)), f"{root}/customers"),
+        "orders": sinks.publish_snapshot(order_outcomes(spark, d), f"{root}/orders"),
+        "products": f"{root}/products",
+        "items": f"{root}/items",
+    }
+    sinks.append(marts.clean_products(products_raw(spark, d)), curated["products"])
+    sinks.append(items.where(~late), curated["items"])
+    warehouse.load_curated(spark, prefix, root, curated)
+    sinks.append(items.where(late), curated["items"])
+    fact = spark.read.table(warehouse.load_curated(spark, prefix, root, curated)["fact_order_items"])
+    number, known = F.col("order_item_id"), F.count_if(~late)
+    found = fact.agg(
+        F.count(F.lit(1)).cast("double").alias("rows"), F.sum("line_total").cast("double").alias("revenue"),
+        F.max(number).cast("double").alias("highest number"), F.countDistinct(number).cast("double").alias("different numbers"),
+        F.count_if(~late & (number <= fact.agg(known).scalar())).cast("double").alias("first load has the lowest"),
+    )
+    return found.unpivot([], found.columns, "measure", "value")
+
+
+@query(
+    "a9_clustered_fact",
+    """
+SELECT c.segment, sum(f.line_total)::DOUBLE AS total_revenue, count(DISTINCT f.order_id) AS order_count
+FROM fact f JOIN customers_clean c ON f.customer_id = c.customer_id
+WHERE cast(f.order_ts AS DATE) BETWEEN DATE '1997-03-01' AND DATE '1997-05-31'
+GROUP BY 1 ORDER BY 2 DESC, 1""",
+    "fact customers_clean",
+)
+def a9_clustered(spark, d):
+    """Segments over a fact that lies along the curve through day and customer."""
+    root = workspace(spark, "clustered")
+    fact = sinks.clustered_table(star_fact(spark, d), f"z{root.rsplit('-', 1)[1]}_fact", ["date_key", "customer_id"], 16, f"{root}/fact")
+    customers = marts.clean_customers(customers_raw(spark, d))
+    return marts.segment_revenue(fact, customers, calendar(spark, d), "1997-03-01", "1997-05-31")

@@ -1,5 +1,7 @@
 """Writers: appends, partition overwrites, tables, views and snapshots."""
 
+from .cluster import clustered_table
+from .compact import Compaction, compact_table, remove_replaced
 from .dealt import DealtTable, aggregate_dealt, deal_table, dealt_table, join_dealt
 from .files import append, append_partitioned, overwrite_partitions, publish_snapshot, replace_partitions, stored
 from .tables import (
@@ -17,6 +19,7 @@ from .versions import VersionedTable, changed_buckets, read_version, save_versio
 from .views import KeptView, apply_changes, build_view, read_view
 
 __all__ = [
+    "Compaction",
     "DealtTable",
     "KeptView",
     "VersionedTable",
@@ -28,6 +31,8 @@ __all__ = [
     "bucketed_table",
     "build_view",
     "changed_buckets",
+    "clustered_table",
+    "compact_table",
     "deal_table",
     "dealt_table",
     "describe_table",
@@ -39,6 +44,7 @@ __all__ = [
     "read_view",
     "refresh_view",
     "reload_staging",
+    "remove_replaced",
     "replace_partitions",
     "save_table",
     "save_version",

@@ -15,6 +15,7 @@ from .files import (
     scan_cost,
     schema_drift,
 )
+from .footers import parquet_footers, parquet_type_audit
 from .manifest import ManifestError, manifest_check, read_manifest
 from .partitions import partition_gaps, projected_paths, projected_scan, pruned_scan
 
@@ -24,6 +25,8 @@ __all__ = [
     "land_by_filename_date",
     "load_errors",
     "manifest_check",
+    "parquet_footers",
+    "parquet_type_audit",
     "partition_gaps",
     "projected_paths",
     "projected_scan",
