@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from array import array
 from collections.abc import Iterator
@@ -37,7 +38,8 @@ from pyspark.sql import functions as F
 from .common import _slices, documents, map_rows, small_batches, stored, texts
 
 HEAD_PAIRS = 1 << 18
-BATCH = "8m"
+BATCH = "8m"  # of texts
+SMALL = "512k"  # of ids, each of which takes several numbers of 8 bytes
 BLANK = "▁"
 _ID_AND_END = attrgetter("id", "end")
 
@@ -62,6 +64,8 @@ class ByteLevel(Side):
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        # A task has one core; the library's threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         # The byte alphabet of such models: bytes that print stand for themselves, the
@@ -445,7 +449,7 @@ def score(aligned: Aligned, head_pairs: int = HEAD_PAIRS) -> DataFrame:
     """
     a_path, b_path = aligned.a_path, aligned.b_path
     spark = aligned.table.sparkSession
-    with small_batches(spark, BATCH):
+    with small_batches(spark, SMALL):
         counts = stored(pair_counts(aligned), "pair-counts")
     pairs = stored(ranked(counts), "pairs")
     # Powers of two as text: the largest is beyond a long.
@@ -484,7 +488,7 @@ def score(aligned: Aligned, head_pairs: int = HEAD_PAIRS) -> DataFrame:
 
     kind = aligned.table.schema["doc_id"].dataType.simpleString()
     ddl = f"row bigint, doc_id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, head_best bigint, head_sum bigint, rest array<bigint>, groups_sha256 string"
-    with small_batches(spark, BATCH):
+    with small_batches(spark, SMALL):
         rows = stored(map_rows(aligned.table, fn, ddl), "aligned-scores")
     rare = rows.select("row", F.explode("rest").alias("pair")).groupBy("row", "pair").agg(F.count(F.lit(1)).alias("k"))
     looked_up = rare.join(pairs.where(~frequent), "pair")
