@@ -9,7 +9,8 @@ A record file is a row of frames in ascending document order. A frame is
     line feed   1 byte
 
 and a payload is one flag byte (1: there is a document id, 2: ids take four bytes and not
-two), the id (8 bytes, signed) and the token ids, all little-endian. The checksum is
+two, 4: the document id is text), the id (8 bytes, signed; of a text its length, and the
+text in UTF-8 behind it) and the token ids, all little-endian. The checksum is
 CRC-32, masked as usual for such files: rotated right by 15 bits plus a constant, so that
 checksums of data that holds checksums stay sound.
 
@@ -20,21 +21,26 @@ by its offsets.
 
 from __future__ import annotations
 
+import json
+import os
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from .common import documents, map_rows, texts
 
 END_ID = 2
-FILE_BYTES = 16 << 20  # of text a file
+FILE_BYTES = 16 << 20  # of text a file, at least
+MOST_FILES = 100_000
 
 _MASK = 0xA282EAD8  # fixed value
 
@@ -44,23 +50,28 @@ def masked(data: bytes) -> int:
     return ((crc >> 15 | crc << 17) + _MASK) & 0xFFFFFFFF
 
 
-def frame(doc_id: int | None, ids: np.ndarray) -> bytes:
+def frame(doc_id: int | str | None, ids: np.ndarray) -> bytes:
     wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
-    payload = struct.pack("<Bq", (doc_id is not None) | wide << 1, doc_id or 0) + ids.astype("<u4" if wide else "<u2").tobytes()
+    name = doc_id.encode() if isinstance(doc_id, str) else b""
+    number = len(name) if isinstance(doc_id, str) else doc_id or 0
+    flags = (doc_id is not None) | wide << 1 | isinstance(doc_id, str) << 2
+    payload = struct.pack("<Bq", flags, number) + name + ids.astype("<u4" if wide else "<u2").tobytes()
     size = struct.pack("<Q", len(payload))
     return b"".join([size, struct.pack("<I", masked(size)), payload, struct.pack("<I", masked(payload)), b"\n"])
 
 
-def read_frame(data: memoryview | bytes, at: int) -> tuple[int | None, np.ndarray, int]:
+def read_frame(data: memoryview | bytes, at: int) -> tuple[int | str | None, np.ndarray, int]:
     """(id, token ids, offset of the next frame); raises if a checksum is wrong."""
     size = bytes(data[at : at + 8])
     (n,) = struct.unpack("<Q", size)
     payload = data[at + 12 : at + 12 + n]
     if struct.unpack_from("<I", data, at + 8)[0] != masked(size) or struct.unpack_from("<I", data, at + 12 + n)[0] != masked(payload):
         raise ValueError(f"checksum mismatch in the frame at {at}")
-    flags, doc_id = struct.unpack_from("<Bq", payload)
-    ids = np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=9)
-    return doc_id if flags & 1 else None, ids.astype(np.uint32), at + 17 + n
+    flags, number = struct.unpack_from("<Bq", payload)
+    first = 9 + number if flags & 4 else 9
+    doc_id = bytes(payload[9:first]).decode() if flags & 4 else number if flags & 1 else None
+    ids = np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=first)
+    return doc_id, ids.astype(np.uint32), at + 17 + n
 
 
 # White space besides blank and line feed.
@@ -74,18 +85,26 @@ class Encoder:
     Between two characters that are not white space, a single blank or line feed is
     always the start of a new piece for this kind of tokenizer, and so is a comma or full
     stop after a letter. Texts whose white space is only that are encoded piece by piece,
-    each different piece once. All other texts go to the tokenizer whole.
+    each different piece once. All other texts go to the tokenizer whole, and so do all
+    texts if the file is of another kind.
     """
 
-    def __init__(self, path: str, remember: int = 800_000, at_once: int = 1 << 20) -> None:
+    def __init__(self, path: str, remember: int = 300_000, at_once: int = 1 << 20) -> None:
+        # A task has one core; the library's threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.remember, self.at_once = remember, at_once
+        self.forget()
+        # What the rules below rely on, and the one id of a line feed; else texts stay whole.
+        kind = json.loads(self.tokenizer.to_str())
+        before = kind["pre_tokenizer"] or {}
+        self.cuts = before.get("type") == "ByteLevel" and before.get("use_regex", False) and not before.get("add_prefix_space") and kind["normalizer"] is None
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = line[0] if len(line) == 1 else None
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = {}
-        # The byte alphabet of such models: bytes that print stand for themselves, the
-        # others follow from U+0100 on.
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in shown]
-        self.alphabet = {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
+        self.earlier: dict[str, bytes] = {}
 
     def encode(self, batch: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; ``at_once``
@@ -100,26 +119,37 @@ class Encoder:
 
     def _encode(self, batch: list[str]) -> list[bytes]:
         if len(self.known) > self.remember:
-            self.known.clear()
+            # Of the pieces met so far, those that come again are kept for as long once more.
+            self.known, self.earlier = {}, self.known
         get = self.known.get
-        cut = [self._pieces(t) for t in batch]
+        cut = [self._pieces(t) if self.cuts else None for t in batch]
         found = [pieces and list(map(get, pieces)) for pieces in cut]
         missing = {p for pieces, ids in zip(cut, found) if pieces and None in ids for p, i in zip(pieces, ids) if i is None}
         if missing:
-            self._learn(missing)
+            earlier = self.earlier
+            again = {p: earlier[p] for p in missing if p in earlier}
+            self.known.update(again)
+            self._learn(missing - again.keys())
             found = [list(map(get, pieces)) if pieces and None in ids else ids for pieces, ids in zip(cut, found)]
         return [self._whole(t) if ids is None else b"".join(ids) for t, ids in zip(batch, found)]
 
     def _learn(self, pieces: set[str]) -> None:
+        """Encode new pieces, many in one text: a line feed behind a piece sets it off. What is
+        not just letters behind a blank is encoded by itself."""
         known = self.known
         ends = {p for p in pieces if len(p) > 2 and p[-1] in ",." and p[-2].isalpha()}
-        todo = list({p for p in (pieces - ends) | {p[:-1] for p in ends} | {p[-1] for p in ends} if p not in known})
-        # A blank and letters are one piece for the model; anything else is cut further.
-        words = {p for p in todo if p[0] == " " and p[1:].isalpha()}
-        merge = self.tokenizer.model.tokenize
-        for p in words:
-            known[p] = array("I", [t.id for t in merge(p.encode().decode("latin-1").translate(self.alphabet))]).tobytes()
-        rest = [p for p in todo if p not in words]
+        todo = [p for p in (pieces - ends) | {p[:-1] for p in ends} | {p[-1] for p in ends} if p not in known]
+        words = [p for p in todo if p.removeprefix(" ").isalpha()]
+        feed = self.feed
+        for first in range(0, len(words), 4000) if feed is not None else ():
+            some = words[first : first + 4000]
+            lines = ["\n".join([*some[k : k + 200], ""]) for k in range(0, len(some), 200)]
+            ids = np.fromiter(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)), np.uint32)
+            last = np.flatnonzero(ids == feed)
+            if len(last) == len(some):
+                raw, at = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
+                known.update((p, raw[i : j - 4]) for p, i, j in zip(some, at, at[1:]))
+        rest = [p for p in todo if p not in known]
         for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             known[p] = array("I", e.ids).tobytes()
         for p in ends:
@@ -147,12 +177,18 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
+    return docs.withColumn("doc_id", F.col("doc_id").cast("bigint" if whole else "string"))
+
+
 def write_records(df: DataFrame, path: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> None:
     """Write the record files to ``path`` in ascending order of the id (nulls first, ties
-    by the text's hash), about ``file_bytes`` of text each."""
-    docs = documents(df, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    by the text's hash), about ``file_bytes`` of text each, or more if that were over
+    ``MOST_FILES`` files. Ids that are no whole numbers are written as text."""
+    docs = _keyed(documents(df, id_col, text_col))
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    files = max(1, -(-total // file_bytes))
+    files = max(1, min(MOST_FILES, -(-total // file_bytes)))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     dealt = docs.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
@@ -163,15 +199,16 @@ def write_records(df: DataFrame, path: str, tokenizer: str, *, id_col: str = "do
         return {"frame": [frame(i, np.frombuffer(e + end, "<u4"))[:-1] for i, e in zip(b.column("doc_id").to_pylist(), found)]}
 
     def forget() -> None:  # a worker lives on after its task
-        encoder(tokenizer).known.clear()
+        encoder(tokenizer).forget()
 
     frames = map_rows(dealt, fn, "frame binary", forget)
     frames.select(F.col("frame").cast("string").alias("frame")).write.option("lineSep", "\n").text(path)
 
 
-def parse_files(spark: SparkSession, path: str) -> DataFrame:
+def parse_files(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
     """Every record of the files, from their bytes alone: file_no, file, offset, length,
-    doc_id, n_tokens, before (tokens before it in its file), ids (4 bytes each)."""
+    doc_id, n_tokens, before (tokens before it in its file), ids (4 bytes each). ``id_type``
+    is bigint or string, as the ids were written."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,15 +228,16 @@ def parse_files(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pydict(dict(zip(names, zip(*rows))), schema=schema)
 
-    schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("before", pa.int64()), ("ids", pa.binary())])
-    records = files.mapInArrow(run, "file string, offset bigint, length bigint, doc_id bigint, n_tokens bigint, before bigint, ids binary")
+    kind = pa.string() if id_type == "string" else pa.int64()
+    schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("doc_id", kind), ("n_tokens", pa.int64()), ("before", pa.int64()), ("ids", pa.binary())])
+    records = files.mapInArrow(run, f"file string, offset bigint, length bigint, doc_id {id_type}, n_tokens bigint, before bigint, ids binary")
     return records.withColumn("file_no", F.regexp_extract("file", r"part-([0-9]+)", 1).cast("bigint"))
 
 
-def write_index(spark: SparkSession, path: str, index_path: str) -> DataFrame:
+def write_index(spark: SparkSession, path: str, index_path: str, id_type: str = "bigint") -> DataFrame:
     """Write and return the index of the record files: file, offset, length, doc_id,
     start, n_tokens, ids_crc32. The files' totals are one row a file."""
-    records = parse_files(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    records = parse_files(spark, path, id_type).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     raw = f"{index_path}/records"
     records.write.parquet(raw)
     rows = spark.read.schema(records.schema).parquet(raw)
@@ -214,7 +252,8 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> DataFrame:
 def read_records(spark: SparkSession, path: str, index: DataFrame, chosen: DataFrame) -> DataFrame:
     """The records of ``chosen`` (ids in doc_id), read at their offsets: doc_id, ids.
 
-    Only files that hold one of them are parsed, and in those only their frames."""
+    Only files that hold one of them are parsed, and in those only their frames. Null ids are
+    never chosen; an id that stands for several records gives all of them."""
     files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content")
     wanted = index.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("file").agg(F.collect_list("offset").alias("offsets"))
 
@@ -222,7 +261,7 @@ def read_records(spark: SparkSession, path: str, index: DataFrame, chosen: DataF
         found = [read_frame(c, o)[:2] for c, offsets in zip(b.column("content").to_pylist(), b.column("offsets").to_pylist()) for o in offsets]
         return {"doc_id": [f[0] for f in found], "ids": [f[1].astype(np.int64) for f in found]}
 
-    return map_rows(files.join(wanted, "file"), fn, "doc_id bigint, ids array<bigint>")
+    return map_rows(files.join(wanted, "file"), fn, f"doc_id {index.schema['doc_id'].dataType.simpleString()}, ids array<bigint>")
 
 
 def tokenize(df: DataFrame, path: str, tokenizer: str, **options) -> DataFrame:
@@ -231,4 +270,5 @@ def tokenize(df: DataFrame, path: str, tokenizer: str, **options) -> DataFrame:
     Repeated rows are records of their own; an empty table gives an empty index. Other
     columns are not looked at."""
     write_records(df, f"{path}/files", tokenizer, **options)
-    return write_index(df.sparkSession, f"{path}/files", f"{path}/index")
+    kind = _keyed(documents(df, options.get("id_col", "doc_id"), options.get("text_col", "text"))).schema["doc_id"].dataType
+    return write_index(df.sparkSession, f"{path}/files", f"{path}/index", kind.simpleString())
