@@ -263,7 +263,11 @@ def longest_matches(at: np.ndarray, win: np.ndarray, q: Queries) -> list[dict]:
 
 
 def remove(df: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``df`` that hold no window of the benchmark, all columns as they are."""
+    """The rows of ``df`` that hold no window of the benchmark, all columns as they are.
+
+    Null and empty texts hold none and stay, as do all rows if the benchmark is empty or has
+    no words. Repeated rows go or stay alike; an empty table stays empty.
+    """
     prefix = fresh_prefix(df)
     found = _find(df, benchmark, text_col, item_col, item_text_col, window, block_bytes, prefix)
     return found.where(F.col(f"{prefix}n_hit") == 0).select(*[F.col(f"`{c}`") for c in df.columns])

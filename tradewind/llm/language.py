@@ -114,12 +114,32 @@ def _sparse(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at.astype(np.int32), counts[at].astype(np.int32)
 
 
+def _lowest(narrow: DataFrame, least: int) -> DataFrame:
+    """Of each language the rows up to some hash: ``least`` at least, if it has as many, and
+    not many more, so that no task gets all rows of a language. The bounds follow from counts,
+    one number a language."""
+    counts = {r["lang"]: r["n"] for r in narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    wanted = 2 * least + 500
+    while True:
+        # Hashes are spread evenly over all signed 64-bit numbers.
+        bounds = {lang: -(1 << 63) + (wanted << 64) // n for lang, n in counts.items() if n > wanted}
+        if not bounds:
+            return narrow
+        limits = narrow.sparkSession.createDataFrame([(lang, b) for lang, b in bounds.items()], "lang string, bound bigint")
+        kept = narrow.join(limits, "lang", "left").where("bound is null or h <= bound").drop("bound")
+        found = {r["lang"]: r["n"] for r in kept.where(F.col("lang").isin(list(bounds))).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if all(found.get(lang, 0) >= least for lang in bounds):
+            return kept
+        wanted *= 2  # ids that repeat share a hash
+
+
 def sample(rows: DataFrame, per_language: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """(lang, numbers, counts) of the fitting sample; its size is bounded by the number
     of languages, ``per_language`` and SIZE."""
     # Cut on narrow rows; only the chosen ids' texts are fetched, and there are few.
+    narrow = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
     w = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).withColumn("r", F.row_number().over(w)).where(F.col("r") <= per_language)
+    ids = _lowest(narrow, per_language).withColumn("r", F.row_number().over(w)).where(F.col("r") <= per_language)
     chosen = rows.select("doc_id", "text", "lang").join(ids.groupBy("lang", "doc_id").agg(F.min("r").alias("r")), ["lang", "doc_id"])
 
     def fn(b: pa.RecordBatch) -> dict:

@@ -192,7 +192,10 @@ def report(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min
 
 def clean(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, batches: int = 4, fan_out: int = 4) -> DataFrame:
     """``df`` with its repeated lines taken out of the text; all rows and columns stay.
-    A null text stays null."""
+
+    A null text stays null, an empty one empty; ties and rows without an id are settled as
+    in :func:`report`. An empty table stays empty.
+    """
     docs = documents(df, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     lost = dropped_keys(docs, min_chars=min_chars, batches=batches, fan_out=fan_out)
     name, text = fresh(df, "_tw_lost"), fresh(df, "_tw_text")

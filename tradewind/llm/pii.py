@@ -215,7 +215,9 @@ def find(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", setti
 
 def redact(df: DataFrame, spans: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text with every span replaced by its kind in angle brackets, for tables
-    whose ids differ; ``spans`` as from ``find``. Overlapping spans: the first wins."""
+    whose ids differ; ``spans`` as from ``find``. Overlapping spans: the first wins. A null
+    text stays null, an empty one empty, and one without spans as it is; an empty table
+    gives no rows."""
     docs = documents(df, id_col, text_col)
     every = F.array_sort(F.transform(F.concat("base", "found"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
     at = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("out"))

@@ -146,7 +146,11 @@ def assess(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
 
 
 def clean(df: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
-    """The kept rows of ``df``, all its columns, failing lines taken out of the text."""
+    """The kept rows of ``df``, all its columns, failing lines taken out of the text.
+
+    Null, empty and blank texts have no words, fail the base rules and go. Repeated rows are
+    judged one by one; an empty table stays empty.
+    """
     keep, text = fresh(df, "_tw_keep"), fresh(df, "_tw_text")
 
     def fn(b: pa.RecordBatch) -> dict:

@@ -221,13 +221,16 @@ def severity(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_c
     A null, empty or blank text has no features and gets the model's base rates, and is
     not toxic. Rows without a label, or with a null one, are not learned from; neither are
     rows without an id. An id labelled twice counts as toxic if either label says so.
+    The sample's bound counts labels of documents that ``df`` has; others take no place in it.
     Repeated rows are scored one by one; an empty table gives no rows, and without toxic
     and other labels nothing is toxic. Other columns are not looked at.
     """
     docs = documents(df, id_col, text_col)
     marks = labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("toxic")).where("doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    # The sample is cut from the labels first, so that only its texts are joined.
-    cut = marks.where("toxic is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.max_sample)
+    # The sample is cut from the labels of documents that are there, on ids alone, so that
+    # only its texts are joined.
+    here = marks.where("toxic is not null").join(docs.select("doc_id"), "doc_id", "left_semi")
+    cut = here.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.max_sample)
     model = fit(sample(docs.join(cut, "doc_id"), settings), settings)
     shared = df.sparkSession.sparkContext.broadcast(model)
     scorers: list[Scorer] = []
