@@ -1,5 +1,9 @@
 """From raw documents to token ids in five stages.
 
+A document whose text is null, empty or blank fails the quality rules and goes with the
+first stage; repeated rows and ties are settled as each stage's operator says; an empty
+table gives an empty one after every stage; further columns are kept up to the last.
+
 Each stage is a function of (spark, docs, sf_dir). Its result is written as Parquet and
 read again as the next one's input, so an executor lost later costs a reread and no more.
 """
