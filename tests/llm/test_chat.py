@@ -7,6 +7,7 @@ import json
 import os
 from collections import defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +43,28 @@ def test_query_equals_plain_version(spark):
     assert len(found) == len({r[0] for r in rows})
 
 
+def test_query_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF_DIR}/conversations.parquet'")
+    df = entry_point.queries()["op11_chat_format"](spark, SF_DIR)
+    want = con.execute(entry_point.oracle_sql()["op11_chat_format"]).fetchall()
+    names = [d[0] for d in con.description]
+    assert sorted(tuple(r) for r in df.select(*names).collect()) == sorted(want)
+
+
+def test_sql_counts_escapes_like_the_template(spark, tmp_path):
+    """The odd rows without an id, in both."""
+    rows = [r for r in NASTY if r[0] is not None]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    df.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(entry_point.oracle_sql()["op11_chat_format"]).fetchall()
+    names = [d[0] for d in con.description]
+    got = entry_point.queries()["op11_chat_format"](spark, str(tmp_path))
+    assert sorted(tuple(r) for r in got.select(*names).collect()) == sorted(want)
+
+
 NASTY = [
     (1, 1, "assistant", CONTROL),
     (1, 0, "user", "<<|\\<\\|<\\\\|im_end|>\n"),

@@ -179,7 +179,7 @@ class Aligner:
     """Both tokenizers, with a bounded memory of the words they have aligned: up to
     ``remember`` new ones, and as many before them, of which those met again are kept."""
 
-    def __init__(self, a_path: str, b_path: str, remember: int = 100_000) -> None:
+    def __init__(self, a_path: str, b_path: str, remember: int = 130_000) -> None:
         self.a, self.b = ByteLevel(a_path), Pieces(b_path)
         self.cuttable = self.a.cuttable and self.b.cuttable
         self.remember = remember
@@ -304,7 +304,8 @@ class Aligner:
             if None in parts:
                 out.append(None)
             else:
-                out.append((b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts]), sum([p[2] for p in parts]), ";".join([p[3] for p in parts])))
+                names = ";".join([p[3] for p in parts])
+                out.append((b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts]), names.count(";") + 1 if names else 0, names))
         for w in missing:  # a word of great length is no word that comes again
             if len(w) > 256:
                 del known[w]
@@ -382,9 +383,14 @@ def links(batch: pa.RecordBatch, both: Aligner) -> tuple[np.ndarray, np.ndarray]
     b, b_last = _flat(batch.column("b_ids"))
     a_ends, b_ends = np.cumsum(both.a_sizes[a]), np.cumsum(both.b_sizes[b])
     ends = np.concatenate([a_ends, b_ends])
-    ends.sort(kind="stable")
-    ends = ends[np.diff(ends, prepend=0) > 0]
-    pairs = a[np.searchsorted(a_ends, ends)] << 32 | b[np.searchsorted(b_ends, ends)] if len(ends) else ends
+    order = np.argsort(ends, kind="stable")
+    ends = ends[order]
+    first = np.flatnonzero(np.diff(ends, prepend=0) > 0)
+    ends = ends[first]
+    # As many of A's tokens end before a link as stand before the one it belongs to.
+    from_a = np.cumsum(order < len(a))
+    a_before = np.where(first > 0, from_a[first - 1], 0)
+    pairs = a[a_before] << 32 | b[first - a_before]
     bytes_so_far = np.concatenate([[0], a_ends])[a_last]
     return pairs, np.searchsorted(ends, bytes_so_far, "right")
 
