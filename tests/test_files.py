@@ -305,6 +305,19 @@ def test_curation_over_two_days(spark, root):
     assert scores.where("context = 'orders_dq_check'").agg(F.sum("failed")).first()[0] == 2
 
 
+def test_daily_revenue_of_a_very_large_day(spark, root):
+    """Totals that fit a line each, and together pass ten digits before the point."""
+    layout = curation.Layout(f"{root}/raw", f"{root}/lake", grain="year")
+    raw_reference(layout.raw)
+    for k in range(3):
+        order = {"order_id": f"o{k}", "customer_id": 1, "order_ts": "2026-06-01T10:00:00Z", "store_region": "north", "status": "placed"}
+        put(f"{layout.raw}/orders/order_date=2026-06-01/orders-{k}.json", order)
+        item = {"order_id": f"o{k}", "product_id": "p1", "quantity": 1, "unit_price": 6e9, "line_total": 6e9 + 0.25}
+        put(f"{layout.raw}/order_items/order_date=2026-06-01/items-{k}.json", item)
+    assert curation.run(spark, layout) == 1
+    assert [float(r.total_revenue) for r in spark.read.parquet(layout.daily_revenue).collect()] == [18000000000.75]
+
+
 def test_warehouse_load_twice(spark, root):
     layout = curation.Layout(f"{root}/raw", f"{root}/lake")
     raw_reference(layout.raw)

@@ -187,5 +187,6 @@ def refresh_daily_revenue(spark: SparkSession, layout: Layout, passed: DataFrame
         rows = latest_orders(history)
         rows.hint("rebalance", period).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(period).parquet(path)
         rows = spark.read.schema(passed.schema).parquet(path)
-    exact = marts.daily_revenue(rows).withColumn("total_revenue", F.col("total_revenue").cast("decimal(12,2)"))
+    # A day's total grows with the orders: it has room beyond the single amounts' digits.
+    exact = marts.daily_revenue(rows).withColumn("total_revenue", F.col("total_revenue").cast("decimal(38,2)"))
     replace_partitions(stored(layout.with_period(exact), "revenue"), layout.daily_revenue, period, touched)
