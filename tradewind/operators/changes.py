@@ -16,8 +16,11 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], version: in
     (see ``latest_by``), which also keeps every join partition free of hot keys.
     """
     cols = new.columns
-    a = old.select(*keys, F.struct(*cols).alias("_old"))
-    b = new.select(*keys, F.struct(*cols).alias("_new"))
+    # The keys go once through the join, beside the other columns, not in them too.
+    rest = [c for c in cols if c not in set(keys)]
+    row = F.struct(F.lit(True).alias("_here"), *rest)
+    a = old.select(*keys, row.alias("_old"))
+    b = new.select(*keys, row.alias("_new"))
 
     def change(kind: str, row: str):
         return F.struct(F.lit(kind).alias("_change_type"), F.col(row).alias("_row"))
@@ -30,8 +33,8 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], version: in
     return (
         a.join(b, list(keys), "full_outer")
         .where(~F.col("_old").eqNullSafe(F.col("_new")))
-        .select(F.explode(changes).alias("_c"))
-        .select("_c._change_type", *[F.col("_c._row")[c].alias(c) for c in cols])
+        .select(*keys, F.explode(changes).alias("_c"))
+        .select("_c._change_type", *[F.col(c) if c in set(keys) else F.col("_c._row")[c].alias(c) for c in cols])
         .withColumn("_commit_version", F.lit(version).cast("long"))
     )
 

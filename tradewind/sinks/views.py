@@ -50,8 +50,13 @@ def _signed(changes: DataFrame) -> DataFrame:
     return changes.withColumn("_w", F.when(F.col("_change_type").isin(*_ADDS), 1).otherwise(-1))
 
 
-def _delta(view: KeptView, lines: DataFrame) -> DataFrame:
-    """Per group, what the signed ``lines`` add: sums, non-null values of each, lines."""
+def _kept_values(view: KeptView) -> list[str]:
+    return [f"_of_{out}" for out in view.distinct]
+
+
+def _fine(view: KeptView, lines: DataFrame) -> DataFrame:
+    """What the signed ``lines`` add, per group and values to be counted: sums, non-null
+    values of each, lines. Of the lines, only the columns of the view are looked at."""
     for c in view.sums.values():
         if not isinstance(lines.schema[c].dataType, (T.DecimalType, T.IntegralType)):
             raise TypeError(f"{c} is {lines.schema[c].dataType.simpleString()}: only exact sums can be kept")
@@ -61,12 +66,22 @@ def _delta(view: KeptView, lines: DataFrame) -> DataFrame:
         total = F.sum(F.col(c) * F.col("_w"))
         adds.append(total.cast(f"decimal(38,{kind.scale})" if isinstance(kind, T.DecimalType) else "bigint").alias(out))
         adds.append(F.sum(F.when(F.col(c).isNotNull(), F.col("_w"))).alias(f"_n_{out}"))
-    return lines.groupBy(*view.keys).agg(*adds)
+    values = [F.col(c).alias(f"_of_{out}") for out, c in view.distinct.items()]
+    return lines.groupBy(*view.keys, *values).agg(*adds)
+
+
+def _delta(view: KeptView, fine: DataFrame) -> DataFrame:
+    """Per group, what the changes add."""
+    if not view.distinct:
+        return fine
+    amounts = [f for f in fine.schema if f.name not in (*view.keys, *_kept_values(view))]
+    return fine.groupBy(*view.keys).agg(*[F.sum(f.name).cast(f.dataType).alias(f.name) for f in amounts])
 
 
-def _support(view: KeptView, out: str, lines: DataFrame) -> DataFrame:
-    c = view.distinct[out]
-    return lines.where(F.col(c).isNotNull()).groupBy(*view.keys, F.col(c).alias("_value")).agg(F.sum("_w").alias("_n"))
+def _support(view: KeptView, out: str, fine: DataFrame) -> DataFrame:
+    """Per group and value of one distinct count, the lines the changes add."""
+    value = F.col(f"_of_{out}")
+    return fine.where(value.isNotNull()).groupBy(*view.keys, value.alias("_value")).agg(F.sum("_lines").alias("_n"))
 
 
 def _merged(old: DataFrame | None, new: DataFrame, keys: Sequence[str], left: str) -> DataFrame:
@@ -128,15 +143,16 @@ def apply_changes(changes: DataFrame, view: KeptView, version: int) -> None:
     spark = changes.sparkSession
     if version <= version_of(spark, view):
         return
-    lines = stored(_signed(changes), "view-changes")
-    touched = stored(lines.select(view.part).distinct(), "view-parts")
+    # The lines are summed before they are written: a group's sums take the place of its lines.
+    fine = stored(_fine(view, _signed(changes)), "view-changes")
+    touched = stored(fine.select(view.part).distinct(), "view-parts")
     aside = _table(view, f"aside/{version}")
-    delta = _delta(view, lines)
+    delta = _delta(view, fine)
     old = _touched_part(_read(spark, _table(view, "groups"), _part_last(delta, view.part).schema), touched, view.part)
     groups = _merged(old, delta, view.keys, "_lines")
     names = {"groups": _part_last(groups, view.part)}
     for out in view.distinct:
-        delta = _part_last(_support(view, out, lines), view.part)
+        delta = _part_last(_support(view, out, fine), view.part)
         old = _touched_part(_read(spark, _table(view, out), delta.schema), touched, view.part)
         names[out] = _part_last(_merged(old, delta, [*view.keys, "_value"], "_n"), view.part)
     for name, df in names.items():
