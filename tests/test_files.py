@@ -416,3 +416,31 @@ def test_star_load_takes_changes(spark, frame, root):
     assert [r.email for r in spark.read.table(names["dim_customer"]).collect()] == ["new@shop.com"]
     fact = spark.read.table(names["fact_order_items"]).select("order_id", "quantity", "date_key", "date_month")
     assert rows(fact) == [("o1", 5, 20260601, 202606), ("o2", 1, 20260502, 202605)]
+
+
+def test_upsert_leaves_unchanged_partitions_alone(spark, frame, root):
+    """Rows that come as they are write nothing; a moved and a new one write their months
+    only, with a feed of just these changes; known rows keep their numbers."""
+    import glob
+
+    ddl, path, name = "k string, v int, m int", f"{root}/upsert", "upsert_parts"
+    sinks.save_table(frame([], f"{ddl}, id bigint").select("k", "v", "id", "m"), name, path, ["m"])
+
+    def load(version, *lines):
+        sinks.upsert_partitions(frame(lines, ddl), name, path, ["k"], "m", (f"{root}/feed/{version}", version), "id")
+        return {m: sorted(glob.glob(f"{path}/m={m}/*.parquet")) for m in (1, 2, 3, 4)}
+
+    def feed(version):
+        return rows(spark.read.parquet(f"{root}/feed/{version}").select("_change_type", "k", "v", "m"))
+
+    first = [("a", 1, 1), ("b", 2, 1), ("c", None, 2), ("d", 4, 3)]
+    files = load(0, *first)
+    assert sorted(feed(0), key=str) == sorted([("insert", *r) for r in first], key=str)
+    assert load(1, *first) == files and feed(1) == []
+    ids = {r.k: r.id for r in spark.read.table(name).collect()}
+    assert sorted(ids.values()) == [1, 2, 3, 4]
+    later = load(2, ("a", 1, 1), ("b", 2, 1), ("c", 7, 4), ("e", 5, 4))
+    assert later[1] == files[1] and later[3] == files[3] and later[2] == [] and later[4]
+    assert feed(2) == [("insert", "e", 5, 4), ("update_postimage", "c", 7, 4), ("update_preimage", "c", None, 2)]
+    got = {r.k: (r.v, r.m, r.id) for r in spark.read.table(name).collect()}
+    assert got == {"a": (1, 1, ids["a"]), "b": (2, 1, ids["b"]), "c": (7, 4, ids["c"]), "d": (4, 3, ids["d"]), "e": (5, 4, 5)}

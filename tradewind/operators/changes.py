@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def checksum(cols: Sequence[str], seed: int) -> Column:
+    """A sum over rows of ``cols`` that does not depend on their order."""
+    # Whether a value is null goes in as well: a null alone leaves a hash as it is.
+    parts = [x for c in cols for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return F.sum(F.xxhash64(F.lit(seed), *parts).cast("decimal(20,0)")).cast("string")
+
+
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
     """What turned ``old`` into ``new``, one row per change.
 
@@ -21,6 +28,13 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], version: in
     row = F.struct(F.lit(True).alias("_here"), *rest)
     a = old.select(*keys, row.alias("_old"))
     b = new.select(*keys, row.alias("_new"))
+    joined = a.join(b, list(keys), "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    return feed_of(joined, keys, cols, version)
+
+
+def feed_of(joined: DataFrame, keys: Sequence[str], cols: Sequence[str], version: int) -> DataFrame:
+    """The feed from rows of ``keys``, ``_old`` and ``_new`` that differ: structs of the other
+    ``cols``, null where there is no such row."""
 
     def change(kind: str, row: str):
         return F.struct(F.lit(kind).alias("_change_type"), F.col(row).alias("_row"))
@@ -31,9 +45,7 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], version: in
         .otherwise(F.array(change("update_preimage", "_old"), change("update_postimage", "_new")))
     )
     return (
-        a.join(b, list(keys), "full_outer")
-        .where(~F.col("_old").eqNullSafe(F.col("_new")))
-        .select(*keys, F.explode(changes).alias("_c"))
+        joined.select(*keys, F.explode(changes).alias("_c"))
         .select("_c._change_type", *[F.col(c) if c in set(keys) else F.col("_c._row")[c].alias(c) for c in cols])
         .withColumn("_commit_version", F.lit(version).cast("long"))
     )

@@ -11,7 +11,7 @@ from ..session import workspace
 
 
 def with_identity(
-    df: DataFrame, order: Sequence[str], name: str = "id", start: int = 1, partitions: int | None = None
+    df: DataFrame, order: Sequence[str], name: str = "id", start: int = 1, partitions: int | None = None, unique: bool = False
 ) -> DataFrame:
     """Number the rows ``start, start + 1, …`` in the order of ``order``.
 
@@ -20,16 +20,17 @@ def with_identity(
     Both parts come from one written copy: a range partitioning that is computed
     twice, or again after a lost executor, may cut elsewhere. Rows equal under
     ``order`` are told apart by a hash of all columns, so that a value many rows
-    share does not fill one partition.
+    share does not fill one partition; ``unique`` says that there are none, and saves the hash.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = workspace(spark, "identity")
     # The low 33 bits of monotonically_increasing_id are the place in the partition.
+    by = list(order) if unique else [*order, "_tie"]
     placed = (
-        df.withColumn("_tie", F.xxhash64(*df.columns))
-        .repartitionByRange(n, *order, "_tie")
-        .sortWithinPartitions(*order, "_tie")
+        (df if unique else df.withColumn("_tie", F.xxhash64(*df.columns)))
+        .repartitionByRange(n, *by)
+        .sortWithinPartitions(*by)
         .drop("_tie")
         .select("*", F.monotonically_increasing_id().alias("_at"))
         .withColumns(

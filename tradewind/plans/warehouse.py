@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import changes, marts
-from ..operators.identity import with_identity
-from ..operators.joins import split_join
 from ..operators.quality import only_passed
 from ..sinks import KeptView, apply_changes, insert_new, reload_staging, save_table, stored, upsert_partitions, upsert_rows
 from ..sources import read_manifest, read_prefix
@@ -66,19 +64,6 @@ def line_changes(fact: DataFrame, products: DataFrame, fact_feed: DataFrame, pro
     )
 
 
-def _numbered(spark: SparkSession, fact: DataFrame, name: str) -> DataFrame:
-    """``fact`` with the key ``order_item_id``: a line that the table ``name`` has keeps its
-    number, new ones go on from the highest."""
-    keys = ["order_id", "product_id"]
-    if not spark.catalog.tableExists(name):
-        return with_identity(fact, keys, ITEM_ID)
-    known = spark.read.table(name).select(*keys, ITEM_ID)
-    highest = known.agg(F.max(ITEM_ID)).first()[0] or 0
-    both = stored(split_join(fact, known, keys, "left"), "numbered")
-    new = with_identity(both.where(F.col(ITEM_ID).isNull()).drop(ITEM_ID), keys, ITEM_ID, highest + 1)
-    return both.where(F.col(ITEM_ID).isNotNull()).unionByName(new)
-
-
 def load_curated(spark: SparkSession, prefix: str, root: str, curated: Mapping[str, str], version: int | None = None) -> dict[str, str]:
     """:func:`load_star` from files: for customers, products, orders and items a manifest
     (``….json``) or a folder of Parquet files."""
@@ -113,7 +98,6 @@ def load_star(
 
     month = F.coalesce(F.floor(F.col("date_key") / 100).cast("int"), F.lit(0))
     fact = marts.build_fact(staged["items"], staged["orders"]).withColumn(MONTH, month)
-    fact = _numbered(spark, fact, f"{prefix}fact_order_items")
     # The calendar runs over the days of the passed orders: two values read on the driver.
     day = F.to_date("order_ts")
     lo, hi = only_passed(staged["orders"]).agg(F.min(day), F.max(day)).first()
@@ -131,9 +115,10 @@ def load_star(
         is_fact = table == "fact_order_items"
         feed = None if version is None else (f"{root}/changes/{table}/{version}", version)
         if not spark.catalog.tableExists(name):
-            save_table(df.limit(0), name, path, [MONTH] if is_fact else ())
+            empty = df.limit(0)
+            save_table(empty.withColumn(ITEM_ID, F.lit(None).cast("long")) if is_fact else empty, name, path, [MONTH] if is_fact else ())
         if is_fact:
-            upsert_partitions(df, name, path, keys, MONTH, feed)
+            upsert_partitions(df, name, path, keys, MONTH, feed, ITEM_ID)
         elif table == "dim_date":
             insert_new(df, name, keys)  # a day does not change
         else:

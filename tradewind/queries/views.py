@@ -59,7 +59,8 @@ def k8_star_views(spark, d):
     root = workspace(spark, "warehouse")
     products = marts.clean_products(products_raw(spark, d))
     other = products.withColumn("category", F.when(F.col("product_id") % 3 == 0, "other").otherwise(F.col("category")))
-    customers, orders, items = marts.clean_customers(customers_raw(spark, d)), order_outcomes(spark, d), items_curated(spark, d)
+    items = sinks.stored(items_curated(spark, d), "items")
+    customers, orders = marts.clean_customers(customers_raw(spark, d)), sinks.stored(order_outcomes(spark, d, items), "order-outcomes")
     prefix = f"v{root.rsplit('-', 1)[1]}_"
     some = items.where("cast(order_id AS bigint) % 4 <> 0")
     # Products that the first load does not know yet, too.
@@ -83,10 +84,10 @@ def k7_load_curated(spark, d):
     second load get the numbers after those of the first, which keep theirs."""
     root = workspace(spark, "curated")
     prefix = f"m{root.rsplit('-', 1)[1]}_"
-    items, late = items_curated(spark, d), F.col("order_id").cast("bigint") % 4 == 0
+    items, late = sinks.stored(items_curated(spark, d), "items"), F.col("order_id").cast("bigint") % 4 == 0
     curated = {
         "customers": sinks.publish_snapshot(marts.clean_customers(customers_raw(spark, d)), f"{root}/customers"),
-        "orders": sinks.publish_snapshot(order_outcomes(spark, d), f"{root}/orders"),
+        "orders": sinks.publish_snapshot(order_outcomes(spark, d, items), f"{root}/orders"),
         "products": f"{root}/products",
         "items": f"{root}/items",
     }

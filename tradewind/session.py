@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     # at face value, Spark would broadcast tables much beyond its threshold.
     "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # What a run writes aside for itself counts as much as its tables: both are kept small.
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

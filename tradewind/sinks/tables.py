@@ -7,10 +7,11 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.changes import change_feed
+from ..operators.changes import change_feed, checksum, feed_of
+from ..operators.identity import with_identity
 from ..operators.joins import split_join
 from ..sources.fs import exists
-from .files import replace_partitions, stored
+from .files import overwrite_partitions, replace_partitions, stored
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -69,33 +70,105 @@ def upsert_rows(df: DataFrame, name: str, keys: Sequence[str], feed: tuple[str,
 
 
 def upsert_partitions(
-    df: DataFrame, name: str, path: str, keys: Sequence[str], part: str, feed: tuple[str, int] | None = None
+    df: DataFrame, name: str, path: str, keys: Sequence[str], part: str, feed: tuple[str, int] | None = None, number: str | None = None
 ) -> None:
     """Like :func:`upsert_rows` for a table at ``path`` partitioned by ``part`` (no nulls):
-    only partitions that hold such rows, before or after, are read whole and written.
+    only partitions whose rows change are written, and none if no row does.
 
     A row whose ``part`` has changed leaves its old partition; to find it, the ``keys`` of
-    the table are read, and no other column. A repeated load changes nothing. ``feed`` (a
-    path and a version) keeps the row changes, before the table is touched.
+    the other partitions are read, and no other column. ``feed`` (a path and a version)
+    keeps the row changes, before the table is touched. ``number`` names a column that
+    ``df`` lacks: a row the table has keeps its number, new ones go on from the highest.
     """
     spark = df.sparkSession
-    new = stored(df, "upsert")
     table = spark.read.table(name)
-    before = split_join(table.select(*keys, part), new.select(*keys), keys, "left_semi")
-    touched = stored(before.select(part).union(new.select(part)).distinct(), "touched")
-    lo, hi = touched.agg(F.min(part), F.max(part)).first()
-    concerned = split_join(table.where(F.col(part).between(lo, hi)), touched, part, "left_semi") if lo is not None else table.limit(0)
-    if feed:
-        _keep_feed(split_join(concerned, new.select(*keys), keys, "left_semi"), new, keys, feed)
-    if lo is None:
+    if table.isEmpty():
+        _fill_partitions(with_identity(df, keys, number, unique=True) if number else stored(df, "upsert"), name, path, part, feed)
         return
-    kept = split_join(concerned, new.select(*keys), keys, "left_anti")
-    replace_partitions(stored(kept.select(*new.columns).unionByName(new), "upsert"), path, part, touched)
-    # The catalog keeps a list of a table's partitions.
+    new = stored(df, "upsert")
+    here = stored(new.select(part).distinct(), "touched")
+    # Partitions that hold the same rows already, by count and two checksums, need no join.
+    cols = [c for c in table.columns if c != number]
+    now = _sums(new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema if f.name != number]), cols, part)
+    same = now.join(_sums(_in_parts(table, here, part), cols, part), [part, *_SUMS], "left_semi")
+    other = stored(now.select(part).join(same, part, "left_anti"), "touched")
+    new = _in_parts(new, other, part)
+    elsewhere = split_join(table.select(part).distinct(), here, part, "left_anti")
+    touched = other
+    if not elsewhere.isEmpty():
+        moved = split_join(split_join(table.select(*keys, part), here, part, "left_anti"), new.select(*keys), keys, "left_semi")
+        touched = stored(moved.select(part).union(other).distinct(), "touched")
+    concerned = _in_parts(table, touched, part)
+    differ = stored(_differing(concerned, new, keys, number), "differ")
+    if number:
+        differ = _with_numbers(differ, table, keys, number)
+    if feed and not exists(spark, f"{feed[0]}/_SUCCESS"):
+        feed_of(differ, keys, table.columns, feed[1]).write.mode("overwrite").parquet(feed[0])
+    kinds = {f.name: f.dataType for f in table.schema}
+    rows = differ.select(*[(F.col(c) if c in set(keys) else F.col(f"_new.{c}")).cast(kinds[c]).alias(c) for c in table.columns])
+    parts = differ.select(F.explode(F.array(f"_old.{part}", f"_new.{part}")).alias(part)).where(F.col(part).isNotNull())
+    touched = stored(parts.distinct(), "touched")
+    if not touched.isEmpty():
+        kept = split_join(_in_parts(concerned, touched, part), differ.select(*keys), keys, "left_anti")
+        replace_partitions(stored(kept.select(*table.columns).unionByName(rows), "upsert"), path, part, touched)
+    _list_partitions(spark, name)
+
+
+_SUMS = ["_rows", "_one", "_two"]
+
+
+def _sums(df: DataFrame, cols: Sequence[str], part: str) -> DataFrame:
+    """One line for each partition: its rows and two checksums of them."""
+    sums = [F.count(F.lit(1)), checksum(cols, 1), checksum(cols, 2)]
+    return df.groupBy(part).agg(*[s.alias(name) for s, name in zip(sums, _SUMS)])
+
+
+def _fill_partitions(new: DataFrame, name: str, path: str, part: str, feed: tuple[str, int] | None) -> None:
+    """The first rows of a table without rows: all of them come."""
+    spark = new.sparkSession
+    new = new.select(*spark.read.table(name).columns)
+    if feed and not exists(spark, f"{feed[0]}/_SUCCESS"):
+        come = new.select(F.lit("insert").alias("_change_type"), *new.columns, F.lit(feed[1]).cast("long").alias("_commit_version"))
+        come.write.mode("overwrite").parquet(feed[0])
+    overwrite_partitions(new, path, part)
+    _list_partitions(spark, name)
+
+
+def _list_partitions(spark: SparkSession, name: str) -> None:
+    """The catalog keeps a list of a table's partitions."""
     spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
 
 
+def _in_parts(table: DataFrame, parts: DataFrame, part: str) -> DataFrame:
+    """The rows of the partitions ``parts``: by its bounds at the scan, then by value."""
+    lo, hi = parts.agg(F.min(part), F.max(part)).first()
+    return split_join(table.where(F.col(part).between(lo, hi)), parts, part, "left_semi") if lo is not None else table.limit(0)
+
+
+def _differing(table: DataFrame, new: DataFrame, keys: Sequence[str], number: str | None) -> DataFrame:
+    """``keys``, ``_old`` and ``_new`` of the rows of ``new`` that ``table`` has not or has
+    otherwise; the ``number`` comes from the table."""
+    rest = [c for c in table.columns if c not in set(keys) and c != number]
+    kinds = {f.name: f.dataType for f in table.schema}
+    a = table.select(*keys, F.struct(*[c for c in table.columns if c not in set(keys)]).alias("_old"))
+    b = new.select(*keys, *[F.col(c).cast(kinds[c]).alias(c) for c in rest])
+    both = split_join(b, a, keys, "left")
+    same = F.col("_old").isNotNull()
+    for c in rest:
+        same = same & F.col(c).eqNullSafe(F.col(f"_old.{c}"))
+    now = [F.col(f"_old.{c}").alias(c) if c == number else F.col(c) for c in table.columns if c not in set(keys)]
+    return both.where(~same).select(*keys, "_old", F.struct(*now).alias("_new"))
+
+
+def _with_numbers(differ: DataFrame, table: DataFrame, keys: Sequence[str], number: str) -> DataFrame:
+    """The numbers of new rows, put into their ``_new``."""
+    highest = table.agg(F.max(number)).first()[0] or 0
+    come = with_identity(differ.where(F.col("_old").isNull()), keys, "_number", highest + 1, unique=True)
+    come = come.withColumn("_new", F.col("_new").withField(number, F.col("_number"))).drop("_number")
+    return differ.where(F.col("_old").isNotNull()).unionByName(come)
+
+
 def bucketed_table(df: DataFrame, name: str, key: str, buckets: int, sort: Sequence[str] | None = None, path: str | None = None) -> DataFrame:
     """Table ``name`` hashed into ``buckets`` by ``key``: joins and aggregates on
     ``key`` between such tables need no exchange.

@@ -11,11 +11,11 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.changes import change_feed
+from ..operators.changes import change_feed, checksum
 from ..sources.fs import read_text, write_text
 
 _BUCKET = "_bucket"
@@ -40,12 +40,6 @@ class VersionedTable:
         return f"{self.path}/schemas/{version}.json"
 
 
-def _checksum(cols: Sequence[str], seed: int) -> Column:
-    # Whether a value is null goes in as well: a null alone leaves a hash as it is.
-    parts = [x for c in cols for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
-    return F.sum(F.xxhash64(F.lit(seed), *parts).cast("decimal(20,0)")).cast("string")
-
-
 def save_version(df: DataFrame, table: VersionedTable, version: int) -> DataFrame:
     """Write ``df`` as ``version``, whole; a version written again is replaced. Its rows."""
     spark = df.sparkSession
@@ -55,7 +49,7 @@ def save_version(df: DataFrame, table: VersionedTable, version: int) -> DataFram
     write_text(spark, table.schema_at(version), df.schema.json())
     written = _rows(spark, table, version)
     cols = df.columns
-    sums = written.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("rows"), _checksum(cols, 1).alias("one"), _checksum(cols, 2).alias("two"))
+    sums = written.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("rows"), checksum(cols, 1).alias("one"), checksum(cols, 2).alias("two"))
     # The names and types of the columns count too: another shape changes every bucket.
     sums = sums.withColumn("shape", F.lit(df.schema.simpleString()))
     sums.coalesce(1).write.mode("overwrite").parquet(table.sums_at(version))

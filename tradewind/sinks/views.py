@@ -81,7 +81,10 @@ def _delta(view: KeptView, fine: DataFrame) -> DataFrame:
 def _support(view: KeptView, out: str, fine: DataFrame) -> DataFrame:
     """Per group and value of one distinct count, the lines the changes add."""
     value = F.col(f"_of_{out}")
-    return fine.where(value.isNotNull()).groupBy(*view.keys, value.alias("_value")).agg(F.sum("_lines").alias("_n"))
+    found = fine.where(value.isNotNull())
+    if len(view.distinct) == 1:  # ``fine`` has one row for each already
+        return found.select(*view.keys, value.alias("_value"), F.col("_lines").alias("_n"))
+    return found.groupBy(*view.keys, value.alias("_value")).agg(F.sum("_lines").alias("_n"))
 
 
 def _merged(old: DataFrame | None, new: DataFrame, keys: Sequence[str], left: str) -> DataFrame:
