@@ -444,3 +444,29 @@ def test_upsert_leaves_unchanged_partitions_alone(spark, frame, root):
     assert feed(2) == [("insert", "e", 5, 4), ("update_postimage", "c", 7, 4), ("update_preimage", "c", None, 2)]
     got = {r.k: (r.v, r.m, r.id) for r in spark.read.table(name).collect()}
     assert got == {"a": (1, 1, ids["a"]), "b": (2, 1, ids["b"]), "c": (7, 4, ids["c"]), "d": (4, 3, ids["d"]), "e": (5, 4, 5)}
+
+
+def test_new_rows_leave_the_files_of_their_partition_alone(spark, frame, root):
+    """Rows that come to a partition lie beside its others, which are not written again; a
+    changed row writes its partition, with what is new there."""
+    import glob
+
+    ddl, path, name = "k string, v int, m int", f"{root}/come", "come_parts"
+    sinks.save_table(frame([], f"{ddl}, id bigint").select("k", "v", "id", "m"), name, path, ["m"])
+
+    def load(version, *lines):
+        sinks.upsert_partitions(frame(lines, ddl), name, path, ["k"], "m", (f"{root}/come-feed/{version}", version), "id")
+        return {m: set(glob.glob(f"{path}/m={m}/*.parquet")) for m in (1, 2)}
+
+    first = [("b", 2, 1), ("d", 4, 2), ("c", 3, 1)]
+    files = load(0, *first)
+    assert rows(spark.read.table(name).select("k", "id")) == [("b", 1), ("c", 2), ("d", 3)]  # by partition, then by key
+    later = load(1, *first, ("a", 1, 1))
+    assert files[1] < later[1] and later[2] == files[2]
+    assert load(1, *first, ("a", 1, 1)) == later  # repeated
+    last = load(2, ("b", 9, 1), ("e", 5, 1), ("f", 6, 2))
+    assert not last[1] & later[1] and files[2] < last[2]
+    got = rows(spark.read.table(name).select("k", "v", "m"))
+    assert got == [("a", 1, 1), ("b", 9, 1), ("c", 3, 1), ("d", 4, 2), ("e", 5, 1), ("f", 6, 2)]
+    ids = {r.k: r.id for r in spark.read.table(name).collect()}
+    assert {k: ids[k] for k in "abcd"} == {"a": 4, "b": 1, "c": 2, "d": 3} and {ids["e"], ids["f"]} == {5, 6}

@@ -126,3 +126,43 @@ def test_feed_reversed_leads_back(frame):
     old, new = lines(frame, 1), lines(frame, 2)
     feed = changes.change_feed(old, new, ["id"], 1)
     assert rows(changes.apply_changes(new, changes.reversed_feed(feed), ["id"])) == rows(old)
+
+
+def test_coarser_view_from_the_sums_of_a_finer_one(spark, frame, view):
+    sums = {"amount": "amount", "pieces": "pieces"}
+    whole = sinks.KeptView(workspace(spark, "view"), ("day", "sort"), "day", sums)
+    by_pieces = sinks.KeptView(workspace(spark, "view"), ("day", "kind", "who"), "day", sums)
+    old = lines(frame, 0).limit(0)
+    for version in range(3):
+        new = lines(frame, version)
+        fine = sinks.summed(changes.change_feed(old, new, ["id"], version), by_pieces)
+        # A group that is as it was adds nothing and is not written.
+        assert fine.where("_lines = 0 AND coalesce(amount, 0) = 0 AND coalesce(pieces, 0) = 0 AND _n_amount = 0 AND _n_pieces = 0").isEmpty()
+        sinks.apply_sums(sinks.coarser(fine, by_pieces, whole, {"sort": "kind"}), whole, version)
+        sinks.apply_sums(fine, by_pieces, version)
+        assert rows(sinks.read_view(spark, whole)) == rows(recomputed(new).drop("people", "kinds_of_pieces"))
+        assert sinks.read_view(spark, by_pieces).count() == new.select("day", "kind", "who").distinct().count()
+        old = new
+    with pytest.raises(ValueError, match="sums"):
+        sinks.coarser(fine, by_pieces, view, {})
+
+
+def test_lines_of_moved_products(spark, frame):
+    """No product known before, one that is new, one that goes to another category, none."""
+    from tradewind.plans import warehouse
+
+    fact = frame([("o1", "p1"), ("o1", "p2"), ("o2", "p2"), ("o3", None)], "order_id string, product_id string").withColumn("order_ts", F.lit("2026-06-01").cast("timestamp"))
+    kinds = "product_id string, category string"
+    first, second = frame([("p1", "a")], kinds), frame([("p1", "b"), ("p2", None)], kinds)
+
+    def found(fact_feed, old, new):
+        out = warehouse.line_changes(fact, new, fact_feed, changes.change_feed(old, new, ["product_id"], 1))
+        assert out.columns[-1] == "product_category"
+        return rows(out.groupBy("order_id", "product_id", "category").agg(F.sum(F.when(F.col("_change_type").isin("insert", "update_postimage"), 1).otherwise(-1)).alias("n")).where("n <> 0"))
+
+    come = changes.change_feed(fact.limit(0), fact, ["order_id", "product_id"], 0)
+    none = come.limit(0)
+    assert found(come, first.limit(0), second) == [("o1", "p1", "b", 1), ("o1", "p2", None, 1), ("o2", "p2", None, 1)]
+    assert found(none, first, second) == [("o1", "p1", "a", -1), ("o1", "p1", "b", 1), ("o1", "p2", None, 1), ("o2", "p2", None, 1)]
+    assert found(come, first, second) == [("o1", "p1", "b", 1), ("o1", "p2", None, 1), ("o2", "p2", None, 1)]
+    assert found(none, second, second) == [] and found(come, second, second) == found(come, first.limit(0), second)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import changes, marts
 from ..operators.quality import only_passed
-from ..sinks import KeptView, apply_changes, insert_new, reload_staging, save_table, stored, upsert_partitions, upsert_rows
+from ..sinks import KeptView, apply_sums, coarser, insert_new, reload_staging, save_table, stored, summed, upsert_partitions, upsert_rows, version_of
 from ..sources import read_manifest, read_prefix
 
 # The fact lies in one directory a month: a day's lines are too few for files of their own.
@@ -33,10 +33,16 @@ def regional_view(root: str) -> KeptView:
 def view_lines(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Lines of the views from the fact or from its changes: those whose order has a day and
     whose product is known."""
+    return _dated(marts.star(_with_day(fact), (products.select("product_id", "category"), "product_id")))
+
+
+def _with_day(fact: DataFrame) -> DataFrame:
     day = F.to_date("order_ts")
-    lines = marts.star(fact.where(day.isNotNull()), (products.select("product_id", "category"), "product_id"))
-    dated = lines.withColumn("order_date", day).withColumn("order_month", F.trunc("order_date", "month"))
-    return dated.withColumn("product_category", F.col("category"))
+    return fact.where(day.isNotNull()).withColumn("order_date", day)
+
+
+def _dated(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("order_month", F.trunc("order_date", "month")).withColumn("product_category", F.col("category"))
 
 
 def line_changes(fact: DataFrame, products: DataFrame, fact_feed: DataFrame, product_feed: DataFrame) -> DataFrame:
@@ -54,14 +60,16 @@ def line_changes(fact: DataFrame, products: DataFrame, fact_feed: DataFrame, pro
         F.count_if(F.col("_change_type").isin("insert", "update_postimage")).alias("_is"),
     )
     moved = moved.where(~(F.col("_old").eqNullSafe(F.col("_new")) & (F.col("_was") == F.col("_is"))))
-    old = moved.where("_was > 0").select("product_id", F.col("_old").alias("category"))
-    new = moved.where("_is > 0").select("product_id", F.col("_new").alias("category"))
-    feed = fact_feed.drop("_commit_version")
-    return (
-        view_lines(feed, before)
-        .unionByName(view_lines(fact.withColumn("_change_type", F.lit("delete")), old))
-        .unionByName(view_lines(fact.withColumn("_change_type", F.lit("insert")), new))
-    )
+    goes = F.when(F.col("_was") > 0, F.struct(F.lit("delete").alias("_change_type"), F.col("_old").alias("category")))
+    comes = F.when(F.col("_is") > 0, F.struct(F.lit("insert").alias("_change_type"), F.col("_new").alias("category")))
+    # Written, so that its size is known when it is joined: a few products need no shuffle of the fact.
+    moved = stored(moved.select("product_id", F.array_compact(F.array(goes, comes)).alias("_moves")), "moved")
+    lines = view_lines(fact_feed.drop("_commit_version"), before)
+    if moved.isEmpty():
+        return lines
+    both = marts.star(_with_day(fact), (moved, "product_id")).select("*", F.inline("_moves")).select(*lines.columns[:-2])
+    # With no product known before, no changed line has a category yet.
+    return _dated(both) if before.isEmpty() else lines.unionByName(_dated(both))
 
 
 def load_curated(spark: SparkSession, prefix: str, root: str, curated: Mapping[str, str], version: int | None = None) -> dict[str, str]:
@@ -126,6 +134,10 @@ def load_star(
     if version is not None:
         feeds = [spark.read.parquet(f"{root}/changes/{t}/{version}") for t in ("fact_order_items", "dim_product")]
         lines = line_changes(spark.read.table(names["fact_order_items"]), spark.read.table(names["dim_product"]), *feeds)
-        for view in (category_view(root), regional_view(root)):
-            apply_changes(lines, view, version)
+        # The lines are joined and summed once: the days' categories are sums over their regions.
+        category, regional = category_view(root), regional_view(root)
+        if version > min(version_of(spark, category), version_of(spark, regional)):
+            sums = summed(lines, regional)
+            apply_sums(coarser(sums, regional, category, {"product_category": "category"}), category, version)
+            apply_sums(sums, regional, version)
     return names

@@ -16,7 +16,7 @@ from .tables import (
     upsert_rows,
 )
 from .versions import VersionedTable, changed_buckets, read_version, save_version, version_feed
-from .views import KeptView, apply_changes, build_view, read_view
+from .views import KeptView, apply_changes, apply_sums, build_view, coarser, read_view, summed, version_of
 
 __all__ = [
     "Compaction",
@@ -28,10 +28,12 @@ __all__ = [
     "append",
     "append_partitioned",
     "apply_changes",
+    "apply_sums",
     "bucketed_table",
     "build_view",
     "changed_buckets",
     "clustered_table",
+    "coarser",
     "compact_table",
     "deal_table",
     "dealt_table",
@@ -49,7 +51,9 @@ __all__ = [
     "save_table",
     "save_version",
     "stored",
+    "summed",
     "upsert_partitions",
     "upsert_rows",
     "version_feed",
+    "version_of",
 ]

@@ -18,15 +18,16 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def append_partitioned(df: DataFrame, path: str, *cols: str) -> None:
+def append_partitioned(df: DataFrame, path: str, *cols: str, gathered: bool = False) -> None:
     """Append below ``col=value`` directories, few files each: see :func:`_gathered`."""
-    _gathered(df, cols).write.mode("append").partitionBy(*cols).parquet(path)
+    (df if gathered else _gathered(df, cols)).write.mode("append").partitionBy(*cols).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, *cols: str) -> None:
-    """Replace the partitions ``df`` has rows for and leave the others alone."""
-    writer = _gathered(df, cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*cols).parquet(path)
+def overwrite_partitions(df: DataFrame, path: str, *cols: str, gathered: bool = False) -> None:
+    """Replace the partitions ``df`` has rows for and leave the others alone. Rows that lie in
+    the order of ``cols`` already are ``gathered`` and need no shuffle."""
+    rows = df if gathered else _gathered(df, cols)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, col: str, values: DataFrame) -> None:

@@ -11,7 +11,7 @@ from ..operators.changes import change_feed, checksum, feed_of
 from ..operators.identity import with_identity
 from ..operators.joins import split_join
 from ..sources.fs import exists
-from .files import overwrite_partitions, replace_partitions, stored
+from .files import append_partitioned, overwrite_partitions, replace_partitions, stored
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -73,17 +73,20 @@ def upsert_partitions(
     df: DataFrame, name: str, path: str, keys: Sequence[str], part: str, feed: tuple[str, int] | None = None, number: str | None = None
 ) -> None:
     """Like :func:`upsert_rows` for a table at ``path`` partitioned by ``part`` (no nulls):
-    only partitions whose rows change are written, and none if no row does.
+    only partitions whose rows change are written, and none if no row does. One that only
+    gets new rows gets them in files of their own; its others stay.
 
     A row whose ``part`` has changed leaves its old partition; to find it, the ``keys`` of
     the other partitions are read, and no other column. ``feed`` (a path and a version)
     keeps the row changes, before the table is touched. ``number`` names a column that
-    ``df`` lacks: a row the table has keeps its number, new ones go on from the highest.
+    ``df`` lacks: a row the table has keeps its number, new ones go on from the highest, by
+    ``part`` and ``keys``: rows so numbered lie in the order of the directories.
     """
     spark = df.sparkSession
     table = spark.read.table(name)
     if table.isEmpty():
-        _fill_partitions(with_identity(df, keys, number, unique=True) if number else stored(df, "upsert"), name, path, part, feed)
+        rows = with_identity(df, [part, *keys], number, unique=True) if number else stored(df, "upsert")
+        _fill_partitions(rows, name, path, part, feed, gathered=number is not None)
         return
     new = stored(df, "upsert")
     here = stored(new.select(part).distinct(), "touched")
@@ -101,16 +104,21 @@ def upsert_partitions(
     concerned = _in_parts(table, touched, part)
     differ = stored(_differing(concerned, new, keys, number), "differ")
     if number:
-        differ = _with_numbers(differ, table, keys, number)
+        differ = _with_numbers(differ, table, [f"_new.{part}", *keys], number)
     if feed and not exists(spark, f"{feed[0]}/_SUCCESS"):
         feed_of(differ, keys, table.columns, feed[1]).write.mode("overwrite").parquet(feed[0])
     kinds = {f.name: f.dataType for f in table.schema}
-    rows = differ.select(*[(F.col(c) if c in set(keys) else F.col(f"_new.{c}")).cast(kinds[c]).alias(c) for c in table.columns])
-    parts = differ.select(F.explode(F.array(f"_old.{part}", f"_new.{part}")).alias(part)).where(F.col(part).isNotNull())
-    touched = stored(parts.distinct(), "touched")
+    values = [(F.col(c) if c in set(keys) else F.col(f"_new.{c}")).cast(kinds[c]).alias(c) for c in table.columns]
+    known = differ.where(F.col("_old").isNotNull())
+    touched = stored(known.select(F.explode(F.array(f"_old.{part}", f"_new.{part}")).alias(part)).distinct(), "touched")
+    come = differ.where(F.col("_old").isNull()).select(*values)
     if not touched.isEmpty():
         kept = split_join(_in_parts(concerned, touched, part), differ.select(*keys), keys, "left_anti")
-        replace_partitions(stored(kept.select(*table.columns).unionByName(rows), "upsert"), path, part, touched)
+        rows = split_join(differ.select(*values), touched, part, "left_semi")
+        replace_partitions(stored(kept.unionByName(rows).select(*table.columns), "upsert"), path, part, touched)
+        come = split_join(come, touched, part, "left_anti")
+    # A try that was cut off here finds the rows that came, as they are, when it is repeated.
+    append_partitioned(come.select(*table.columns), path, part, gathered=number is not None)
     _list_partitions(spark, name)
 
 
@@ -123,14 +131,14 @@ def _sums(df: DataFrame, cols: Sequence[str], part: str) -> DataFrame:
     return df.groupBy(part).agg(*[s.alias(name) for s, name in zip(sums, _SUMS)])
 
 
-def _fill_partitions(new: DataFrame, name: str, path: str, part: str, feed: tuple[str, int] | None) -> None:
+def _fill_partitions(new: DataFrame, name: str, path: str, part: str, feed: tuple[str, int] | None, gathered: bool) -> None:
     """The first rows of a table without rows: all of them come."""
     spark = new.sparkSession
     new = new.select(*spark.read.table(name).columns)
     if feed and not exists(spark, f"{feed[0]}/_SUCCESS"):
         come = new.select(F.lit("insert").alias("_change_type"), *new.columns, F.lit(feed[1]).cast("long").alias("_commit_version"))
         come.write.mode("overwrite").parquet(feed[0])
-    overwrite_partitions(new, path, part)
+    overwrite_partitions(new, path, part, gathered=gathered)
     _list_partitions(spark, name)
 
 
@@ -161,10 +169,10 @@ def _differing(table: DataFrame, new: DataFrame, keys: Sequence[str], number: st
     return both.where(~same).select(*keys, "_old", F.struct(*now).alias("_new"))
 
 
-def _with_numbers(differ: DataFrame, table: DataFrame, keys: Sequence[str], number: str) -> DataFrame:
+def _with_numbers(differ: DataFrame, table: DataFrame, order: Sequence[str], number: str) -> DataFrame:
     """The numbers of new rows, put into their ``_new``."""
     highest = table.agg(F.max(number)).first()[0] or 0
-    come = with_identity(differ.where(F.col("_old").isNull()), keys, "_number", highest + 1, unique=True)
+    come = with_identity(differ.where(F.col("_old").isNull()), order, "_number", highest + 1, unique=True)
     come = come.withColumn("_new", F.col("_new").withField(number, F.col("_number"))).drop("_number")
     return differ.where(F.col("_old").isNotNull()).unionByName(come)
 

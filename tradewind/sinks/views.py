@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,7 +68,13 @@ def _fine(view: KeptView, lines: DataFrame) -> DataFrame:
         adds.append(total.cast(f"decimal(38,{kind.scale})" if isinstance(kind, T.DecimalType) else "bigint").alias(out))
         adds.append(F.sum(F.when(F.col(c).isNotNull(), F.col("_w"))).alias(f"_n_{out}"))
     values = [F.col(c).alias(f"_of_{out}") for out, c in view.distinct.items()]
-    return lines.groupBy(*view.keys, *values).agg(*adds)
+    return _that_add(lines.groupBy(*view.keys, *values).agg(*adds), [*view.keys, *_kept_values(view)])
+
+
+def _that_add(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Without rows all of whose amounts are nothing: what came and went again."""
+    amounts = [F.coalesce(F.col(c), F.lit(0)) != 0 for c in sums.columns if c not in set(keys)]
+    return sums.where(reduce(Column.__or__, amounts))
 
 
 def _delta(view: KeptView, fine: DataFrame) -> DataFrame:
@@ -88,8 +95,11 @@ def _support(view: KeptView, out: str, fine: DataFrame) -> DataFrame:
 
 
 def _merged(old: DataFrame | None, new: DataFrame, keys: Sequence[str], left: str) -> DataFrame:
-    """Old and new amounts added up; rows of which no ``left`` remain are gone."""
-    both = new if old is None else old.unionByName(new)
+    """Old and new amounts added up; rows of which no ``left`` remain are gone. ``new`` has one
+    row for the ``keys``."""
+    if old is None:
+        return new.where(F.col(left) != 0)
+    both = old.unionByName(new)
     amounts = [c for c in new.columns if c not in keys]
     kinds = {f.name: f.dataType for f in new.schema}
     added = both.groupBy(*keys).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in amounts])
@@ -143,11 +153,33 @@ def apply_changes(changes: DataFrame, view: KeptView, version: int) -> None:
     A version that has been applied already changes nothing, so a run that was cut off is
     simply repeated. Only partitions that hold a changed group are read and written.
     """
-    spark = changes.sparkSession
+    if version > version_of(changes.sparkSession, view):
+        apply_sums(summed(changes, view), view, version)
+
+
+def summed(changes: DataFrame, view: KeptView) -> DataFrame:
+    """What ``changes`` add to ``view``, written once: the lines are summed before, so that a
+    group's sums take their place."""
+    return stored(_fine(view, _signed(changes)), "view-changes")
+
+
+def coarser(fine: DataFrame, of: KeptView, view: KeptView, named: Mapping[str, str]) -> DataFrame:
+    """What the changes summed up in ``fine`` for the view ``of`` add to ``view``, which has the
+    same sums by fewer groups and no distinct counts; ``named`` says what its groups are called
+    in ``of``, if not the same."""
+    if view.distinct or dict(view.sums) != dict(of.sums):
+        raise ValueError(f"{view.path} has not the sums of {of.path}")
+    kept = [f for f in fine.schema if f.name not in (*of.keys, *_kept_values(of))]
+    groups = [F.col(named.get(g, g)).alias(g) for g in view.keys]
+    sums = fine.groupBy(*groups).agg(*[F.sum(f.name).cast(f.dataType).alias(f.name) for f in kept])
+    return stored(_that_add(sums, view.keys), "view-changes")
+
+
+def apply_sums(fine: DataFrame, view: KeptView, version: int) -> None:
+    """:func:`apply_changes` by what the changes add (:func:`summed`, :func:`coarser`)."""
+    spark = fine.sparkSession
     if version <= version_of(spark, view):
         return
-    # The lines are summed before they are written: a group's sums take the place of its lines.
-    fine = stored(_fine(view, _signed(changes)), "view-changes")
     touched = stored(fine.select(view.part).distinct(), "view-parts")
     aside = _table(view, f"aside/{version}")
     delta = _delta(view, fine)
