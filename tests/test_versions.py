@@ -68,3 +68,17 @@ def test_empty_versions(spark, table):
     save_version(spark.range(3).selectExpr("id AS k", "'a' AS j"), table, 1)
     assert version_feed(spark, table, 0, 1).count() == 3
     assert version_feed(spark, table, 1, 0).count() == 3
+
+
+def test_a_bucket_that_is_as_it_was_is_not_written_again(spark, table):
+    versions = [spark.range(2000).selectExpr("id AS k", "'a' AS j", f"if(id = 77, {v}, id) AS v") for v in range(3)]
+    for v, df in enumerate(versions):
+        save_version(df, table, v)
+    for v in (1, 2):
+        (bucket,) = changed_buckets(spark, table, v - 1, v)
+        assert {f.split("/")[-2] for f in glob.glob(f"{table.rows_at(v)}/_bucket=*/*.parquet")} == {f"_bucket={bucket}"}
+    # An early version is written again: the later ones keep the rows they share with the first try.
+    save_version(versions[0].where("k < 10"), table, 0)
+    assert [rows(read_version(spark, table, v)) for v in range(3)] == [rows(versions[0].where("k < 10")), rows(versions[1]), rows(versions[2])]
+    assert version_feed(spark, table, 0, 1).count() == 1990
+    assert rows(version_feed(spark, table, 1, 2)) == rows(changes.change_feed(versions[1], versions[2], ["k", "j"], 2))
