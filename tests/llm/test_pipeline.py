@@ -128,3 +128,13 @@ def test_language_sample_is_the_lowest_hashes(spark):
         assert first == want
     same = narrow.withColumn("h", F.lit(2**62).cast("bigint"))
     assert language._lowest(same, 300).count() == 30_000
+
+
+def test_memory_of_pieces_is_bounded_in_characters():
+    """It outlives its task, so long words must not fill it."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = token_files.Encoder(path, remember=50, at_once=1)
+    words = [f"{'x' * 400}{k}y" for k in range(60)]
+    ids = [encoder.encode([w]).__next__() for w in words]
+    assert ids == [encoder._whole(w) for w in words]
+    assert sum(map(len, [*encoder.known, *encoder.earlier])) < 4000

@@ -80,7 +80,8 @@ _RUNS = ("  ", "\n\n", " \n", "\n ")
 
 
 class Encoder:
-    """The tokenizer with a bounded memory of the pieces it has encoded.
+    """The tokenizer with a bounded memory of the pieces it has encoded: twice ``remember``
+    pieces, and 16 times as many characters, beside those of the texts at hand.
 
     Between two characters that are not white space, a single blank or line feed is
     always the start of a new piece for this kind of tokenizer, and so is a comma or full
@@ -94,7 +95,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.remember, self.at_once = remember, at_once
-        self.forget()
+        self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
+        self.held = 0  # characters of the known pieces
         # What the rules below rely on, and the one id of a line feed; else texts stay whole.
         kind = json.loads(self.tokenizer.to_str())
         before = kind["pre_tokenizer"] or {}
@@ -102,10 +105,6 @@ class Encoder:
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.feed = line[0] if len(line) == 1 else None
 
-    def forget(self) -> None:
-        self.known: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
-
     def encode(self, batch: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; ``at_once``
         characters of texts are cut into pieces at a time."""
@@ -118,9 +117,9 @@ class Encoder:
         yield from self._encode(batch[first:])
 
     def _encode(self, batch: list[str]) -> list[bytes]:
-        if len(self.known) > self.remember:
+        if len(self.known) > self.remember or self.held > 16 * self.remember:
             # Of the pieces met so far, those that come again are kept for as long once more.
-            self.known, self.earlier = {}, self.known
+            self.known, self.earlier, self.held = {}, self.known, 0
         get = self.known.get
         cut = [self._pieces(t) if self.cuts else None for t in batch]
         found = [pieces and list(map(get, pieces)) for pieces in cut]
@@ -129,6 +128,7 @@ class Encoder:
             earlier = self.earlier
             again = {p: earlier[p] for p in missing if p in earlier}
             self.known.update(again)
+            self.held += sum(map(len, missing))
             self._learn(missing - again.keys())
             found = [list(map(get, pieces)) if pieces and None in ids else ids for pieces, ids in zip(cut, found)]
         return [self._whole(t) if ids is None else b"".join(ids) for t, ids in zip(batch, found)]
@@ -171,7 +171,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder a Python worker."""
+    """One encoder a Python worker, whose tasks all use what it remembers."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -198,10 +198,7 @@ def write_records(df: DataFrame, path: str, tokenizer: str, *, id_col: str = "do
         # The writer adds the line feed that closes a frame.
         return {"frame": [frame(i, np.frombuffer(e + end, "<u4"))[:-1] for i, e in zip(b.column("doc_id").to_pylist(), found)]}
 
-    def forget() -> None:  # a worker lives on after its task
-        encoder(tokenizer).forget()
-
-    frames = map_rows(dealt, fn, "frame binary", forget)
+    frames = map_rows(dealt, fn, "frame binary")
     frames.select(F.col("frame").cast("string").alias("frame")).write.option("lineSep", "\n").text(path)
 
 
