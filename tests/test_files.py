@@ -470,3 +470,36 @@ def test_new_rows_leave_the_files_of_their_partition_alone(spark, frame, root):
     assert got == [("a", 1, 1), ("b", 9, 1), ("c", 3, 1), ("d", 4, 2), ("e", 5, 1), ("f", 6, 2)]
     ids = {r.k: r.id for r in spark.read.table(name).collect()}
     assert {k: ids[k] for k in "abcd"} == {"a": 4, "b": 1, "c": 2, "d": 3} and {ids["e"], ids["f"]} == {5, 6}
+
+
+def test_upsert_writes_aside_only_what_differs(spark, frame, root, monkeypatch):
+    """Of many orders one is new, one brings a corrected line, one only a line more, and one
+    has moved to another month: the others' lines are neither written aside nor joined."""
+    from tradewind.sinks import tables
+
+    ddl, path, name = "o string, p int, v int, m int", f"{root}/groups", "group_parts"
+    sinks.save_table(frame([], f"{ddl}, id bigint").select("o", "p", "v", "id", "m"), name, path, ["m"])
+
+    def load(version, lines):
+        sinks.upsert_partitions(frame(lines, ddl), name, path, ["o", "p"], "m", (f"{root}/groups-feed/{version}", version), "id")
+        return rows(spark.read.parquet(f"{root}/groups-feed/{version}").select("_change_type", "o", "p", "v", "m"))
+
+    first = [(f"o{k}", p, None if k % 9 == 0 else k, 1 + k % 3) for k in range(60) for p in (1, 2)]
+    assert len(load(0, first)) == 120
+    ids = {(r.o, r.p): r.id for r in spark.read.table(name).collect()}
+    aside = []
+    write = tables.stored
+    monkeypatch.setattr(tables, "stored", lambda df, label: aside.append((label, (out := write(df, label)).count())) or out)
+    assert load(1, first) == [] and max(n for _, n in aside) == 0
+    aside.clear()
+    # o4 comes with its second line alone; o6 has left month 1 for one that no order was in.
+    later = [r for r in first if r[0] not in ("o3", "o4", "o6", "o8")]
+    later += [("o3", 1, 3, 1), ("o3", 2, 0, 1), ("o4", 2, 4, 2), ("o6", 1, 6, 7), ("o6", 2, 6, 7), ("o8", 1, 8, 3), ("o8", 2, 8, 3), ("o8", 3, 8, 3), ("new", 1, 5, 2)]
+    want = [("insert", "new", 1, 5, 2), ("insert", "o8", 3, 8, 3), ("update_postimage", "o3", 2, 0, 1), ("update_postimage", "o6", 1, 6, 7), ("update_postimage", "o6", 2, 6, 7)]
+    want += [("update_preimage", "o3", 2, 3, 1), ("update_preimage", "o6", 1, 6, 1), ("update_preimage", "o6", 2, 6, 1)]
+    assert load(2, later) == want
+    assert max(n for label, n in aside if label in ("unlike", "differ")) <= 10
+    assert rows(spark.read.table(name).select("o", "p", "v", "m")) == rows(frame(later + [("o4", 1, 4, 2)], ddl))
+    now = {(r.o, r.p): r.id for r in spark.read.table(name).collect()}
+    assert {k: now[k] for k in ids} == ids and {now["new", 1], now["o8", 3]} == {121, 122}
+    assert load(3, later) == []

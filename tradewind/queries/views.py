@@ -97,10 +97,17 @@ def k7_load_curated(spark, d):
     sinks.append(items.where(late), curated["items"])
     fact = spark.read.table(warehouse.load_curated(spark, prefix, root, curated)["fact_order_items"])
     number, known = F.col("order_item_id"), F.count_if(~late)
-    found = fact.agg(
-        F.count(F.lit(1)).cast("double").alias("rows"), F.sum("line_total").cast("double").alias("revenue"),
-        F.max(number).cast("double").alias("highest number"), F.countDistinct(number).cast("double").alias("different numbers"),
-        F.count_if(~late & (number <= fact.agg(known).scalar())).cast("double").alias("first load has the lowest"),
+    # Different numbers as bitmaps of some 30,000 each; a number lies in one bitmap only.
+    first = fact.agg(known.alias("known")).select("known").scalar()
+    marked = fact.select("line_total", number.alias("number"), (~late & (number <= first)).alias("lowest"), F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("bit"))
+    parts = marked.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("line_total").alias("revenue"), F.max("number").alias("highest"),
+        F.bitmap_count(F.bitmap_construct_agg("bit")).alias("different"), F.count_if("lowest").alias("lowest"),
+    )
+    found = parts.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("double").alias("rows"), F.sum("revenue").cast("double").alias("revenue"),
+        F.max("highest").cast("double").alias("highest number"), F.coalesce(F.sum("different"), F.lit(0)).cast("double").alias("different numbers"),
+        F.coalesce(F.sum("lowest"), F.lit(0)).cast("double").alias("first load has the lowest"),
     )
     return found.unpivot([], found.columns, "measure", "value")
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.changes import change_feed, checksum, feed_of
+from ..operators.changes import change_feed, feed_of
 from ..operators.identity import with_identity
 from ..operators.joins import split_join
 from ..sources.fs import exists
@@ -76,11 +77,13 @@ def upsert_partitions(
     only partitions whose rows change are written, and none if no row does. One that only
     gets new rows gets them in files of their own; its others stay.
 
-    A row whose ``part`` has changed leaves its old partition; to find it, the ``keys`` of
-    the other partitions are read, and no other column. ``feed`` (a path and a version)
-    keeps the row changes, before the table is touched. ``number`` names a column that
-    ``df`` lacks: a row the table has keeps its number, new ones go on from the highest, by
-    ``part`` and ``keys``: rows so numbered lie in the order of the directories.
+    A row whose ``part`` has changed leaves its old partition. Rows are compared in groups of
+    the first of ``keys`` (an order's lines), of which none should hold many rows: the table is
+    summed to a line a group, and only rows of groups that are not the same are written aside
+    and, if the table has the group, joined. ``feed`` (a path and a version) keeps the row
+    changes, before the table is touched. ``number`` names a column that ``df`` lacks: a row
+    the table has keeps its number, new ones go on from the highest, by ``part`` and ``keys``:
+    rows so numbered lie in the order of the directories.
     """
     spark = df.sparkSession
     table = spark.read.table(name)
@@ -88,47 +91,63 @@ def upsert_partitions(
         rows = with_identity(df, [part, *keys], number, unique=True) if number else stored(df, "upsert")
         _fill_partitions(rows, name, path, part, feed, gathered=number is not None)
         return
-    new = stored(df, "upsert")
-    here = stored(new.select(part).distinct(), "touched")
-    # Partitions that hold the same rows already, by count and two checksums, need no join.
-    cols = [c for c in table.columns if c != number]
-    now = _sums(new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema if f.name != number]), cols, part)
-    same = now.join(_sums(_in_parts(table, here, part), cols, part), [part, *_SUMS], "left_semi")
-    other = stored(now.select(part).join(same, part, "left_anti"), "touched")
-    new = _in_parts(new, other, part)
-    elsewhere = split_join(table.select(part).distinct(), here, part, "left_anti")
-    touched = other
-    if not elsewhere.isEmpty():
-        moved = split_join(split_join(table.select(*keys, part), here, part, "left_anti"), new.select(*keys), keys, "left_semi")
-        touched = stored(moved.select(part).union(other).distinct(), "touched")
-    concerned = _in_parts(table, touched, part)
-    differ = stored(_differing(concerned, new, keys, number), "differ")
+    new = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema if f.name != number])
+    unlike = stored(_unlike(new, table.select(*new.columns), keys[0], part), "unlike")
+    come = _as_new(unlike.where("_lo IS NULL"), table, keys, number)
+    lo, hi = unlike.agg(F.min("_lo"), F.max("_hi")).first()
+    known = None
+    if lo is not None:
+        met = unlike.where("_lo IS NOT NULL")
+        concerned = split_join(table.where(F.col(part).between(lo, hi)), met.select(keys[0]).distinct(), keys[0], "left_semi")
+        differ = stored(_differing(concerned, met.select(*new.columns), keys, number), "differ")
+        come = come.unionByName(differ.where(F.col("_old").isNull()))
+        known = differ.where(F.col("_old").isNotNull())
     if number:
-        differ = _with_numbers(differ, table, [f"_new.{part}", *keys], number)
+        highest = table.agg(F.max(number)).first()[0] or 0
+        come = with_identity(come, [f"_new.{part}", *keys], "_number", highest + 1, unique=True)
+        come = come.withColumn("_new", F.col("_new").withField(number, F.col("_number"))).drop("_number")
+    both = come if known is None else known.unionByName(come)
     if feed and not exists(spark, f"{feed[0]}/_SUCCESS"):
-        feed_of(differ, keys, table.columns, feed[1]).write.mode("overwrite").parquet(feed[0])
+        feed_of(both, keys, table.columns, feed[1]).write.mode("overwrite").parquet(feed[0])
     kinds = {f.name: f.dataType for f in table.schema}
     values = [(F.col(c) if c in set(keys) else F.col(f"_new.{c}")).cast(kinds[c]).alias(c) for c in table.columns]
-    known = differ.where(F.col("_old").isNotNull())
-    touched = stored(known.select(F.explode(F.array(f"_old.{part}", f"_new.{part}")).alias(part)).distinct(), "touched")
-    come = differ.where(F.col("_old").isNull()).select(*values)
-    if not touched.isEmpty():
-        kept = split_join(_in_parts(concerned, touched, part), differ.select(*keys), keys, "left_anti")
-        rows = split_join(differ.select(*values), touched, part, "left_semi")
-        replace_partitions(stored(kept.unionByName(rows).select(*table.columns), "upsert"), path, part, touched)
-        come = split_join(come, touched, part, "left_anti")
+    rest = come.select(*values)
+    if known is not None:
+        touched = stored(known.select(F.explode(F.array(f"_old.{part}", f"_new.{part}")).alias(part)).distinct(), "touched")
+        if not touched.isEmpty():
+            kept = split_join(_in_parts(table, touched, part), known.select(*keys), keys, "left_anti")
+            rows = split_join(both.select(*values), touched, part, "left_semi")
+            replace_partitions(stored(kept.unionByName(rows).select(*table.columns), "upsert"), path, part, touched)
+            rest = split_join(rest, touched, part, "left_anti")
     # A try that was cut off here finds the rows that came, as they are, when it is repeated.
-    append_partitioned(come.select(*table.columns), path, part, gathered=number is not None)
+    append_partitioned(rest.select(*table.columns), path, part, gathered=number is not None)
     _list_partitions(spark, name)
 
 
-_SUMS = ["_rows", "_one", "_two"]
-
-
-def _sums(df: DataFrame, cols: Sequence[str], part: str) -> DataFrame:
-    """One line for each partition: its rows and two checksums of them."""
-    sums = [F.count(F.lit(1)), checksum(cols, 1), checksum(cols, 2)]
-    return df.groupBy(part).agg(*[s.alias(name) for s, name in zip(sums, _SUMS)])
+def _unlike(new: DataFrame, table: DataFrame, group: str, part: str) -> DataFrame:
+    """The rows of ``new`` whose ``group`` is not the same in ``table``, by count and two
+    checksums, with the least and the highest ``part`` (``_lo``, ``_hi``) that has the group
+    there; null if none has."""
+    # Null or not goes in as well: a null alone leaves a hash as it is. Keys are unique, so
+    # that no two rows cancel each other out.
+    cells = [x for c in new.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    marks = {f"_{k}": F.xxhash64(F.lit(k), *cells) for k in (1, 2)}
+    there = table.withColumns(marks).groupBy(group).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.bit_xor(m).alias(f"{m}_there") for m in marks], F.min(part).alias("_lo"), F.max(part).alias("_hi")
+    )
+    rows = Window.partitionBy(group)
+    here = new.withColumns(marks).withColumns({"_rows": F.count(F.lit(1)).over(rows), **{m: F.bit_xor(m).over(rows) for m in marks}})
+    same = F.col("_rows").eqNullSafe(F.col("_n"))
+    for m in marks:
+        same = same & F.col(m).eqNullSafe(F.col(f"{m}_there"))
+    return here.join(there, group, "left").where(~same).select(*new.columns, "_lo", "_hi")
+
+
+def _as_new(rows: DataFrame, table: DataFrame, keys: Sequence[str], number: str | None) -> DataFrame:
+    """``rows`` that the table lacks as :func:`_differing` gives them."""
+    rest = T.StructType([f for f in table.schema if f.name not in set(keys)])
+    cells = [F.lit(None).cast(f.dataType).alias(f.name) if f.name == number else F.col(f.name) for f in rest]
+    return rows.select(*keys, F.lit(None).cast(rest).alias("_old"), F.struct(*cells).alias("_new"))
 
 
 def _fill_partitions(new: DataFrame, name: str, path: str, part: str, feed: tuple[str, int] | None, gathered: bool) -> None:
@@ -169,14 +188,6 @@ def _differing(table: DataFrame, new: DataFrame, keys: Sequence[str], number: st
     return both.where(~same).select(*keys, "_old", F.struct(*now).alias("_new"))
 
 
-def _with_numbers(differ: DataFrame, table: DataFrame, order: Sequence[str], number: str) -> DataFrame:
-    """The numbers of new rows, put into their ``_new``."""
-    highest = table.agg(F.max(number)).first()[0] or 0
-    come = with_identity(differ.where(F.col("_old").isNull()), order, "_number", highest + 1, unique=True)
-    come = come.withColumn("_new", F.col("_new").withField(number, F.col("_number"))).drop("_number")
-    return differ.where(F.col("_old").isNotNull()).unionByName(come)
-
-
 def bucketed_table(df: DataFrame, name: str, key: str, buckets: int, sort: Sequence[str] | None = None, path: str | None = None) -> DataFrame:
     """Table ``name`` hashed into ``buckets`` by ``key``: joins and aggregates on
     ``key`` between such tables need no exchange.
