@@ -138,3 +138,13 @@ def test_memory_of_pieces_is_bounded_in_characters():
     ids = [encoder.encode([w]).__next__() for w in words]
     assert ids == [encoder._whole(w) for w in words]
     assert sum(map(len, [*encoder.known, *encoder.earlier])) < 4000
+
+
+def test_words_of_letters_are_merged_as_they_are():
+    """Without the tokenizer's own splitting; a word met with its comma only is not kept."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = token_files.Encoder(path)
+    texts = ["don't naïve ʰx Ωmega 漢字 x.y", "", "ªº µ ˈa Ⅷ ① ǅ ﬁne", "Érévion, lonely.\nwords là ÿes ʯ ß × ÷ z", "a"]
+    assert encoder.plain
+    assert list(encoder.encode(texts)) == [encoder._whole(t) for t in texts]
+    assert "Érévion," in encoder.known and "Érévion" not in encoder.known

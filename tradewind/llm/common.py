@@ -34,24 +34,24 @@ def schema_of(ddl: str) -> T.StructType:
 SLICE_BYTES = 2 << 20
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every row, in batches of about ``SLICE_BYTES``: Python objects take several times
+def _slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Every row, in batches of about ``size`` bytes: Python objects take several times
     the bytes of the texts they are made from."""
     for b in batches:
         if b.num_rows:
-            step = max(1, b.num_rows // max(1, b.nbytes // SLICE_BYTES))
+            step = max(1, b.num_rows // max(1, b.nbytes // size))
             for first in range(0, b.num_rows, step):
                 yield b.slice(first, step)
 
 
-def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object] | None], ddl: str, done: Callable[[], None] = lambda: None) -> DataFrame:
+def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object] | None], ddl: str, done: Callable[[], None] = lambda: None, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``fn`` on every Arrow batch; it returns the columns of ``ddl`` by name. ``done`` is
     called when a task has no more batches."""
     spark_schema = schema_of(ddl)
     arrow = to_arrow_schema(spark_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches):
+        for b in _slices(batches, slice_bytes):
             if (out := fn(b)) is not None:
                 yield pa.RecordBatch.from_arrays([_array(out[f.name], f.type) for f in arrow], schema=arrow)
         done()

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -31,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +42,7 @@ from .common import documents, map_rows, texts
 
 END_ID = 2
 FILE_BYTES = 16 << 20  # of text a file, at least
+SLICE_BYTES = 6 << 20  # of text encoded at a time
 MOST_FILES = 100_000
 
 _MASK = 0xA282EAD8  # fixed value
@@ -77,6 +80,13 @@ def read_frame(data: memoryview | bytes, at: int) -> tuple[int | str | None, np.
 # White space besides blank and line feed.
 _OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _RUNS = ("  ", "\n\n", " \n", "\n ")
+# A word of Latin letters, which all versions of Unicode agree on; and the alphabet of
+# byte-level models: bytes that print stand for themselves, the others follow from U+0100 on.
+_LATIN = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ʯ]+").fullmatch
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_HIDDEN = [b for b in range(256) if b not in _SHOWN]
+_SHOWN_AS = np.array([b if b in _SHOWN else 256 + _HIDDEN.index(b) for b in range(256)], "<u4")
+_SHOWN_AS[0] = 0  # no word has it: it sets words off
 
 
 class Encoder:
@@ -90,7 +100,7 @@ class Encoder:
     texts if the file is of another kind.
     """
 
-    def __init__(self, path: str, remember: int = 300_000, at_once: int = 1 << 20) -> None:
+    def __init__(self, path: str, remember: int = 300_000, at_once: int = SLICE_BYTES) -> None:
         # A task has one core; the library's threads would only wait for each other.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
@@ -102,6 +112,9 @@ class Encoder:
         kind = json.loads(self.tokenizer.to_str())
         before = kind["pre_tokenizer"] or {}
         self.cuts = before.get("type") == "ByteLevel" and before.get("use_regex", False) and not before.get("add_prefix_space") and kind["normalizer"] is None
+        # No added token is cut out of words of letters.
+        self.plain = self.cuts and all(any(not c.isalpha() and c != " " for c in t["content"]) for t in kind["added_tokens"])
+        self.model = self.tokenizer.model
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.feed = line[0] if len(line) == 1 else None
 
@@ -120,25 +133,47 @@ class Encoder:
         if len(self.known) > self.remember or self.held > 16 * self.remember:
             # Of the pieces met so far, those that come again are kept for as long once more.
             self.known, self.earlier, self.held = {}, self.known, 0
-        get = self.known.get
-        cut = [self._pieces(t) if self.cuts else None for t in batch]
-        found = [pieces and list(map(get, pieces)) for pieces in cut]
-        missing = {p for pieces, ids in zip(cut, found) if pieces and None in ids for p, i in zip(pieces, ids) if i is None}
+        cut = [self._cut(t) if self.cuts else None for t in batch]
+        found = iter(self._by_pieces([t for t in cut if t is not None]))
+        return [self._whole(t) if c is None else next(found) for t, c in zip(batch, cut)]
+
+    def _by_pieces(self, cut: list[str]) -> list[bytes]:
+        """The ids of texts whose pieces are set off; Arrow finds the different pieces and puts
+        their ids together, so that Python looks at each of those once."""
+        if not cut:
+            return []
+        lists = pc.split_pattern(pa.array(cut, pa.large_string()), "\x00")
+        pieces = lists.flatten().dictionary_encode()
+        different = pieces.dictionary.to_pylist()
+        known, earlier = self.known, self.earlier
+        missing = {p for p in different if p not in known}
         if missing:
-            earlier = self.earlier
             again = {p: earlier[p] for p in missing if p in earlier}
-            self.known.update(again)
+            known.update(again)
             self.held += sum(map(len, missing))
             self._learn(missing - again.keys())
-            found = [list(map(get, pieces)) if pieces and None in ids else ids for pieces, ids in zip(cut, found)]
-        return [self._whole(t) if ids is None else b"".join(ids) for t, ids in zip(batch, found)]
+        ids = pa.array([known[p] for p in different], pa.large_binary()).take(pieces.indices)
+        _, ends, data = ids.buffers()
+        at = np.frombuffer(ends, np.int64)[lists.offsets.to_numpy()].tolist()
+        view = memoryview(data or b"")
+        return [bytes(view[i:j]) for i, j in zip(at, at[1:])]
 
     def _learn(self, pieces: set[str]) -> None:
-        """Encode new pieces, many in one text: a line feed behind a piece sets it off. What is
-        not just letters behind a blank is encoded by itself."""
+        """Encode new pieces. Latin letters, with or without a blank before them, are one word
+        that the merges take as it is; other letters are encoded many in one text, as a line feed
+        behind a piece sets it off, and what is not just letters by itself."""
         known = self.known
         ends = {p for p in pieces if len(p) > 2 and p[-1] in ",." and p[-2].isalpha()}
-        todo = [p for p in (pieces - ends) | {p[:-1] for p in ends} | {p[-1] for p in ends} if p not in known]
+        parts = {p[:-1] for p in ends} | {p[-1] for p in ends}
+        todo = [p for p in (pieces - ends) | parts if p not in known]
+        extra = parts.difference(pieces, known)
+        if self.plain:
+            merged, latin = self.model.tokenize, list(filter(_LATIN, todo))
+            for first in range(0, len(latin), 4000):
+                some = latin[first : first + 4000]
+                shown = _SHOWN_AS[np.frombuffer("\x00".join(some).encode(), np.uint8)].tobytes().decode("utf-32-le")
+                known.update((p, array("I", [t.id for t in merged(w)]).tobytes()) for p, w in zip(some, shown.split("\x00")))
+            todo = [p for p in todo if p not in known]
         words = [p for p in todo if p.removeprefix(" ").isalpha()]
         feed = self.feed
         for first in range(0, len(words), 4000) if feed is not None else ():
@@ -154,17 +189,21 @@ class Encoder:
             known[p] = array("I", e.ids).tobytes()
         for p in ends:
             known[p] = known[p[:-1]] + known[p[-1]]
+        # Words met with their comma only take no place of their own.
+        for p in extra:
+            del known[p]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     @staticmethod
-    def _pieces(text: str) -> list[str] | None:
+    def _cut(text: str) -> str | None:
+        """The text with its pieces set off, or None if that cannot be told."""
         if not text:
-            return []
+            return ""
         if "<|" in text or "\x00" in text or text[0] in " \n" or text[-1] in " \n" or any(c in text for c in _RUNS) or any(c in text for c in _OTHER_SPACE):
             return None
-        return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
+        return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ")
 
 
 _encoders: dict[str, Encoder] = {}
@@ -198,7 +237,8 @@ def write_records(df: DataFrame, path: str, tokenizer: str, *, id_col: str = "do
         # The writer adds the line feed that closes a frame.
         return {"frame": [frame(i, np.frombuffer(e + end, "<u4"))[:-1] for i, e in zip(b.column("doc_id").to_pylist(), found)]}
 
-    frames = map_rows(dealt, fn, "frame binary")
+    # The more texts at once, the fewer pieces are looked up again.
+    frames = map_rows(dealt, fn, "frame binary", slice_bytes=SLICE_BYTES)
     frames.select(F.col("frame").cast("string").alias("frame")).write.option("lineSep", "\n").text(path)
 
 
