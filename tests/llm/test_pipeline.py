@@ -4,6 +4,7 @@ max-plus scan through ``encode``; ids of other types."""
 from __future__ import annotations
 
 import os
+import sys
 from collections import Counter
 
 import brute
@@ -148,3 +149,31 @@ def test_words_of_letters_are_merged_as_they_are():
     assert encoder.plain
     assert list(encoder.encode(texts)) == [encoder._whole(t) for t in texts]
     assert "Érévion," in encoder.known and "Érévion" not in encoder.known
+
+
+def test_new_words_cost_no_calls_each_and_little_room():
+    """Words are looked up, encoded and kept as columns; Python makes no call for each."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    parts = ["ba", "rio", "thé", "ñu", "ling", "sto", "qué", "wer", "lon", "ü", "zim", "ka"]
+    words = [f"{a}{b}{c}{d}" for a in parts for b in parts for c in parts for d in parts[:4]]
+    encoder, calls = token_files.Encoder(path), Counter()
+    text = " ".join(words)
+    before = sys.getprofile()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        (ids,) = encoder.encode([text])
+    finally:
+        sys.setprofile(before)
+    assert ids == encoder._whole(text)
+    assert calls.total() < len(words) / 2
+    assert encoder.known.pieces.nbytes + encoder.known.ids.nbytes < 80 * len(words)
+
+
+def test_words_with_and_without_their_end_are_found_wherever_they_are_kept():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["the cat, sat", "the, cat sat.", "", "да, нет. 漢, x.", "да нет 漢 x", "a,", ",", "., a. 3, 3.", "é, é", "cat", "don't, can't. don't", "the, the. the", "ⅷ, 🙂. a🙂,"]
+    for remember, at_once in ((0, 1), (3, 1), (3, 30), (1000, 1), (1000, 1000)):
+        encoder = token_files.Encoder(path, remember=remember, at_once=at_once)
+        for batch in (texts, texts[::-1], texts):
+            assert list(encoder.encode(batch)) == [encoder._whole(t) for t in batch]
+        assert len(set(encoder.known)) == len(encoder.known)

@@ -23,12 +23,11 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -79,14 +78,38 @@ def read_frame(data: memoryview | bytes, at: int) -> tuple[int | str | None, np.
 
 # White space besides blank and line feed.
 _OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_ASCII_SPACE = [c for c in _OTHER_SPACE if c < "\x80"]
 _RUNS = ("  ", "\n\n", " \n", "\n ")
 # A word of Latin letters, which all versions of Unicode agree on; and the alphabet of
 # byte-level models: bytes that print stand for themselves, the others follow from U+0100 on.
-_LATIN = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ʯ]+").fullmatch
+_LATIN = "^[ ]?[A-Za-zÀ-ÖØ-öø-ʯ]+$"
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _HIDDEN = [b for b in range(256) if b not in _SHOWN]
 _SHOWN_AS = np.array([b if b in _SHOWN else 256 + _HIDDEN.index(b) for b in range(256)], "<u4")
 _SHOWN_AS[0] = 0  # no word has it: it sets words off
+_ID = attrgetter("id")
+
+
+def _binary(sizes: np.ndarray, data: bytes) -> pa.Array:
+    """``data`` cut into values of so many bytes."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+class Known:
+    """Different pieces and the ids of each, side by side in Arrow: some 40 bytes a piece."""
+
+    def __init__(self) -> None:
+        self.pieces, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def add(self, pieces: pa.Array, ids: pa.Array) -> None:
+        self.pieces, self.ids = pa.concat_arrays([self.pieces, pieces]), pa.concat_arrays([self.ids, ids])
+
+    def __len__(self) -> int:
+        return len(self.pieces)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.pieces.to_pylist())
 
 
 class Encoder:
@@ -105,8 +128,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.remember, self.at_once = remember, at_once
-        self.known: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
+        self.known, self.earlier = Known(), Known()
         self.held = 0  # characters of the known pieces
         # What the rules below rely on, and the one id of a line feed; else texts stay whole.
         kind = json.loads(self.tokenizer.to_str())
@@ -117,6 +139,7 @@ class Encoder:
         self.model = self.tokenizer.model
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.feed = line[0] if len(line) == 1 else None
+        self.marks = pa.array([self._whole(","), self._whole(".")], pa.large_binary())
 
     def encode(self, batch: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; ``at_once``
@@ -132,66 +155,96 @@ class Encoder:
     def _encode(self, batch: list[str]) -> list[bytes]:
         if len(self.known) > self.remember or self.held > 16 * self.remember:
             # Of the pieces met so far, those that come again are kept for as long once more.
-            self.known, self.earlier, self.held = {}, self.known, 0
+            self.known, self.earlier, self.held = Known(), self.known, 0
         cut = [self._cut(t) if self.cuts else None for t in batch]
         found = iter(self._by_pieces([t for t in cut if t is not None]))
         return [self._whole(t) if c is None else next(found) for t, c in zip(batch, cut)]
 
     def _by_pieces(self, cut: list[str]) -> list[bytes]:
-        """The ids of texts whose pieces are set off; Arrow finds the different pieces and puts
-        their ids together, so that Python looks at each of those once."""
+        """The ids of texts whose pieces are set off; Arrow finds the different pieces, looks
+        them up and puts their ids together, so that Python looks at each new one only."""
         if not cut:
             return []
         lists = pc.split_pattern(pa.array(cut, pa.large_string()), "\x00")
         pieces = lists.flatten().dictionary_encode()
-        different = pieces.dictionary.to_pylist()
-        known, earlier = self.known, self.earlier
-        missing = {p for p in different if p not in known}
-        if missing:
-            again = {p: earlier[p] for p in missing if p in earlier}
-            known.update(again)
-            self.held += sum(map(len, missing))
-            self._learn(missing - again.keys())
-        ids = pa.array([known[p] for p in different], pa.large_binary()).take(pieces.indices)
+        ids = self._ids(pieces.dictionary).take(pieces.indices)
         _, ends, data = ids.buffers()
         at = np.frombuffer(ends, np.int64)[lists.offsets.to_numpy()].tolist()
         view = memoryview(data or b"")
         return [bytes(view[i:j]) for i, j in zip(at, at[1:])]
 
-    def _learn(self, pieces: set[str]) -> None:
+    def _ids(self, pieces: pa.Array) -> pa.Array:
+        """The ids of different pieces, which are then known."""
+        n, before = len(pieces), len(self.known)
+        last = pc.binary_slice(pieces.cast(pa.large_binary()), -1)
+        ended = np.flatnonzero(pc.is_in(last, pa.array([b",", b"."], pa.large_binary())))
+        ended = ended[pc.match_substring_regex(pieces.take(ended), r"\pL[,.]$").to_numpy(zero_copy_only=False)]
+        # What stands before a comma or full stop is looked up with the pieces.
+        asked = pa.concat_arrays([pieces, pc.utf8_slice_codeunits(pieces.take(ended), 0, -1)])
+        held = pa.concat_arrays([self.known.pieces, self.earlier.pieces])
+        place = pc.index_in(asked, held).fill_null(-1).to_numpy().astype(np.int64)
+        by_end = np.flatnonzero(place[ended] < 0)
+        new = place < 0
+        new[ended] = False
+        new[n:] = False
+        new[n + by_end] = place[n + by_end] < 0
+        todo = asked.filter(pa.array(new)).dictionary_encode()
+        place[new] = len(held) + todo.indices.to_numpy()
+        ids = pa.concat_arrays([self.known.ids, self.earlier.ids, self._learn(todo.dictionary)])
+        # A piece that is new but for its end.
+        marks = self.marks.take(pc.equal(last.take(ended[by_end]), b".").cast(pa.int8()))
+        place[ended[by_end]] = len(ids) + np.arange(len(by_end))
+        ids = pa.concat_arrays([ids, pc.binary_join_element_wise(ids.take(place[n + by_end]), marks, pa.scalar(b"", pa.large_binary()))])
+        found = ids.take(place[:n])
+        # Words met with their comma only take no place of their own.
+        added = pa.array((place[:n] < 0) | (place[:n] >= before))
+        self.known.add(pieces.filter(added), found.filter(added))
+        self.held += pc.sum(pc.utf8_length(pieces.filter(added))).as_py() or 0
+        return found
+
+    def _learn(self, pieces: pa.Array) -> pa.Array:
         """Encode new pieces. Latin letters, with or without a blank before them, are one word
         that the merges take as it is; other letters are encoded many in one text, as a line feed
         behind a piece sets it off, and what is not just letters by itself."""
-        known = self.known
-        ends = {p for p in pieces if len(p) > 2 and p[-1] in ",." and p[-2].isalpha()}
-        parts = {p[:-1] for p in ends} | {p[-1] for p in ends}
-        todo = [p for p in (pieces - ends) | parts if p not in known]
-        extra = parts.difference(pieces, known)
+        places, sizes, parts = [], [], []
+
+        def learned(where: np.ndarray, n_ids: np.ndarray, ids: np.ndarray) -> None:
+            places.append(where)
+            sizes.append(4 * n_ids)
+            parts.append(ids.tobytes())
+
+        todo = np.arange(len(pieces))
         if self.plain:
-            merged, latin = self.model.tokenize, list(filter(_LATIN, todo))
-            for first in range(0, len(latin), 4000):
-                some = latin[first : first + 4000]
-                shown = _SHOWN_AS[np.frombuffer("\x00".join(some).encode(), np.uint8)].tobytes().decode("utf-32-le")
-                known.update((p, array("I", [t.id for t in merged(w)]).tobytes()) for p, w in zip(some, shown.split("\x00")))
-            todo = [p for p in todo if p not in known]
-        words = [p for p in todo if p.removeprefix(" ").isalpha()]
-        feed = self.feed
-        for first in range(0, len(words), 4000) if feed is not None else ():
-            some = words[first : first + 4000]
-            lines = ["\n".join([*some[k : k + 200], ""]) for k in range(0, len(some), 200)]
+            latin = pc.match_substring_regex(pieces, _LATIN).to_numpy(zero_copy_only=False)
+            where, todo = np.flatnonzero(latin), np.flatnonzero(~latin)
+            for first in range(0, len(where), 4000):
+                some = where[first : first + 4000]
+                text = "\x00".join(pieces.take(some).to_pylist()).encode()
+                shown = _SHOWN_AS[np.frombuffer(text, np.uint8)].tobytes().decode("utf-32-le")
+                words = list(map(self.model.tokenize, shown.split("\x00")))
+                learned(some, np.fromiter(map(len, words), np.int64, len(words)), np.fromiter(map(_ID, chain.from_iterable(words)), np.uint32))
+        names = pieces.take(todo).to_pylist()
+        letters = np.fromiter((p.removeprefix(" ").isalpha() for p in names), bool, len(names))
+        rest = [np.flatnonzero(~letters)]
+        letters, feed = np.flatnonzero(letters), self.feed
+        for first in range(0, len(letters), 4000):
+            some = letters[first : first + 4000]
+            lines = ["\n".join([*(names[i] for i in some[k : k + 200]), ""]) for k in range(0, len(some), 200)]
             ids = np.fromiter(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)), np.uint32)
-            last = np.flatnonzero(ids == feed)
+            last = np.flatnonzero(ids == feed) if feed is not None else []
             if len(last) == len(some):
-                raw, at = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
-                known.update((p, raw[i : j - 4]) for p, i, j in zip(some, at, at[1:]))
-        rest = [p for p in todo if p not in known]
-        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            known[p] = array("I", e.ids).tobytes()
-        for p in ends:
-            known[p] = known[p[:-1]] + known[p[-1]]
-        # Words met with their comma only take no place of their own.
-        for p in extra:
-            del known[p]
+                learned(todo[some], np.diff(last, prepend=-1) - 1, np.delete(ids, last))
+            else:
+                rest.append(some)
+        for first in range(0, len(alone := np.concatenate(rest)), 4000):
+            some = alone[first : first + 4000]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([names[i] for i in some], add_special_tokens=False)]
+            learned(todo[some], np.fromiter(map(len, found), np.int64, len(found)), np.fromiter(chain.from_iterable(found), np.uint32))
+        if not places:
+            return pa.array([], pa.large_binary())
+        order = np.empty(len(pieces), np.int64)
+        order[np.concatenate(places)] = np.arange(len(pieces))
+        return _binary(np.concatenate(sizes), b"".join(parts)).take(order)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -201,7 +254,7 @@ class Encoder:
         """The text with its pieces set off, or None if that cannot be told."""
         if not text:
             return ""
-        if "<|" in text or "\x00" in text or text[0] in " \n" or text[-1] in " \n" or any(c in text for c in _RUNS) or any(c in text for c in _OTHER_SPACE):
+        if "<|" in text or "\x00" in text or text[0] in " \n" or text[-1] in " \n" or any(c in text for c in _RUNS) or any(c in text for c in (_ASCII_SPACE if text.isascii() else _OTHER_SPACE)):
             return None
         return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ")
 
