@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import sys
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -112,3 +113,34 @@ def test_spans_cover_every_text(spark):
     found = sorted((r["start"], r["end"]) for r in align.spans(align.align(df, A, B)).collect())
     assert found[0][0] == 0 and found[-1][1] == len(" ﬁ 😀 words".encode())
     assert all(a[1] == b[0] for a, b in zip(found, found[1:]))
+
+
+def test_new_words_cost_no_calls_each_and_little_room():
+    """Words are looked up, aligned and kept as columns; Python makes no call for each."""
+    parts = ["ba", "rio", "thé", "ñu", "ling", "sto", "qué", "wer", "lon", "ü", "zim", "ka"]
+    words = [f"{a}{b}{c}{d}" for a in parts for b in parts for c in parts for d in parts[:4]]
+    both, calls = align.Aligner(A, B), Counter()
+    text = " ".join(words)
+    before = sys.getprofile()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        found = both.align([text])
+    finally:
+        sys.setprofile(before)
+    both.cuttable = False
+    assert found == both.align([text])
+    assert calls.total() < 2 * len(words)
+    assert both.known.num_rows == len(words) and both.known.nbytes < 200 * len(words)
+
+
+def test_words_with_and_without_their_end_are_found_wherever_they_are_kept():
+    texts = [t for _, t in ODD if t and len(t) < 2000] + ["the cat, sat", "", "the, cat sat.", "да, нет. 漢, x.", "a,", ",", "., a. 3, 3.", "é, é", "▁a, ▁a", "a▁, a▁", "the, the. the"]
+    whole = align.Aligner(A, B)
+    whole.cuttable = False
+    want = whole.align(texts)
+    for remember, step in ((0, 1), (3, 1), (30, 5), (30, 100), (100_000, 1)):
+        both = align.Aligner(A, B, remember)
+        for _ in range(3):
+            assert [x for k in range(0, len(texts), step) for x in both.align(texts[k : k + step])] == want
+        kept = both.known.column("word").to_pylist()
+        assert len(set(kept)) == len(kept) and max(map(len, kept), default=0) <= align.LONGEST

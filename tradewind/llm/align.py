@@ -160,26 +160,77 @@ def grouped(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[
 _OTHER = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _ASCII_OTHER = [c for c in _OTHER if c < "\x80"]
 _RUNS = ("  ", "\n\n", " \n", "\n ")
+_NO_SPACE = f"^ ?[^ \n{''.join(_OTHER)}]+$"
 _CUTS = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 
 
-def words_of(text: str) -> list[str]:
-    """``text`` in words, each with the blank in front of it; line feeds are words. White
-    space of another kind, and runs, stay inside words."""
-    if "\x00" in text or any(c in text for c in _RUNS) or any(c in text for c in (_ASCII_OTHER if text.isascii() else _OTHER)):
-        return _CUTS.split(text)
-    return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
+def _set_off(text: str) -> str | None:
+    """``text`` with a zero character between its words, or None if a pattern has to tell them."""
+    if not text or "\x00" in text or any(c in text for c in _RUNS) or any(c in text for c in (_ASCII_OTHER if text.isascii() else _OTHER)):
+        return None
+    return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").strip("\x00")
+
+
+def words_of(texts: list[str]) -> tuple[pa.ListArray, np.ndarray]:
+    """Texts in words, each with the blank in front of it; line feeds are words. White space
+    of another kind, and runs, stay inside words. The lists, and the place of each text's."""
+    marked = [_set_off(t) for t in texts]
+    odd = np.fromiter((m is None for m in marked), bool, len(marked))
+    plain = pc.split_pattern(pa.array([m for m in marked if m is not None], _TEXT), "\x00")
+    rest = pa.array([_CUTS.split(texts[k]) if texts[k] else [] for k in np.flatnonzero(odd)], plain.type)
+    place = np.where(odd, len(plain) + np.cumsum(odd), np.cumsum(~odd)) - 1
+    return pa.concat_arrays([plain, rest]), place
 
 
 #: a_ids and b_ids of a word, four bytes each; the number of groups; the groups.
 Word = tuple[bytes, bytes, int, str]
 
+_BINARY, _TEXT = pa.large_binary(), pa.large_string()
+#: What is kept of a word; nulls if its tokens of one side do not spell it.
+_KEPT = pa.schema([("word", _TEXT), ("a", _BINARY), ("b", _BINARY), ("names", _TEXT)])
+LONGEST = 256  # a longer word is no word that comes again
+ROOM = 160  # bytes for a word that is kept, on average
+
+
+def _nothing() -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in _KEPT], schema=_KEPT)
+
+
+def _kept(words: pa.Array, *columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([words, *columns], schema=_KEPT)
+
+
+def _gathered(batches: list[pa.RecordBatch], place: np.ndarray) -> pa.RecordBatch:
+    """Rows by their places in ``batches`` laid one behind the other."""
+    first = np.cumsum([0, *map(len, batches)])
+    which = np.searchsorted(first, place, "right") - 1
+    # Of two batches that begin at one place the first is empty.
+    found = pa.concat_batches([b.take(pa.array(place[which == k] - first[k])) for k, b in enumerate(batches)])
+    order = np.empty(len(place), np.int64)
+    order[np.argsort(which, kind="stable")] = np.arange(len(place))
+    return found.take(pa.array(order))
+
+
+def _binary(data: bytes, ends: np.ndarray) -> pa.Array:
+    """``data`` in values that end at ``ends``."""
+    ends = np.concatenate([[0], ends]).astype(np.int64)
+    return pa.Array.from_buffers(_BINARY, len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def _parts(values: pa.Array, offsets: np.ndarray) -> list[bytes]:
+    """Runs of binary values, each joined."""
+    _, ends, data = values.buffers()
+    at = np.frombuffer(ends, np.int64)[values.offset + offsets].tolist()
+    view = memoryview(data or b"")
+    return [bytes(view[i:j]) for i, j in zip(at, at[1:])]
+
 
 class Aligner:
     """Both tokenizers, with a bounded memory of the words they have aligned: up to
-    ``remember`` new ones, and as many before them, of which those met again are kept."""
+    ``remember`` new ones (or ``ROOM`` times as many bytes), and as many before them, of
+    which those met again are kept."""
 
-    def __init__(self, a_path: str, b_path: str, remember: int = 130_000) -> None:
+    def __init__(self, a_path: str, b_path: str, remember: int = 200_000) -> None:
         self.a, self.b = ByteLevel(a_path), Pieces(b_path)
         self.cuttable = self.a.cuttable and self.b.cuttable
         self.remember = remember
@@ -188,41 +239,53 @@ class Aligner:
         self.b_sizes = np.array([len(r) for r in self.b.raw], np.int64)
         self.a_names = np.array([str(i) for i in range(len(self.a.raw))], object)
         self.b_names = np.array([str(i) for i in range(len(self.b.raw))], object)
+        self.marks = self._learn(pa.array([",", "."], _TEXT)) if self.cuttable else _nothing()
 
     def forget(self) -> None:
-        self.known: dict[str, Word | None] = {"": (b"", b"", 0, "")}
-        self.earlier: dict[str, Word | None] = {}
+        self.known, self.earlier = _nothing(), _nothing()
 
-    def learn(self, words: list[str], whole: bool = False) -> dict[str, Word | None]:
+    def learn(self, words: list[str], whole: bool = False) -> list[Word | None]:
         """Words, or whole texts, one by one."""
-        out = {}
+        out: list[Word | None] = []
         for word, (a_ids, a_spans), (b_ids, b_spans) in zip(words, self.a.spans(words, whole), self.b.spans(words, whole)):
             body = word.encode()
             a_ends, b_ends = token_ends(body, a_ids, a_spans, self.a.raw), token_ends(body, b_ids, b_spans, self.b.raw)
             if a_ends is None or b_ends is None:
-                out[word] = None
+                out.append(None)
             else:
-                out[word] = (array("I", a_ids).tobytes(), array("I", b_ids).tobytes(), *grouped(a_ids, a_ends, b_ids, b_ends))
+                out.append((array("I", a_ids).tobytes(), array("I", b_ids).tobytes(), *grouped(a_ids, a_ends, b_ids, b_ends)))
         return out
 
-    def learn_lines(self, words: list[str]) -> dict[str, Word | None]:
-        """Words without white space but for one blank in front, many in one text: a line
-        feed behind a word sets it off as it does in any text."""
-        out: dict[str, Word | None] = {}
-        todo = [words[k : k + 4000] for k in range(0, len(words), 4000)]
+    def _learn(self, words: pa.Array) -> pa.RecordBatch:
+        """Different words. Those without white space but for one blank in front are learned many
+        in one text: a line feed behind a word sets it off as it does in any text."""
+        lines = pc.match_substring_regex(words, _NO_SPACE).to_numpy(zero_copy_only=False)
+        in_lines = np.flatnonzero(lines)
+        todo = [in_lines[k : k + 4000] for k in range(0, len(in_lines), 4000)]
+        alone = [np.flatnonzero(~lines)]
+        places, found = [], [_nothing()]
         while todo:
             some = todo.pop()
-            found = self._lines(some)
-            if found is not None:
-                out.update(zip(some, found))
+            columns = self._lines(words.take(pa.array(some)))
+            if columns is not None:
+                places.append(some)
+                found.append(columns)
             elif len(some) > 16:  # one of them is not spelled by its tokens
                 todo += [some[: len(some) // 2], some[len(some) // 2 :]]
             else:
-                out.update(self.learn(some))
-        return out
-
-    def _lines(self, words: list[str]) -> list[Word] | None:
-        lines = ["\n".join([*words[k : k + 200], ""]) for k in range(0, len(words), 200)]
+                alone.append(some)
+        rest = np.concatenate(alone)
+        for first in range(0, len(rest), 4000):
+            some = words.take(pa.array(rest[first : first + 4000]))
+            learned = [w or (None,) * 4 for w in self.learn(some.to_pylist())]
+            found.append(_kept(some, *(pa.array([w[k] for w in learned], f.type) for k, f in zip((0, 1, 3), list(_KEPT)[1:]))))
+        order = np.empty(len(words), np.int64)
+        order[np.concatenate([*places, rest])] = np.arange(len(words))
+        return pa.concat_batches(found).take(pa.array(order))
+
+    def _lines(self, words: pa.Array) -> pa.RecordBatch | None:
+        names = words.to_pylist()
+        lines = ["\n".join([*names[k : k + 200], ""]) for k in range(0, len(names), 200)]
         bodies = [x.encode() for x in lines]
         starts = np.cumsum([0, *map(len, bodies)])
         body = b"".join(bodies)
@@ -238,18 +301,21 @@ class Aligner:
             own = (spans[:, 0] == decoded - sizes[ids]) & (spans[:, 1] == decoded)
             # Tokens that share a character have one span; their own bytes divide it.
             sides.append((ids, np.where(own, spans[:, 1], decoded)))
-        lengths = np.array([len(w.encode()) for w in words])
+        lengths = pc.binary_length(words).to_numpy()
         last = np.cumsum(lengths + 1) - 1  # where the line feed behind a word stands
         (a, a_ends), (b, b_ends) = sides
-        common = a_ends[np.isin(a_ends, b_ends)]
-        if not np.isin(np.concatenate([last, last + 1]), common).all():
+        # For every byte, whether a token of A, or of B, or a line feed ends there.
+        at_a, at_b, at_feed = (np.zeros(len(body) + 1, bool) for _ in range(3))
+        at_a[a_ends] = at_b[b_ends] = at_feed[last + 1] = True
+        both = at_a & at_b
+        if not (both[last].all() and both[last + 1].all()):
             return None
-        a, a_ends = (x[~np.isin(a_ends, last + 1)] for x in (a, a_ends))
-        b, b_ends = (x[~np.isin(b_ends, last + 1)] for x in (b, b_ends))
-        common = common[~np.isin(common, last + 1)]
+        in_a, in_b = ~at_feed[a_ends], ~at_feed[b_ends]
+        a, a_ends, b, b_ends = a[in_a], a_ends[in_a], b[in_b], b_ends[in_b]
+        common = np.flatnonzero(both & ~at_feed)
         groups = np.concatenate([np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)])
         from_b = np.repeat([0, 1], [len(a), len(b)])
-        order = np.lexsort((from_b, groups))
+        order = np.argsort(2 * groups + from_b, kind="stable")
         group, side = groups[order], from_b[order]
         word = np.searchsorted(last, common)  # of each group
         # What stands behind a token: it goes on, B follows, a group follows, a word follows.
@@ -259,57 +325,57 @@ class Aligner:
         written[::2] = np.concatenate([self.a_names[a], self.b_names[b]])[order]
         written[1:-1:2] = marks[kind]
         written[-1] = ""
-        names = "".join(written.tolist()).split("\n")
-        n_groups = np.bincount(word, minlength=len(words)).tolist()
-        parts = []
-        for ids, ends in ((a, a_ends), (b, b_ends)):
-            at = [0, *(4 * np.searchsorted(ends, last, "right")).tolist()]
-            raw = ids.astype("<u4").tobytes()
-            parts.append([raw[i:j] for i, j in zip(at, at[1:])])
-        return list(zip(*parts, n_groups, names))
-
-    def meet(self, words: set[str]) -> None:
-        """Let ``known`` have ``words``."""
-        known, earlier = self.known, self.earlier
-        known.update((w, earlier[w]) for w in words if w in earlier)
-        # A comma or full stop behind a letter is a token of its own for both.
-        ended = {w for w in words if self.a.ends and self.b.ends and 2 < len(w) <= 256 and w[-1] in ",." and w[-2].isalpha() and w not in known}
-        if ended:
-            self.meet({w for x in ended for w in (x[:-1], x[-1]) if w not in known})
-        new = [w for w in words - ended if w not in known]
-        bare = [w.removeprefix(" ") for w in new]
-        plain = [w for w, b in zip(new, bare) if b.split() == [b]]
-        known.update(self.learn_lines(plain))
-        known.update(self.learn([w for w in new if w not in known]))
-        for w in ended:
-            x, y = known[w[:-1]], known[w[-1]]
-            known[w] = x and y and (x[0] + y[0], x[1] + y[1], x[2] + y[2], f"{x[3]};{y[3]}")
+        groups_of = pc.split_pattern(pa.array(["".join(written.tolist())], _TEXT), "\n").flatten()
+        sides = (_binary(x.astype("<u4").tobytes(), 4 * np.searchsorted(ends, last, "right")) for x, ends in ((a, a_ends), (b, b_ends)))
+        return _kept(words, *sides, groups_of)
+
+    def _rows(self, words: pa.Array) -> pa.RecordBatch:
+        """What is kept of different words, which are then known."""
+        n, before = len(words), len(self.known)
+        last = pc.binary_slice(words.cast(_BINARY), -1)
+        # A comma or full stop behind a letter is a token of its own for both; what stands
+        # before it is looked up with the words.
+        ended = np.flatnonzero(pc.is_in(last, pa.array([b",", b"."], _BINARY))) if self.a.ends and self.b.ends else np.zeros(0, np.int64)
+        ended = ended[pc.match_substring_regex(words.take(pa.array(ended)), r"\pL[,.]$").to_numpy(zero_copy_only=False)]
+        asked = pa.concat_arrays([words, pc.utf8_slice_codeunits(words.take(pa.array(ended)), 0, -1)])
+        held = pa.chunked_array([self.known.column("word"), self.earlier.column("word")])
+        place = pc.index_in(asked, held).fill_null(-1).to_numpy().astype(np.int64)
+        by_end = np.flatnonzero(place[ended] < 0)
+        new = place < 0
+        new[ended] = False
+        new[n:] = False
+        new[n + by_end] = place[n + by_end] < 0
+        todo = asked.filter(pa.array(new)).dictionary_encode()
+        place[new] = len(held) + todo.indices.to_numpy()
+        batches = [self.known, self.earlier, self._learn(todo.dictionary)]
+        ended = ended[by_end]
+        x = _gathered(batches, place[n + by_end])
+        y = self.marks.take(pc.equal(last.take(pa.array(ended)), b".").cast(pa.int8()))
+        joined = [pc.binary_join_element_wise(x.column(k), y.column(k), pa.scalar(z, _KEPT.field(k).type)) for k, z in (("a", b""), ("b", b""), ("names", ";"))]
+        place[ended] = sum(map(len, batches)) + np.arange(len(ended))
+        found = _gathered([*batches, _kept(words.take(pa.array(ended)), *joined)], place[:n])
+        short = pc.less_equal(pc.utf8_length(words), LONGEST).to_numpy(zero_copy_only=False)
+        added = found.filter(pa.array((place[:n] >= before) & short))
+        self.known = pa.concat_batches([self.known, added])
+        return found
 
     def align(self, batch: list[str]) -> list[Word | None]:
         """Every text with a blank in front: ids, number of groups, and the groups."""
         if not self.cuttable:
-            found = self.learn(list({f" {t}" for t in batch if t}), whole=True)
+            different = list({f" {t}" for t in batch if t})
+            found = dict(zip(different, self.learn(different, whole=True)))
             return [found[f" {t}"] if t else (b"", b"", 0, "") for t in batch]
-        if len(self.known) > self.remember:
-            known = self.known
-            self.forget()
-            self.earlier = known
-        cut = [words_of(f" {t}") if t else [] for t in batch]
-        known = self.known
-        missing = {w for words in cut for w in words if w not in known}
-        self.meet(missing)
-        out: list[Word | None] = []
-        for words in cut:
-            parts = [known[w] for w in words if w]
-            if None in parts:
-                out.append(None)
-            else:
-                names = ";".join([p[3] for p in parts])
-                out.append((b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts]), names.count(";") + 1 if names else 0, names))
-        for w in missing:  # a word of great length is no word that comes again
-            if len(w) > 256:
-                del known[w]
-        return out
+        if len(self.known) > self.remember or self.known.nbytes > ROOM * self.remember:
+            self.known, self.earlier = _nothing(), self.known
+        lists, place = words_of([f" {t}" if t else "" for t in batch])
+        words = lists.flatten().dictionary_encode()
+        rows = self._rows(words.dictionary)
+        offsets = lists.offsets.to_numpy()
+        a, b, names = (rows.column(k).take(words.indices) for k in ("a", "b", "names"))
+        # Null if one of its words is.
+        names = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, names), pa.scalar(";", _TEXT)).to_pylist()
+        out = [None if g is None else (x, y, g.count(";") + 1 if g else 0, g) for x, y, g in zip(_parts(a, offsets), _parts(b, offsets), names)]
+        return [out[k] for k in place.tolist()]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
