@@ -39,6 +39,7 @@ from .common import _slices, documents, map_rows, small_batches, stored, texts
 
 HEAD_PAIRS = 1 << 18
 BATCH = "8m"  # of texts
+SLICE_BYTES = 1 << 20  # of texts aligned at a time
 SMALL = "512k"  # of ids, each of which takes several numbers of 8 bytes
 BLANK = "▁"
 _ID_AND_END = attrgetter("id", "end")
@@ -426,7 +427,7 @@ def align(df: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id", te
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     ddl = f"row bigint, doc_id {kind}, a_ids array<int>, b_ids array<int>, n_groups bigint, groups_sha256 string"
-    made = map_rows(docs, fn, ddl)
+    made = map_rows(docs, fn, ddl, slice_bytes=SLICE_BYTES)
     with small_batches(df.sparkSession, BATCH):
         return Aligned(stored(made, "aligned"), a_path, b_path)
 
