@@ -166,3 +166,67 @@ def test_lines_of_moved_products(spark, frame):
     assert found(none, first, second) == [("o1", "p1", "a", -1), ("o1", "p1", "b", 1), ("o1", "p2", None, 1), ("o2", "p2", None, 1)]
     assert found(come, first, second) == [("o1", "p1", "b", 1), ("o1", "p2", None, 1), ("o2", "p2", None, 1)]
     assert found(none, second, second) == [] and found(come, second, second) == found(come, first.limit(0), second)
+
+
+def test_lines_that_came_count_once(spark, frame):
+    """A new line of a product that also moved is one row, not one for the old category and two
+    for the move; lines that were there move."""
+    from tradewind.plans import warehouse
+
+    cells, kinds = "order_id string, product_id string, n bigint", "product_id string, category string"
+    fact = frame([("o1", "p1", 1), ("o1", "p2", 2), ("o2", "p1", 3), ("o2", "p3", 4)], cells).withColumn("order_ts", F.lit("2026-06-01").cast("timestamp"))
+    products = frame([("p1", "b"), ("p2", "c"), ("p3", "d")], kinds)
+    moves = changes.change_feed(frame([("p1", "a"), ("p2", "c")], kinds), products, ["product_id"], 1)
+    feed = changes.change_feed(fact.where("n < 3"), fact, ["order_id", "product_id"], 1)
+    out = warehouse.line_changes(fact, products, feed, moves, F.col("n") >= 3)
+    assert rows(out.select("order_id", "product_id", "category", "_change_type")) == [
+        ("o1", "p1", "a", "delete"), ("o1", "p1", "b", "insert"), ("o2", "p1", "b", "insert"), ("o2", "p3", "d", "insert"),
+    ]
+    whole = warehouse.line_changes(fact, products, feed, moves)
+    signed = F.sum(F.when(F.col("_change_type") == "insert", 1).otherwise(-1)).alias("w")
+    per = [df.groupBy("order_id", "product_id", "category").agg(signed).where("w <> 0") for df in (out, whole)]
+    assert rows(per[0]) == rows(per[1])
+
+
+def test_rows_written_aside_are_moved(spark, frame, view, monkeypatch):
+    """The files of a version are written once; cut off between two directories, the next try
+    moves the others and takes none away."""
+    import glob
+    import os
+
+    from tradewind.sinks import files
+
+    old, new = lines(frame, 1), lines(frame, 2)
+    sinks.build_view(old, view)
+    feed = changes.change_feed(old, new, ["id"], 1)
+
+    def cut(spark, source, target, col):
+        one = sorted(glob.glob(f"{source}/{col}=*"))[0]
+        files.remove_partition(spark, target, col, one.split("=")[1])
+        os.rename(one, f"{target}/{os.path.basename(one)}")
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(files, "move_partitions", cut)
+    with pytest.raises(RuntimeError, match="killed"):
+        sinks.apply_changes(feed, view, 1)
+    monkeypatch.undo()
+    aside = {os.path.basename(f) for f in glob.glob(f"{view.path}/aside/1/*/day=*/*.parquet")}
+    assert aside
+    assert rows(sinks.read_view(spark, view)) == rows(recomputed(new))
+    assert aside <= {os.path.basename(f) for f in glob.glob(f"{view.path}/*/day=*/*.parquet")}
+    assert not glob.glob(f"{view.path}/aside/1/*/day=*")
+
+
+def test_groups_summed_once_serve_both_views(spark, frame, view):
+    coarse = sinks.KeptView(workspace(spark, "view"), ("day",), "day", {"amount": "amount", "pieces": "pieces"})
+    old = lines(frame, 0).limit(0)
+    for version in range(2):
+        new = lines(frame, version)
+        fine = sinks.summed(changes.change_feed(old, new, ["id"], version), view)
+        groups = sinks.by_group(fine, view)
+        assert groups.count() <= new.select("day", "kind").distinct().count() + old.select("day", "kind").distinct().count()
+        sinks.apply_sums(sinks.coarser(groups, view, coarse, {}), coarse, version)
+        sinks.apply_sums(fine, view, version, groups)
+        assert rows(sinks.read_view(spark, view)) == rows(recomputed(new))
+        assert rows(sinks.read_view(spark, coarse)) == rows(new.groupBy("day").agg(F.sum("amount").alias("amount"), F.sum("pieces").alias("pieces")))
+        old = new

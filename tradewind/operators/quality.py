@@ -87,7 +87,7 @@ def referential_fail(df: DataFrame, ref: DataFrame, col: str, ref_col: str | Non
     return split_join(df, keys, col, "left_anti").select(*df.columns)
 
 
-def _with_flags(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[Column]]:
+def _with_flags(df: DataFrame, rules: Sequence[Rule], keep: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, list[Column]]:
     """``df`` with one helper column per rule that needs other rows, and each
     rule's row test."""
     tests = []
@@ -104,6 +104,7 @@ def _with_flags(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[C
                 .where("_n > 1")
                 .select(f"{flag}_key", F.lit(True).alias(flag))
             )
+            repeated = keep(repeated) if keep else repeated
             df = df.join(repeated, F.col(rule.col).eqNullSafe(F.col(f"{flag}_key")), "left").drop(f"{flag}_key")
             tests.append(F.col(flag).isNull())
         elif rule.kind == "reference":
@@ -115,10 +116,14 @@ def _with_flags(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[C
     return df, tests
 
 
-def evaluate_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def evaluate_rows(df: DataFrame, rules: Sequence[Rule], keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``df`` with the names of the rules each row passed and failed and the
-    overall ``Passed``/``Failed``."""
-    flagged, tests = _with_flags(df, rules)
+    overall ``Passed``/``Failed``.
+
+    ``keep`` writes the values that occur more than once: with their size known, a few of
+    them need no shuffle of ``df``.
+    """
+    flagged, tests = _with_flags(df, rules, keep)
 
     all_hold = F.lit(True)
     for t in tests:

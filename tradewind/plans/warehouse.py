@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import changes, marts
 from ..operators.quality import only_passed
-from ..sinks import KeptView, apply_sums, coarser, insert_new, reload_staging, save_table, stored, summed, upsert_partitions, upsert_rows, version_of
+from ..session import several_tasks_a_core, side_by_side, small_sides_hashed
+from ..sinks import KeptView, apply_sums, by_group, coarser, insert_new, reload_staging, save_table, stored, summed, upsert_partitions, upsert_rows, version_of
 from ..sources import read_manifest, read_prefix
 
 # The fact lies in one directory a month: a day's lines are too few for files of their own.
@@ -45,13 +47,17 @@ def _dated(lines: DataFrame) -> DataFrame:
     return lines.withColumn("order_month", F.trunc("order_date", "month")).withColumn("product_category", F.col("category"))
 
 
-def line_changes(fact: DataFrame, products: DataFrame, fact_feed: DataFrame, product_feed: DataFrame) -> DataFrame:
+def line_changes(fact: DataFrame, products: DataFrame, fact_feed: DataFrame, product_feed: DataFrame, fresh: Column | None = None) -> DataFrame:
     """What the changes of the fact and of the products mean for the lines of the views.
 
     Lines that changed count with the products as they were; then all lines, changed
     or not, of products that changed move from the old category to the new one. Only those
-    products' lines are read from the ``fact``, and none if no category changed.
+    products' lines are read from the ``fact``, and none if no category changed. Lines that
+    came with these changes and are known by ``fresh``, a condition that no other line meets,
+    count with the products as they are, once.
     """
+    fresh = F.lit(False) if fresh is None else fresh
+    came = (F.col("_change_type") == "insert") & fresh
     before = changes.apply_changes(products, changes.reversed_feed(product_feed), ["product_id"])
     moved = product_feed.groupBy("product_id").agg(
         F.max(F.when(F.col("_change_type").isin("delete", "update_preimage"), F.col("category"))).alias("_old"),
@@ -64,12 +70,12 @@ def line_changes(fact: DataFrame, products: DataFrame, fact_feed: DataFrame, pro
     comes = F.when(F.col("_is") > 0, F.struct(F.lit("insert").alias("_change_type"), F.col("_new").alias("category")))
     # Written, so that its size is known when it is joined: a few products need no shuffle of the fact.
     moved = stored(moved.select("product_id", F.array_compact(F.array(goes, comes)).alias("_moves")), "moved")
-    lines = view_lines(fact_feed.drop("_commit_version"), before)
+    feed = fact_feed.drop("_commit_version")
+    lines = view_lines(feed.where(~came), before).unionByName(view_lines(feed.where(came), products))
     if moved.isEmpty():
         return lines
-    both = marts.star(_with_day(fact), (moved, "product_id")).select("*", F.inline("_moves")).select(*lines.columns[:-2])
-    # With no product known before, no changed line has a category yet.
-    return _dated(both) if before.isEmpty() else lines.unionByName(_dated(both))
+    both = marts.star(_with_day(fact.where(~fresh)), (moved, "product_id")).select("*", F.inline("_moves")).select(*lines.columns[:-2])
+    return lines.unionByName(_dated(both))
 
 
 def load_curated(spark: SparkSession, prefix: str, root: str, curated: Mapping[str, str], version: int | None = None) -> dict[str, str]:
@@ -96,14 +102,19 @@ def load_star(
     with its version.
     """
     staged = {"customers": customers, "products": products, "orders": orders, "items": items}
-    names = {}
-    for table, df in staged.items():
-        name = f"{prefix}stg_{table}"
-        if not spark.catalog.tableExists(name):
-            save_table(df.limit(0), name, f"{root}/staging/{table}")
-        reload_staging(df, name)
-        staged[table] = spark.read.table(name)
+    with several_tasks_a_core(spark):
+        return _load(spark, prefix, root, staged, version)
+
+
+def _stage(df: DataFrame, name: str, path: str) -> None:
+    if not df.sparkSession.catalog.tableExists(name):
+        save_table(df.limit(0), name, path)
+    reload_staging(df, name)
+
 
+def _load(spark: SparkSession, prefix: str, root: str, staged: Mapping[str, DataFrame], version: int | None) -> dict[str, str]:
+    side_by_side(*[partial(_stage, df, f"{prefix}stg_{table}", f"{root}/staging/{table}") for table, df in staged.items()])
+    staged = {table: spark.read.table(f"{prefix}stg_{table}") for table in staged}
     month = F.coalesce(F.floor(F.col("date_key") / 100).cast("int"), F.lit(0))
     fact = marts.build_fact(staged["items"], staged["orders"]).withColumn(MONTH, month)
     # The calendar runs over the days of the passed orders: two values read on the driver.
@@ -117,9 +128,10 @@ def load_star(
         "dim_date": (days, ["date_key"]),
         "fact_order_items": (fact, ["order_id", "product_id"]),
     }
-    for table, (df, keys) in targets.items():
-        name = names[table] = f"{prefix}{table}"
-        path = f"{root}/analytics/{table}"
+    names = {table: f"{prefix}{table}" for table in targets}
+
+    def fill(table: str, df: DataFrame, keys: list[str]) -> None:
+        name, path = names[table], f"{root}/analytics/{table}"
         is_fact = table == "fact_order_items"
         feed = None if version is None else (f"{root}/changes/{table}/{version}", version)
         if not spark.catalog.tableExists(name):
@@ -131,13 +143,26 @@ def load_star(
             insert_new(df, name, keys)  # a day does not change
         else:
             upsert_rows(df, name, keys, feed if table == "dim_product" else None)
+
+    side_by_side(*[partial(fill, table, df, keys) for table, (df, keys) in targets.items()])
     if version is not None:
-        feeds = [spark.read.parquet(f"{root}/changes/{t}/{version}") for t in ("fact_order_items", "dim_product")]
-        lines = line_changes(spark.read.table(names["fact_order_items"]), spark.read.table(names["dim_product"]), *feeds)
-        # The lines are joined and summed once: the days' categories are sums over their regions.
-        category, regional = category_view(root), regional_view(root)
-        if version > min(version_of(spark, category), version_of(spark, regional)):
-            sums = summed(lines, regional)
-            apply_sums(coarser(sums, regional, category, {"product_category": "category"}), category, version)
-            apply_sums(sums, regional, version)
+        _keep_views(spark, root, names, version)
     return names
+
+
+def _keep_views(spark: SparkSession, root: str, names: Mapping[str, str], version: int) -> None:
+    """Bring the category and regional views to ``version`` by the changes kept under it."""
+    category, regional = category_view(root), regional_view(root)
+    if version <= min(version_of(spark, category), version_of(spark, regional)):
+        return
+    lines, products = (spark.read.parquet(f"{root}/changes/{t}/{version}") for t in ("fact_order_items", "dim_product"))
+    # New lines have the numbers from the least on that came with this version.
+    first = lines.where("_change_type = 'insert'").agg(F.min(ITEM_ID)).first()[0]
+    fresh = F.lit(False) if first is None else F.col(ITEM_ID) >= first
+    changed = line_changes(spark.read.table(names["fact_order_items"]), spark.read.table(names["dim_product"]), lines, products, fresh)
+    # The lines are joined and summed once: the days' categories are sums over their regions.
+    with small_sides_hashed(spark):
+        sums = summed(changed, regional)
+    groups = by_group(sums, regional)
+    days = coarser(groups, regional, category, {"product_category": "category"})
+    side_by_side(partial(apply_sums, sums, regional, version, groups), partial(apply_sums, days, category, version))

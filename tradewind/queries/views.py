@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import sinks
 from ..operators import changes, marts
 from ..plans import warehouse
-from ..session import workspace
+from ..session import several_tasks_a_core, workspace
 from .cleaning import items_curated, order_outcomes, star_fact
 from .marts import calendar
 from .registry import query
@@ -59,8 +59,10 @@ def k8_star_views(spark, d):
     root = workspace(spark, "warehouse")
     products = marts.clean_products(products_raw(spark, d))
     other = products.withColumn("category", F.when(F.col("product_id") % 3 == 0, "other").otherwise(F.col("category")))
-    items = sinks.stored(items_curated(spark, d), "items")
-    customers, orders = marts.clean_customers(customers_raw(spark, d)), sinks.stored(order_outcomes(spark, d, items), "order-outcomes")
+    with several_tasks_a_core(spark):
+        items = sinks.stored(items_curated(spark, d), "items")
+        orders = sinks.stored(order_outcomes(spark, d, items), "order-outcomes")
+    customers = marts.clean_customers(customers_raw(spark, d))
     prefix = f"v{root.rsplit('-', 1)[1]}_"
     some = items.where("cast(order_id AS bigint) % 4 <> 0")
     # Products that the first load does not know yet, too.

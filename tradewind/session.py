@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +36,45 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def small_sides_hashed(spark: SparkSession) -> Iterator[None]:
+    """Joins that run inside hash a side instead of sorting both, if AQE finds all of that
+    side's partitions to be small. Not for every join: what follows may need the order."""
+    # Below the advisory size of a partition (64 MB unless set) Spark ignores it.
+    with _while_set(spark, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m"):
+        yield
+
+
+@contextmanager
+def several_tasks_a_core(spark: SparkSession) -> Iterator[None]:
+    """Scans that run inside are cut for four tasks a core, if files are large enough. Cut for
+    one, up to 128 MB, a table of a little more leaves most cores idle for a second task."""
+    with _while_set(spark, "spark.sql.files.minPartitionNum", str(4 * spark.sparkContext.defaultParallelism)):
+        yield
+
+
+@contextmanager
+def _while_set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def side_by_side(*jobs: Callable[[], object]) -> None:
+    """Run ``jobs`` that do not need each other at once: one fills the cores that the last
+    tasks of another leave idle. The first error is raised when all have ended."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(job) for job in jobs]
+    for job in running:
+        job.result()
+
+
 def local_session(app: str = "tradewind", cores: str = "*", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster, use your own."""
     builder = (

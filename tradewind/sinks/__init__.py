@@ -16,7 +16,7 @@ from .tables import (
     upsert_rows,
 )
 from .versions import VersionedTable, changed_buckets, read_version, save_version, version_feed
-from .views import KeptView, apply_changes, apply_sums, build_view, coarser, read_view, summed, version_of
+from .views import KeptView, apply_changes, apply_sums, build_view, by_group, coarser, read_view, summed, version_of
 
 __all__ = [
     "Compaction",
@@ -31,6 +31,7 @@ __all__ = [
     "apply_sums",
     "bucketed_table",
     "build_view",
+    "by_group",
     "changed_buckets",
     "clustered_table",
     "coarser",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import workspace
 from ..sources.files import file_inventory
-from ..sources.fs import exists, remove_partition, write_text
+from ..sources.fs import exists, move_partitions, remove_partition, write_text
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -30,14 +30,19 @@ def overwrite_partitions(df: DataFrame, path: str, *cols: str, gathered: bool =
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, col: str, values: DataFrame) -> None:
+def replace_partitions(df: DataFrame, path: str, col: str, values: DataFrame, lies: str | None = None) -> None:
     """Let the partitions of ``values`` (one column, ``col``) hold the rows of ``df`` and
     no others; a partition ``df`` has no rows for is removed.
 
     ``df`` must be a stored frame that does not read ``path``. Of the values, only those
-    to be removed reach the driver.
+    to be removed reach the driver. Rows that lie below ``lies`` in directories of ``col``
+    already are moved, not written again; ``df`` then only says which partitions they
+    fill, and does not read ``lies``, so that a try that was cut off can be repeated.
     """
-    overwrite_partitions(df, path, col)
+    if lies is None:
+        overwrite_partitions(df, path, col)
+    else:
+        move_partitions(df.sparkSession, lies, path, col)
     if not exists(df.sparkSession, path):
         return
     there = df.select(F.col(col).alias("_there")).distinct()

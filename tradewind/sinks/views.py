@@ -7,8 +7,9 @@ base nor untouched partitions of the view are read; a group without lines goes b
 its count tells whether another line still has it.)
 
 A version is applied once. The new contents of the partitions it touches are written
-aside first; a marker says that they are complete; then the partitions are replaced, which
-may be repeated as often as it is cut off. One writer at a time.
+aside first, in directories as they lie in the view; a marker says that they are complete;
+then they are moved to their places, which may be repeated as often as it is cut off. One
+writer at a time.
 """
 
 from __future__ import annotations
@@ -16,15 +17,16 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.joins import split_join
-from ..sources.fs import exists, read_text, write_text
-from .files import replace_partitions, stored
+from ..session import side_by_side
+from ..sources.fs import exists, read_text, remove_tree, write_text
+from .files import overwrite_partitions, replace_partitions, stored
 
 _ADDS = ("insert", "update_postimage")
 
@@ -64,7 +66,8 @@ def _fine(view: KeptView, lines: DataFrame) -> DataFrame:
     adds: list[Column] = [F.sum("_w").alias("_lines")]
     for out, c in view.sums.items():
         kind = lines.schema[c].dataType
-        total = F.sum(F.col(c) * F.col("_w"))
+        # Not multiplied by the sign: that would widen a decimal.
+        total = F.sum(F.when(F.col("_w") > 0, F.col(c)).otherwise(-F.col(c)))
         adds.append(total.cast(f"decimal(38,{kind.scale})" if isinstance(kind, T.DecimalType) else "bigint").alias(out))
         adds.append(F.sum(F.when(F.col(c).isNotNull(), F.col("_w"))).alias(f"_n_{out}"))
     values = [F.col(c).alias(f"_of_{out}") for out, c in view.distinct.items()]
@@ -94,18 +97,30 @@ def _support(view: KeptView, out: str, fine: DataFrame) -> DataFrame:
     return found.groupBy(*view.keys, value.alias("_value")).agg(F.sum("_lines").alias("_n"))
 
 
-def _merged(old: DataFrame | None, new: DataFrame, keys: Sequence[str], left: str) -> DataFrame:
-    """Old and new amounts added up; rows of which no ``left`` remain are gone. ``new`` has one
-    row for the ``keys``."""
+def _merged(old: DataFrame | None, new: DataFrame, keys: Sequence[str], left: str, dealt: Sequence[str] = ()) -> DataFrame:
+    """Old and new amounts added up; rows of which no ``left`` remain are gone. ``old`` and
+    ``new`` have one row for the ``keys``. With ``dealt``, of them, the rows are shuffled by
+    these, so that they lie in the order in which they are written."""
     if old is None:
         return new.where(F.col(left) != 0)
     both = old.unionByName(new)
     amounts = [c for c in new.columns if c not in keys]
     kinds = {f.name: f.dataType for f in new.schema}
+    if dealt:
+        both = both.repartition(*dealt)
     added = both.groupBy(*keys).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in amounts])
     return added.where(F.col(left) != 0)
 
 
+def _dealt(view: KeptView, rows: DataFrame | None) -> DataFrame | None:
+    """``rows`` with a column that deals those of a directory to an eighth of the shuffle's
+    tasks: a directory gets no more files than that, and none is one task's work."""
+    if rows is None:
+        return None
+    tasks = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+    return rows.withColumn("_dealt", F.pmod(F.xxhash64("_value"), F.lit(tasks)).cast("int"))
+
+
 def _table(view: KeptView, name: str) -> str:
     return f"{view.path}/{name}"
 
@@ -175,23 +190,41 @@ def coarser(fine: DataFrame, of: KeptView, view: KeptView, named: Mapping[str, s
     return stored(_that_add(sums, view.keys), "view-changes")
 
 
-def apply_sums(fine: DataFrame, view: KeptView, version: int) -> None:
-    """:func:`apply_changes` by what the changes add (:func:`summed`, :func:`coarser`)."""
+def by_group(fine: DataFrame, view: KeptView) -> DataFrame:
+    """``fine`` summed to the groups of ``view``, written once, for :func:`coarser` and
+    :func:`apply_sums`: of distinct counts it has one row for each value."""
+    return stored(_delta(view, fine), "view-groups") if view.distinct else fine
+
+
+def apply_sums(fine: DataFrame, view: KeptView, version: int, groups: DataFrame | None = None) -> None:
+    """:func:`apply_changes` by what the changes add (:func:`summed`, :func:`coarser`), summed
+    to ``groups`` already (:func:`by_group`) or not."""
     spark = fine.sparkSession
     if version <= version_of(spark, view):
         return
-    touched = stored(fine.select(view.part).distinct(), "view-parts")
+    delta = _delta(view, fine) if groups is None else groups
+    # A group that any line changed is among the groups.
+    touched = stored((fine if groups is None else groups).select(view.part).distinct(), "view-parts")
     aside = _table(view, f"aside/{version}")
-    delta = _delta(view, fine)
     old = _touched_part(_read(spark, _table(view, "groups"), _part_last(delta, view.part).schema), touched, view.part)
-    groups = _merged(old, delta, view.keys, "_lines")
-    names = {"groups": _part_last(groups, view.part)}
+    names = {"groups": _part_last(_merged(old, delta, view.keys, "_lines"), view.part)}
+    gathered = set()
     for out in view.distinct:
         delta = _part_last(_support(view, out, fine), view.part)
         old = _touched_part(_read(spark, _table(view, out), delta.schema), touched, view.part)
-        names[out] = _part_last(_merged(old, delta, [*view.keys, "_value"], "_n"), view.part)
-    for name, df in names.items():
-        df.write.mode("overwrite").parquet(f"{aside}/{name}")
+        keys = [*view.keys, "_value", "_dealt"]
+        merged = _merged(_dealt(view, old), _dealt(view, delta), keys, "_n", [view.part, "_dealt"])
+        names[out] = _part_last(merged.drop("_dealt"), view.part)
+        if old is not None:
+            gathered.add(out)
+
+    def write(name: str, df: DataFrame) -> None:
+        remove_tree(spark, f"{aside}/{name}")  # what a try that was cut off may have left
+        overwrite_partitions(df, f"{aside}/{name}", view.part, gathered=name in gathered)
+        filled = spark.read.schema(df.schema).parquet(f"{aside}/{name}").select(view.part).distinct()
+        filled.write.mode("overwrite").parquet(f"{aside}/filled/{name}")
+
+    side_by_side(*[partial(write, name, df) for name, df in names.items()])
     touched.write.mode("overwrite").parquet(f"{aside}/touched")
     kinds = {name: df.schema.json() for name, df in [*names.items(), ("touched", touched)]}
     write_text(spark, _table(view, "pending.json"), json.dumps({"version": version, "schemas": kinds}))
@@ -205,10 +238,12 @@ def _finish(spark: SparkSession, view: KeptView) -> None:
     if "version" not in pending:
         return
     aside = _table(view, f"aside/{pending['version']}")
-    frames = {name: spark.read.schema(kind).parquet(f"{aside}/{name}") for name, kind in _schemas(pending).items()}
-    touched = frames.pop("touched")
-    for name, df in frames.items():
-        replace_partitions(df, _table(view, name), view.part, touched)
+    kinds = _schemas(pending)
+    part = kinds.pop("touched")
+    touched = spark.read.schema(part).parquet(f"{aside}/touched")
+    for name in kinds:
+        filled = spark.read.schema(part).parquet(f"{aside}/filled/{name}")
+        replace_partitions(filled, _table(view, name), view.part, touched, f"{aside}/{name}")
     write_text(spark, _table(view, "version.json"), text)
     write_text(spark, _table(view, "pending.json"), "{}")
 

@@ -41,6 +41,21 @@ def remove_partition(spark: SparkSession, root: str, col: str, value: object) ->
     fs.delete(p, True)
 
 
+def move_partitions(spark: SparkSession, source: str, target: str, col: str) -> None:
+    """Let the directories of ``col`` below ``source`` take the place of those of the same name
+    below ``target``. One that is moved is gone from ``source``, so a try that was cut off is
+    repeated."""
+    pattern, fs = _path(spark, f"{source}/{col}=*")
+    found = [s.getPath() for s in fs.globStatus(pattern) or []]
+    folder, _ = _path(spark, target)
+    if found:
+        fs.mkdirs(folder)
+    for old in found:
+        new = spark._jvm.org.apache.hadoop.fs.Path(folder, old.getName())
+        fs.delete(new, True)
+        _rename(fs, old, new)
+
+
 def remove_tree(spark: SparkSession, path: str) -> None:
     """Delete a folder with all that is in it."""
     p, fs = _path(spark, path)
